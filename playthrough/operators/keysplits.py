@@ -76,7 +76,8 @@ class KeySplits:
 
 def hot_keys(rows: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
     """Keys with more than ``limit`` rows; at most rows / limit of them."""
-    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > limit)
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), F.max("event_ts").alias(LAST_TS))
+    return sizes.filter(F.col("_rows") > limit)
 
 
 def chunk_limit(n_rows: int, chunk_rows: int, max_chunks: int) -> int:
@@ -113,8 +114,9 @@ def find_splits(
     points = F.ceil(F.col("_rows") * weight / limit) * SAMPLES_PER_CHUNK
     # At most n / limit <= max_chunks hot keys.
     timeline = rows.join(F.broadcast(hot_keys(rows, keys, limit)), list(keys)).select(
-        *keys, "event_id", "event_ts", points.cast("bigint").alias("_points"), F.explode(times).alias("_at")
+        *keys, "event_id", "event_ts", LAST_TS, points.cast("bigint").alias("_points"), F.explode(times).alias("_at")
     )
+    timeline = timeline.filter((F.col("_at") == F.col("event_ts")) | (F.col("_at") < F.col(LAST_TS)))
     # A uniform sample by hashing: each slot keeps the row with the largest hash. Map-side combine
     # leaves one row per slot and map task.
     point = F.struct(F.col("_at").alias("ts"), F.col("event_id").alias("id"))
@@ -123,8 +125,8 @@ def find_splits(
         .groupBy(*keys, "_slot")
         .agg(
             F.max_by(point, F.xxhash64(F.lit("pick"), "event_id", "_at")).alias("_point"),
-            F.max("event_ts").alias("_slot_last"),
-            F.max("_points").alias("_points"),
+            F.first(LAST_TS).alias(LAST_TS),
+            F.first("_points").alias("_points"),
         )
     )
     # One short array per hot key: at most 2 * SAMPLES_PER_CHUNK * max_chunks points in all.
@@ -132,8 +134,8 @@ def find_splits(
         sample.groupBy(*keys)
         .agg(
             F.sort_array(F.collect_list("_point")).alias("_sorted"),
-            F.max("_slot_last").alias(LAST_TS),
-            F.max("_points").alias("_points"),
+            F.first(LAST_TS).alias(LAST_TS),
+            F.first("_points").alias("_points"),
         )
         .select(
             *keys,
