@@ -6,6 +6,9 @@ stream.
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,49 +24,60 @@ MISSING, NOT_NUMERIC, BAD_TYPE, NEGATIVE = (
     "negative_position",
 )
 REQUIRED_TEXT = ["event_id", "user_id", "content_id", "event_type", "device"]
+NUMERIC = {"event_ts": T.LongType(), "playback_position": T.IntegerType()}
 
 
-def to_integer(value: Column, source: T.DataType, target: str) -> Column:
+def to_integer(value: Column, source: T.DataType, target: T.DataType) -> Column:
     """Truncate toward zero; null where the value is no number or does not fit."""
-    if isinstance(source, T.IntegralType):
-        return value.try_cast(target)
+    if source == target:
+        return value
     if isinstance(source, T.StringType):
         # Plain integers keep all 64 bits, anything else goes through double.
         return F.coalesce(value.try_cast(target), value.try_cast("double").try_cast(target))
+    if isinstance(source, T.IntegralType):
+        return value.try_cast(target)
     return value.cast("double").try_cast(target)
 
 
+def all_of(conditions: list[Column]) -> Column:
+    return functools.reduce(operator.and_, conditions)
+
+
+def rules(schema: T.StructType) -> list[tuple[str, Column]]:
+    """Reason for rejection and the condition a valid row meets, in the order they are tested.
+
+    Plain comparisons of single columns, so that a filter over them reaches the Parquet scan.
+    """
+    kind = {f.name: f.dataType for f in schema.fields}
+    present = [F.col(name).isNotNull() & (F.col(name) != "") for name in REQUIRED_TEXT]
+    present += [F.col(name).isNotNull() for name in NUMERIC]
+    ts, position = (to_integer(F.col(name), kind[name], target) for name, target in NUMERIC.items())
+    return [
+        (MISSING, all_of(present)),
+        (NOT_NUMERIC, ts.isNotNull() & position.isNotNull()),
+        (BAD_TYPE, F.col("event_type").isin(VALID_EVENT_TYPES)),
+        (NEGATIVE, position >= 0),
+    ]
+
+
+def _coerced(raw: DataFrame) -> list[Column]:
+    return [
+        to_integer(F.col(c), raw.schema[c].dataType, NUMERIC[c]).alias(c) if c in NUMERIC else F.col(c)
+        for c in EVENT_COLUMNS
+    ]
+
+
 def with_reject_reason(raw: DataFrame) -> DataFrame:
     """The seven event columns, coerced, plus ``reject_reason`` (null for a valid row).
 
     The first rule that fails gives the reason.
     """
-    types = {f.name: f.dataType for f in raw.schema.fields}
-    ts = to_integer(F.col("event_ts"), types["event_ts"], "bigint")
-    position = to_integer(F.col("playback_position"), types["playback_position"], "int")
-    missing = F.col("event_ts").isNull() | F.col("playback_position").isNull()
-    for name in REQUIRED_TEXT:
-        missing = missing | F.col(name).isNull() | (F.col(name) == "")
-    reason = (
-        F.when(missing, MISSING)
-        .when(ts.isNull() | position.isNull(), NOT_NUMERIC)
-        .when(~F.col("event_type").isin(VALID_EVENT_TYPES), BAD_TYPE)
-        .when(position < 0, NEGATIVE)
-    )
-    return raw.select(
-        "event_id",
-        ts.alias("event_ts"),
-        "user_id",
-        "content_id",
-        "event_type",
-        position.alias("playback_position"),
-        "device",
-        reason.alias("reject_reason"),
-    )
+    failed = [F.when(~F.coalesce(valid, F.lit(False)), reason) for reason, valid in rules(raw.schema)]
+    return raw.select(*_coerced(raw), F.coalesce(*failed).alias("reject_reason"))
 
 
 def valid_events(raw: DataFrame) -> DataFrame:
-    return with_reject_reason(raw).filter(F.col("reject_reason").isNull()).select(*EVENT_COLUMNS)
+    return raw.filter(all_of([valid for _, valid in rules(raw.schema)])).select(*_coerced(raw))
 
 
 def rejected_events(raw: DataFrame) -> DataFrame:

@@ -56,7 +56,9 @@ def _whole(df, keys, prior, recent, span, lags, totals, _splits):
     by_time = part.orderBy("event_ts")
     earlier = by_time.rangeBetween(Window.unboundedPreceding, -1)
     # The finer order first: it also serves the frames that follow, so there is one sort.
-    df = df.withColumns({name: F.last(value, ignorenulls=True).over(preceding) for name, value in lags.items()})
+    # coalesce: over a bare column the optimizer would move this window below others, and sort more.
+    latest = {name: F.last(F.coalesce(value), ignorenulls=True) for name, value in lags.items()}
+    df = df.withColumns({name: value.over(preceding) for name, value in latest.items()})
     frames = {name: _or_zero(F.sum(value).over(earlier)) for name, value in prior.items()}
     if recent:
         expired = by_time.rangeBetween(Window.unboundedPreceding, -span - 1)

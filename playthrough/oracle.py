@@ -310,4 +310,75 @@ SQL = {
     ),
     "calendar_fields": _query([*_EV_STACK, _CALENDAR], "SELECT * FROM calendar"),
     "completion_prediction_features": _query(_FEATURES, "SELECT * FROM features"),
+    "classification_report": _query(
+        _SCORED,
+        """, cells AS (
+  SELECT count(*) FILTER (label = 0 AND score <= 0.5) AS tn, count(*) FILTER (label = 0 AND score > 0.5) AS fp,
+         count(*) FILTER (label = 1 AND score <= 0.5) AS fn, count(*) FILTER (label = 1 AND score > 0.5) AS tp
+  FROM scored WHERE score IS NOT NULL),
+per_class AS (
+  SELECT '0' AS class, tn AS hit, fn AS false_hit, fp AS missed FROM cells
+  UNION ALL SELECT '1', tp, fp, fn FROM cells),
+scores AS (
+  SELECT class, coalesce(hit::DOUBLE / nullif(hit + false_hit, 0), 0.0) AS precision,
+         coalesce(hit::DOUBLE / nullif(hit + missed, 0), 0.0) AS recall,
+         coalesce((2 * hit)::DOUBLE / nullif(2 * hit + false_hit + missed, 0), 0.0) AS f1_score,
+         hit + missed AS support
+  FROM per_class)
+SELECT * FROM scores
+UNION ALL SELECT 'accuracy', acc, acc, acc, total FROM (
+  SELECT (tn + tp)::DOUBLE / (tn + fp + fn + tp) AS acc, tn + fp + fn + tp AS total FROM cells)
+UNION ALL SELECT 'macro avg', (a.precision + b.precision) / 2, (a.recall + b.recall) / 2,
+                 (a.f1_score + b.f1_score) / 2, a.support + b.support
+  FROM scores a, scores b WHERE a.class = '0' AND b.class = '1'
+UNION ALL SELECT 'weighted avg',
+                 (a.precision * a.support + b.precision * b.support) / (a.support + b.support),
+                 (a.recall * a.support + b.recall * b.support) / (a.support + b.support),
+                 (a.f1_score * a.support + b.f1_score * b.support) / (a.support + b.support),
+                 a.support + b.support
+  FROM scores a, scores b WHERE a.class = '0' AND b.class = '1'""",
+    ),
+    "roc_auc": _query(
+        _SCORED,
+        "SELECT sum(neg * (2 * tp - pos))::DOUBLE / 2 / (max(p)::DOUBLE * max(n)) AS roc_auc FROM curve",
+    ),
+    "average_precision": _query(
+        _SCORED,
+        "SELECT sum(pos * floor(tp::DOUBLE / (tp + fp) * 1000000000)::BIGINT)::DOUBLE / 1000000000 / max(p) "
+        "AS average_precision FROM curve",
+    ),
+    "roc_curve": _query(
+        _SCORED,
+        """, neighbours AS (
+  SELECT *, row_number() OVER w AS k, lead(pos) OVER w AS next_pos, lead(neg) OVER w AS next_neg
+  FROM curve WINDOW w AS (ORDER BY score DESC))
+SELECT score AS threshold, fp::DOUBLE / n AS fpr, tp::DOUBLE / p AS tpr FROM neighbours
+WHERE k = 1 OR next_pos IS NULL OR (next_pos, next_neg) <> (pos, neg)
+UNION ALL SELECT NULL, 0.0, 0.0""",
+    ),
+    "pr_curve": _query(
+        _SCORED,
+        "SELECT score AS threshold, tp::DOUBLE / (tp + fp) AS precision, tp::DOUBLE / p AS recall FROM curve "
+        "UNION ALL SELECT NULL, 1.0, 0.0",
+    ),
+    "class_weights": _query(
+        _SCORED,
+        "SELECT label, count(*) AS n_rows, (SELECT count(*) FROM scored)::DOUBLE / (2 * count(*)) AS weight "
+        "FROM scored GROUP BY 1",
+    ),
+    "chronological_split": _query(
+        _EV_STACK,
+        "SELECT event_id, CAST(row_number() OVER (ORDER BY event_ts, event_id) "
+        "<= floor((SELECT count(*) FROM ev) * 0.8) AS INT) AS is_train FROM ev",
+    ),
+    "streaming_ingest": _query(
+        [_RAW],
+        "SELECT * FROM raw WHERE playback_position >= 0 AND device IS NOT NULL "
+        "QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY event_ts) = 1",
+    ),
+    "streaming_quarantine": _query(
+        [_RAW],
+        "SELECT CASE WHEN playback_position < 0 THEN 'not_json' ELSE 'missing_key' END AS problem, "
+        "count(*) AS n_messages FROM raw WHERE playback_position < 0 OR device IS NULL GROUP BY 1",
+    ),
 }

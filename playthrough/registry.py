@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import datetime
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playthrough.operators import cleaning, enrich, features, genres, sessions, tables
+from playthrough.functions import metrics, scalar
+from playthrough.operators import cleaning, enrich, features, genres, ordering, sessions, tables
 from playthrough.oracle import AS_OF
-from playthrough.sources import testtables
+from playthrough.plans import model
+from playthrough.sources import messages, testtables
+from playthrough.sources.checkpoint import materialize, shared_folder
+from playthrough.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -184,3 +189,123 @@ def calendar_fields(spark, sf_dir):
 def completion_prediction_features(spark, sf_dir):
     i = Inputs(spark, sf_dir)
     return features.completion_prediction_features(i.enriched, genres.genre_names(i.content), AS_OF_DATE, i.hot)
+
+
+def _scored(spark, sf_dir):
+    """Label and a fixed score per event, to check metrics without a model."""
+    i = Inputs(spark, sf_dir)
+    facts = sessions.with_session_facts(
+        sessions.session_identification(i.enriched, i.hot.user_content), i.hot.user_content
+    )
+    label = scalar.is_completion(F.col("is_completed_event"), F.col("stopped_near_end"), F.col("num_unique_events"))
+    runtime = F.when(F.col("runtime") != 0, F.col("runtime")).cast("bigint")
+    percent = F.least(F.lit(100), scalar.int_div(F.col("playback_position").cast("bigint") * 100, runtime))
+    return facts.select(label.alias("label"), (percent.cast("double") / 100).alias("score"))
+
+
+@query
+def classification_report(spark, sf_dir):
+    scored = _scored(spark, sf_dir).filter(F.col("score").isNotNull())
+    return metrics.classification_report(scored.withColumn("prediction", F.when(F.col("score") > 0.5, 1).otherwise(0)))
+
+
+@query
+def roc_auc(spark, sf_dir):
+    return metrics.roc_auc(_scored(spark, sf_dir))
+
+
+@query
+def average_precision(spark, sf_dir):
+    return metrics.average_precision(_scored(spark, sf_dir))
+
+
+@query
+def roc_curve(spark, sf_dir):
+    return metrics.roc_curve(_scored(spark, sf_dir))
+
+
+@query
+def pr_curve(spark, sf_dir):
+    return metrics.pr_curve(_scored(spark, sf_dir))
+
+
+@query
+def class_weights(spark, sf_dir):
+    return metrics.class_weights(_scored(spark, sf_dir))
+
+
+@query
+def chronological_split(spark, sf_dir):
+    """Which events are for training, which for testing."""
+    events = materialize(Inputs(spark, sf_dir).enriched.select("event_id", "event_ts"))
+    cut = ordering.chronological_cut(events)
+    before = ordering.is_before(cut, ["event_ts", "event_id"])
+    return events.select("event_id", F.when(before, 1).otherwise(0).alias("is_train"))
+
+
+def _new_folder(spark, name):
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _ingested(spark, sf_dir, name):
+    """Send all raw events as messages through the stream; some are cut short, some lack a key."""
+    folder = _new_folder(spark, name)
+    event = F.to_json(F.struct(*testtables.raw_events(spark, sf_dir).columns))
+    cut_short = F.col("playback_position") < 0
+    lines = testtables.raw_events(spark, sf_dir).select(
+        F.when(cut_short, F.substr(event, F.lit(1), F.length(event) - 5)).otherwise(event).alias("value")
+    )
+    lines.write.text(f"{folder}/lines")
+    messages.publish(spark, f"{folder}/lines", "text", path=f"{folder}/topic")
+    running = ingest.ingest(
+        messages.file_messages(spark, f"{folder}/topic"),
+        table=f"{folder}/events",
+        quarantine=f"{folder}/quarantine",
+        checkpoint=f"{folder}/checkpoint",
+        trigger=ingest.BACKLOG,
+    )
+    running.awaitTermination()
+    return folder
+
+
+@query
+def streaming_ingest(spark, sf_dir):
+    return spark.read.parquet(_ingested(spark, sf_dir, "ingest") + "/events").drop("batch_id")
+
+
+@query
+def streaming_quarantine(spark, sf_dir):
+    found = spark.read.parquet(_ingested(spark, sf_dir, "ingest") + "/quarantine")
+    return found.groupBy("problem").agg(F.count(F.lit(1)).alias("n_messages"))
+
+
+def _stored_features(spark, sf_dir):
+    return materialize(completion_prediction_features(spark, sf_dir))
+
+
+@query
+def predicted_completion(spark, sf_dir):
+    """Train on the oldest four fifths of the features, score all of them."""
+    stored = _stored_features(spark, sf_dir)
+    train, _ = ordering.chronological_split(model.labelled(stored))
+    return model.score(model.fit(train), stored)
+
+
+@query
+def predicted_from_enriched(spark, sf_dir):
+    """Scoring of enriched events, which share only few columns with the features."""
+    train, _ = ordering.chronological_split(model.labelled(_stored_features(spark, sf_dir)))
+    fitted = model.fit(train)
+    return model.score(fitted, model.align(Inputs(spark, sf_dir).enriched, fitted))
+
+
+@query
+def model_coefficients(spark, sf_dir):
+    train, _ = ordering.chronological_split(model.labelled(_stored_features(spark, sf_dir)))
+    return model.coefficients(spark, model.fit(train))
+
+
+@query
+def model_report(spark, sf_dir):
+    _, evaluation = model.train_and_evaluate(_stored_features(spark, sf_dir))
+    return evaluation.report
