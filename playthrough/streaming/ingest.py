@@ -18,6 +18,7 @@ from playthrough.operators.cleaning import first_per_event_id, rules
 from playthrough.sources.messages import parse_messages
 
 BROADCAST_IDS = 500_000  # ids of one micro-batch sent to every executor at most
+ROWS_PER_FILE = 1_000_000
 
 LIVE = {"processingTime": "1 second"}
 BACKLOG = {"availableNow": True}
@@ -67,13 +68,14 @@ def write_batch(messages: DataFrame, batch_id: int, table: str, quarantine: str,
         n = batch.count()
         if n == 0:
             return
+        files = -(-n // ROWS_PER_FILE)  # adaptive execution, which would merge small ones, is off in a stream
         bad = batch.filter(F.col("problem").isNotNull()).select("value", "problem")
-        bad.write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
+        bad.coalesce(files).write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
         events = first_per_event_id(batch.filter(F.col("problem").isNull()))
         stored = stored_events(spark, table)
         if stored is not None:
             events = without_stored(events, stored.filter(F.col("batch_id") != batch_id), n)
-        events.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+        events.coalesce(files).write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
     finally:
         batch.unpersist()
 
