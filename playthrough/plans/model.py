@@ -68,8 +68,8 @@ def build_pipeline(numeric: list[str], categorical: list[str], n_rows: int, c: f
             regParam=1.0 / (c * n_rows),
             elasticNetParam=0.0,
             standardization=False,
-            maxIter=200,
-            tol=1e-8,
+            maxIter=100,
+            tol=1e-6,
         ),
     ]
     return Pipeline(stages=stages)

@@ -44,19 +44,22 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("tablet")
     )
     position = F.when(i % 97 == 0, -1).otherwise(F.floor(F.col("value") * 60).cast("int"))
-    # Copies by explode, so that the source is scanned once.
-    copies = F.explode(F.when(i % 50 == 0, F.array(F.lit(0), F.lit(60000))).otherwise(F.array(F.lit(0))))
-    rows = src.select(
-        i.cast("string").alias("event_id"),
-        ts.alias("event_ts"),
-        F.col("user_id").cast("string").alias("user_id"),
-        (k % 5).cast("string").alias("content_id"),
-        kind.alias("event_type"),
-        position.alias("playback_position"),
-        device.alias("device"),
-        copies.alias("_delay"),
+    row = {
+        "event_id": i.cast("string"),
+        "event_ts": ts,
+        "user_id": F.col("user_id").cast("string"),
+        "content_id": (k % 5).cast("string"),
+        "event_type": kind,
+        "playback_position": position,
+        "device": device,
+    }
+    once, again = (
+        F.struct(*[v.alias(c) for c, v in {**row, "event_ts": ts + delay}.items()]) for delay in (0, 60000)
     )
-    return rows.withColumn("event_ts", F.col("event_ts") + F.col("_delay")).select(*EVENTS.fieldNames())
+    # The copies come out of a generator: the source is scanned once, and filters on these columns do
+    # not evaluate the expressions above again.
+    rows = src.select(F.inline(F.when(i % 50 == 0, F.array(once, again)).otherwise(F.array(once))))
+    return rows.select(*EVENTS.fieldNames())
 
 
 def users_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
