@@ -32,6 +32,7 @@ def parser() -> argparse.ArgumentParser:
     for name in ["messages", "table", "quarantine", "checkpoint"]:
         stream.add_argument(name)
     stream.add_argument("--clean", action="store_true", help="quarantine invalid events too")
+    stream.add_argument("--remember", help="keep the ids of this period in state, e.g. '1 day', see the module")
     stream.add_argument("--backlog", action="store_true", help="stop after what is there now")
     publish = job.add_parser("publish", help="send a file of JSON lines to a Kafka topic")
     for name in ["lines", "servers", "topic"]:
@@ -46,7 +47,7 @@ def main(argv: list[str] | None = None) -> None:
         case "create-inputs":
             jobs.create_inputs(spark)
         case "clean":
-            jobs.clean(spark, a.max_rows)
+            print(jobs.clean(spark, a.max_rows))
         case "enrich":
             jobs.enrich_events(spark)
         case "features":
@@ -66,6 +67,7 @@ def main(argv: list[str] | None = None) -> None:
                 checkpoint=a.checkpoint,
                 trigger=ingest.BACKLOG if a.backlog else ingest.LIVE,
                 clean=a.clean,
+                remember=a.remember,
             ).awaitTermination()
         case "publish":
             options = {"kafka.bootstrap.servers": a.servers, "topic": a.topic}

@@ -6,7 +6,7 @@ per distinct score. The counts are exact and combine before the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playthrough.functions.scalar import RATIO_SCALE
@@ -70,11 +70,14 @@ def score_curve(scored: DataFrame, label: str = "label", score: str = "score") -
         .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
         .withColumn("_down", -F.col("score"))
     )
-    sums = {"tp": "pos", "fp": "neg"}
-    curve = running_sums(by_score, "_down", sums, {"next_pos": "pos", "next_neg": "neg"}).drop("_down")
-    # The last running total is the grand total: a one-row table.
-    total = curve.agg(F.max("tp").alias("p"), F.max("fp").alias("n"))
-    return curve.join(F.broadcast(total))
+    curve = running_sums(
+        by_score,
+        "_down",
+        sums={"tp": "pos", "fp": "neg"},
+        totals={"p": "pos", "n": "neg"},
+        ahead={"next_pos": "pos", "next_neg": "neg"},
+    )
+    return curve.drop("_down")
 
 
 def roc_curve(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
@@ -132,6 +135,6 @@ def average_precision(scored: DataFrame, label: str = "label", score: str = "sco
 def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
     """n / (2 * n_class) for each of the two classes."""
     counts = df.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n_rows"))
-    total = counts.agg(F.sum("n_rows").alias("_all"))
-    weight = F.col("_all").cast("double") / (2 * F.col("n_rows"))
-    return counts.join(F.broadcast(total)).select("label", "n_rows", weight.alias("weight"))
+    everyone = F.sum("n_rows").over(Window.partitionBy())  # of two rows
+    weight = everyone.cast("double") / (2 * F.col("n_rows"))
+    return counts.select("label", "n_rows", weight.alias("weight"))

@@ -144,7 +144,7 @@ def completion_prediction_features(
     ``is_completion``, ``user_avg_session_duration`` and ``time_since_last_completion`` see events
     later than their own.
     """
-    rows = with_history(enriched, genre_list, hot).filter(F.col("release_year").isNotNull())
+    rows = with_history(enriched.drop("email"), genre_list, hot).filter(F.col("release_year").isNotNull())
     popularity = F.col("_viewers").cast("bigint")
     activity = F.col("_recent").cast("bigint")
     user_rate, content_rate = tables.completion_rate("user"), tables.completion_rate("content")

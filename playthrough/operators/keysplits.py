@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CHUNK_ROWS = 4_000_000  # rows a single task should window over
-MAX_CHUNKS = 20_000  # over all hot keys; chunks grow beyond CHUNK_ROWS instead
+MAX_CHUNKS = 10_000  # hot keys at most, and a few times as many chunks; beyond, chunks grow instead
 SAMPLES_PER_CHUNK = 8
 BLOCK = 64  # chunk starts are looked up in two steps: block, then start within the block
 
@@ -32,8 +32,9 @@ CHUNK, SUB, HOT, LAST_TS = "_chunk", "_sub", "_hot", "_last_ts"
 class KeySplits:
     """Chunk starts of the hot keys; ``table`` is None when no key is hot.
 
-    The table has one row per hot key. With n rows in all there are at most ``MAX_CHUNKS`` hot
-    keys and twice as many chunks whatever n is, so it is always safe to broadcast.
+    The table has one row per hot key. A key is hot with more than n / ``MAX_CHUNKS`` of the n rows, so
+    there are at most ``MAX_CHUNKS`` hot keys, and a few times as many chunks over all of them,
+    whatever n is: a few megabytes, always safe to broadcast.
     """
 
     keys: tuple[str, ...]

@@ -58,24 +58,28 @@ def chronological_cut(df: DataFrame, test_size: float = 0.2) -> Row | None:
     return row_at(df, ["event_ts", "event_id"], int(df.count() * (1 - test_size)))
 
 
-def running_sums(df: DataFrame, order: str, sums: Mapping[str, str], ahead: Mapping[str, str]) -> DataFrame:
+def running_sums(
+    df: DataFrame, order: str, sums: Mapping[str, str], totals: Mapping[str, str], ahead: Mapping[str, str]
+) -> DataFrame:
     """Running totals over all rows in ascending order of one column, and values of the row after.
 
-    ``sums`` maps new columns to the column to add up (up to and including the row), ``ahead`` new
-    columns to the column to take from the next row. The rows are range-partitioned: each
-    partition adds up by itself, and starts from the totals of those before it.
+    ``sums`` maps new columns to the column to add up, up to and including the row; ``totals`` to one
+    to add up over all rows; ``ahead`` to one to take from the next row. The rows are
+    range-partitioned: each partition adds up by itself, and starts from the totals of those before.
     """
     ranged = df.repartitionByRange(order).withColumn("_range", F.spark_partition_id())
     ranged = materialize(ranged)  # the ranges come from a sample: fix them before using them twice
     first = F.min_by(F.struct(*set(ahead.values())), order)
     per_range = ranged.groupBy("_range").agg(
-        *[F.sum(c).alias(f"_total_{name}") for name, c in sums.items()], first.alias("_first")
+        *[F.sum(c).alias(f"_total_{name}") for name, c in {**sums, **totals}.items()], first.alias("_first")
     )
     # One row per partition.
     ranges = Window.orderBy("_range")
+    earlier = ranges.rowsBetween(Window.unboundedPreceding, -1)
     carry = per_range.select(
         "_range",
-        *[F.sum(f"_total_{n}").over(ranges.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_carry_{n}") for n in sums],
+        *[F.sum(f"_total_{n}").over(earlier).alias(f"_carry_{n}") for n in sums],
+        *[F.sum(f"_total_{n}").over(Window.partitionBy()).alias(n) for n in totals],
         F.lead("_first").over(ranges).alias("_next"),
     )
     inside = Window.partitionBy("_range").orderBy(order)
@@ -91,4 +95,4 @@ def running_sums(df: DataFrame, order: str, sums: Mapping[str, str], ahead: Mapp
         F.when(F.col(f"_in_{n}").isNotNull(), F.col(f"_in_{n}")[c]).otherwise(F.col("_next")[c]).alias(n)
         for n, c in ahead.items()
     ]
-    return out.select(*df.columns, *results)
+    return out.select(*df.columns, *totals, *results)

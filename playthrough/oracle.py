@@ -310,6 +310,7 @@ SQL = {
     ),
     "calendar_fields": _query([*_EV_STACK, _CALENDAR], "SELECT * FROM calendar"),
     "completion_prediction_features": _query(_FEATURES, "SELECT * FROM features"),
+    "completion_prediction_features_hot_keys": _query(_FEATURES, "SELECT * FROM features"),
     "classification_report": _query(
         _SCORED,
         """, cells AS (
@@ -376,6 +377,11 @@ UNION ALL SELECT NULL, 0.0, 0.0""",
         "SELECT * FROM raw WHERE playback_position >= 0 AND device IS NOT NULL "
         "QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY event_ts) = 1",
     ),
+    "streaming_ingest_remembered": _query(
+        [_RAW],
+        "SELECT DISTINCT event_id, user_id, content_id, event_type, playback_position, device FROM raw "
+        "WHERE playback_position >= 0 AND device IS NOT NULL",
+    ),
     "streaming_quarantine": _query(
         [_RAW],
         "SELECT CASE WHEN playback_position < 0 THEN 'not_json' ELSE 'missing_key' END AS problem, "

@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from playthrough import schemas
 from playthrough.operators import cleaning, enrich, genres, sessions, tables
@@ -26,13 +27,25 @@ def create_inputs(spark: SparkSession) -> None:
     store.create_table(spark, CONTENT, schemas.CONTENT)
 
 
-def clean(spark: SparkSession, max_rows: int | None = None) -> None:
-    """Add the valid raw events whose id is new to the cleaned ones."""
+def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """``df`` with its rows counted on the way, by whatever action runs over it."""
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias(name)), seen
+
+
+def clean(spark: SparkSession, max_rows: int | None = None) -> dict[str, int]:
+    """Add the valid raw events whose id is new to the cleaned ones.
+
+    Returns how many rows were read and how many of them were valid.
+    """
     store.create_table(spark, CLEANED, schemas.CLEANED_EVENTS)
     raw = spark.table(RAW).select(*schemas.EVENT_COLUMNS)
     if max_rows is not None:
         raw = cleaning.oldest_events(raw, max_rows)
-    store.append_new(cleaning.valid_events(raw), CLEANED)
+    raw, read = counted(raw, "rows_read")
+    valid, kept = counted(cleaning.valid_events(raw), "rows_valid")
+    store.append_new(valid, CLEANED)
+    return {**read.get, **kept.get}
 
 
 def enrich_events(spark: SparkSession, replace: bool = True) -> None:
@@ -73,14 +86,16 @@ def features(
         for name, table in intermediate_tables(enriched, genre_list, hot).items():
             store.save_table(table, name, replace)
     final = feature_table.completion_prediction_features(enriched, genre_list, as_of, hot)
-    store.save_table(final.repartitionByRange("event_ts").sortWithinPartitions("event_ts"), FEATURES, replace)
+    store.save_table(store.by_time(final), FEATURES, replace)
 
 
 def train(spark: SparkSession, model_path: str, test_size: float = 0.2) -> model.Evaluation:
     """Fit on the oldest features, save the model, evaluate on the newest."""
-    fitted, evaluation = model.train_and_evaluate(store.load(spark, f"SELECT * FROM {FEATURES}"), test_size)
-    model.save(fitted, model_path)
-    return evaluation
+    train_rows, test_rows = model.split(store.load(spark, f"SELECT * FROM {FEATURES}"), test_size)
+    model.save(model.fit(train_rows), model_path)
+    # Evaluate what was saved. A freshly fitted model also drags its training summary, and with it the
+    # session, into every task, which fails once the session has observed metrics.
+    return model.evaluate_on(model.load(model_path), test_rows)
 
 
 def score(spark: SparkSession, model_path: str, out: str, query: str = f"SELECT * FROM {FEATURES}") -> None:

@@ -178,11 +178,20 @@ def evaluate(predicted: DataFrame) -> Evaluation:
     )
 
 
+def split(features: DataFrame, test_size: float = 0.2) -> tuple[DataFrame, DataFrame]:
+    """Labelled rows: the oldest for training, the newest for testing."""
+    return chronological_split(labelled(features), test_size)
+
+
+def evaluate_on(model: PipelineModel, test: DataFrame) -> Evaluation:
+    """Apply the model once and derive all metrics from that."""
+    return evaluate(materialize(apply(model, test).select("label", "prediction", PROBABILITY)))
+
+
 def train_and_evaluate(features: DataFrame, test_size: float = 0.2) -> tuple[PipelineModel, Evaluation]:
-    """Train on the oldest rows, evaluate on the newest."""
-    train, test = chronological_split(labelled(features), test_size)
+    train, test = split(features, test_size)
     model = fit(train)
-    return model, evaluate(materialize(apply(model, test).select("label", "prediction", PROBABILITY)))
+    return model, evaluate_on(model, test)
 
 
 def save(model: PipelineModel, path: str) -> None:

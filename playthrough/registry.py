@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from playthrough.functions import metrics, scalar
 from playthrough.operators import cleaning, enrich, features, genres, ordering, sessions, tables
+from playthrough.operators.keysplits import CHUNK_ROWS
 from playthrough.oracle import AS_OF
 from playthrough.plans import model
 from playthrough.sources import messages, testtables
@@ -32,11 +33,11 @@ def query(fn: Query) -> Query:
 class Inputs:
     """The enriched events of one test folder, with the hot keys of its raw events."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, chunk_rows: int = CHUNK_ROWS):
         self.raw = testtables.raw_events(spark, sf_dir)
         self.content = testtables.content_dim(spark, sf_dir)
         self.users = testtables.users_dim(spark, sf_dir)
-        self.hot = features.find_hot_keys(self.raw)
+        self.hot = features.find_hot_keys(self.raw, chunk_rows)
         self.enriched = enrich.enriched_table(
             cleaning.clean_events(self.raw), self.users, self.content, self.hot.user, self.hot.content
         )
@@ -191,6 +192,13 @@ def completion_prediction_features(spark, sf_dir):
     return features.completion_prediction_features(i.enriched, genres.genre_names(i.content), AS_OF_DATE, i.hot)
 
 
+@query
+def completion_prediction_features_hot_keys(spark, sf_dir):
+    """The same with chunks of so few rows that users and titles are hot and get cut."""
+    i = Inputs(spark, sf_dir, chunk_rows=50)
+    return features.completion_prediction_features(i.enriched, genres.genre_names(i.content), AS_OF_DATE, i.hot)
+
+
 def _scored(spark, sf_dir):
     """Label and a fixed score per event, to check metrics without a model."""
     i = Inputs(spark, sf_dir)
@@ -247,9 +255,9 @@ def _new_folder(spark, name):
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def _ingested(spark, sf_dir, name):
+def _ingested(spark, sf_dir, remember=None):
     """Send all raw events as messages through the stream; some are cut short, some lack a key."""
-    folder = _new_folder(spark, name)
+    folder = _new_folder(spark, "ingest")
     event = F.to_json(F.struct(*testtables.raw_events(spark, sf_dir).columns))
     cut_short = F.col("playback_position") < 0
     lines = testtables.raw_events(spark, sf_dir).select(
@@ -263,6 +271,7 @@ def _ingested(spark, sf_dir, name):
         quarantine=f"{folder}/quarantine",
         checkpoint=f"{folder}/checkpoint",
         trigger=ingest.BACKLOG,
+        remember=remember,
     )
     running.awaitTermination()
     return folder
@@ -270,12 +279,19 @@ def _ingested(spark, sf_dir, name):
 
 @query
 def streaming_ingest(spark, sf_dir):
-    return spark.read.parquet(_ingested(spark, sf_dir, "ingest") + "/events").drop("batch_id")
+    return spark.read.parquet(_ingested(spark, sf_dir) + "/events").drop("batch_id")
+
+
+@query
+def streaming_ingest_remembered(spark, sf_dir):
+    """With ids kept in state. Of copies in one batch any may win; they differ in their time only."""
+    stored = spark.read.parquet(_ingested(spark, sf_dir, remember="1 day") + "/events")
+    return stored.drop("batch_id", "event_ts")
 
 
 @query
 def streaming_quarantine(spark, sf_dir):
-    found = spark.read.parquet(_ingested(spark, sf_dir, "ingest") + "/quarantine")
+    found = spark.read.parquet(_ingested(spark, sf_dir) + "/quarantine")
     return found.groupBy("problem").agg(F.count(F.lit(1)).alias("n_messages"))
 
 

@@ -1,8 +1,13 @@
 """Continuous ingest of event messages into the raw event table.
 
 Each micro-batch goes into its own ``batch_id=…`` folder and overwrites it when replayed after a
-failure, so a message is stored once however often its batch runs. Ids stored by earlier batches
-are skipped, which is exact over the whole table and needs no watermark: late events are kept.
+failure, so a message is stored once however often its batch runs.
+
+Repeated event ids are skipped in one of two ways. By default a batch is compared with all stored
+ids: exact, but every batch reads the id column of the whole table. With ``remember`` the ids of
+that period are kept in Spark's state store instead, so a batch costs what it holds, however large
+the table is; an id repeated later than that is stored again, and left to the cleaning job, which is
+always exact. Either way time is that of arrival: late events are kept.
 """
 
 from __future__ import annotations
@@ -59,11 +64,23 @@ def sort_messages(messages: DataFrame, clean: bool = False) -> DataFrame:
     return parsed.withColumn("problem", F.coalesce("problem", *failed))
 
 
-def write_batch(messages: DataFrame, batch_id: int, table: str, quarantine: str, clean: bool = False) -> None:
+def drop_remembered(parsed: DataFrame, remember: str) -> DataFrame:
+    """Drop events whose id arrived less than ``remember`` ago; quarantined messages all pass."""
+    events = (
+        parsed.filter(F.col("problem").isNull())
+        .withColumn("_arrived", F.current_timestamp())
+        .withWatermark("_arrived", remember)
+        .dropDuplicatesWithinWatermark(["event_id"])
+        .drop("_arrived")
+    )
+    return events.unionByName(parsed.filter(F.col("problem").isNotNull()))
+
+
+def write_batch(parsed: DataFrame, batch_id: int, table: str, quarantine: str, look_up: bool = True) -> None:
     """Split one micro-batch into new events and quarantined messages."""
-    spark = messages.sparkSession
+    spark = parsed.sparkSession
     # Read by the count and both writes; lost blocks are recomputed from the source's offsets.
-    batch = sort_messages(messages, clean).persist()
+    batch = parsed.persist()
     try:
         n = batch.count()
         if n == 0:
@@ -72,7 +89,7 @@ def write_batch(messages: DataFrame, batch_id: int, table: str, quarantine: str,
         bad = batch.filter(F.col("problem").isNotNull()).select("value", "problem")
         bad.coalesce(files).write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
         events = first_per_event_id(batch.filter(F.col("problem").isNull()))
-        stored = stored_events(spark, table)
+        stored = stored_events(spark, table) if look_up else None
         if stored is not None:
             events = without_stored(events, stored.filter(F.col("batch_id") != batch_id), n)
         events.coalesce(files).write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
@@ -88,11 +105,15 @@ def ingest(
     checkpoint: str,
     trigger: dict = LIVE,
     clean: bool = False,
+    remember: str | None = None,
 ) -> StreamingQuery:
     """Start the query; ``trigger=BACKLOG`` takes what is there and stops."""
-    write = functools.partial(write_batch, table=table, quarantine=quarantine, clean=clean)
+    parsed = sort_messages(messages, clean)
+    if remember is not None:
+        parsed = drop_remembered(parsed, remember)
+    write = functools.partial(write_batch, table=table, quarantine=quarantine, look_up=remember is None)
     return (
-        messages.writeStream.foreachBatch(lambda batch, batch_id: write(batch, batch_id))
+        parsed.writeStream.foreachBatch(lambda batch, batch_id: write(batch, batch_id))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()

@@ -7,6 +7,7 @@ from check_oracle import connect, rows_of
 
 from playthrough import oracle, schemas
 from playthrough.__main__ import main, parser
+from playthrough.operators import cleaning
 from playthrough.plans import jobs
 from playthrough.sources import testtables
 
@@ -38,7 +39,8 @@ def expected(name):
 
 
 def test_batch_run(spark, database):
-    main(["clean"])
+    raw = spark.table(jobs.RAW)
+    assert jobs.clean(spark) == {"rows_read": raw.count(), "rows_valid": cleaning.valid_events(raw).count()}
     assert stored(spark, jobs.CLEANED) == expected("clean_events")
     main(["clean"])
     assert stored(spark, jobs.CLEANED) == expected("clean_events")

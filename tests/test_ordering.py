@@ -44,11 +44,11 @@ def test_running_sums_over_several_ranges(spark):
     keys = rng.sample(range(100_000), 3000)
     data = [(k, rng.randrange(10), rng.randrange(10)) for k in keys]
     df = spark.createDataFrame(data, "k int, a int, b int").repartition(6)
-    found = ordering.running_sums(df, "k", {"sum_a": "a"}, {"next_a": "a", "next_b": "b"})
-    got = {r["k"]: (r["sum_a"], r["next_a"], r["next_b"]) for r in found.collect()}
-    total, want = 0, {}
+    found = ordering.running_sums(df, "k", {"sum_a": "a"}, {"all_b": "b"}, {"next_a": "a", "next_b": "b"})
+    got = {r["k"]: (r["sum_a"], r["all_b"], r["next_a"], r["next_b"]) for r in found.collect()}
+    total, want, all_b = 0, {}, sum(b for _, _, b in data)
     data.sort()
     for row, after in zip(data, [*data[1:], (None, None, None)]):
         total += row[1]
-        want[row[0]] = (total, after[1], after[2])
+        want[row[0]] = (total, all_b, after[1], after[2])
     assert got == want

@@ -92,7 +92,7 @@ def test_a_replayed_batch_replaces_itself(spark, tmp_path):
     f = Folders(tmp_path)
     batch = spark.createDataFrame([(line(event_id="a"),), (line(event_id="b"),)], "value string")
     for _ in range(2):
-        stream.write_batch(batch, 7, f.table, f.quarantine)
+        stream.write_batch(stream.sort_messages(batch), 7, f.table, f.quarantine)
     assert [i for i, _ in f.stored(spark)] == ["a", "b"]
 
 
@@ -117,6 +117,16 @@ def test_ingest_of_clean_rows(spark, tmp_path):
     }
 
 
+def test_ids_remembered_in_state(spark, tmp_path):
+    f = Folders(tmp_path)
+    f.add("a", line(event_id="a", event_ts=1), line(event_id="b", event_ts=2), "broken", "broken")
+    f.run(spark, remember="1 day")
+    f.add("b", line(event_id="a", event_ts=3), line(event_id="c", event_ts=-5), "broken")
+    f.run(spark, remember="1 day")
+    assert f.stored(spark) == [("a", 1), ("b", 2), ("c", -5)]
+    assert spark.read.parquet(f.quarantine).count() == 3
+
+
 def test_publish_keeps_lines(spark, tmp_path):
     source, sink = tmp_path / "lines.json", str(tmp_path / "topic")
     source.write_text(line(event_id="a") + "\n" + line(event_id="b") + "\n")
