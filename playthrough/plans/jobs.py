@@ -91,11 +91,9 @@ def features(
 
 def train(spark: SparkSession, model_path: str, test_size: float = 0.2) -> model.Evaluation:
     """Fit on the oldest features, save the model, evaluate on the newest."""
-    train_rows, test_rows = model.split(store.load(spark, f"SELECT * FROM {FEATURES}"), test_size)
-    model.save(model.fit(train_rows), model_path)
-    # Evaluate what was saved. A freshly fitted model also drags its training summary, and with it the
-    # session, into every task, which fails once the session has observed metrics.
-    return model.evaluate_on(model.load(model_path), test_rows)
+    fitted, evaluation = model.train_and_evaluate(store.load(spark, f"SELECT * FROM {FEATURES}"), test_size)
+    model.save(fitted, model_path)
+    return evaluation
 
 
 def score(spark: SparkSession, model_path: str, out: str, query: str = f"SELECT * FROM {FEATURES}") -> None:

@@ -5,6 +5,7 @@ The input is a stored feature table: training passes over it several times.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -17,7 +18,7 @@ from pyspark.sql import types as T
 
 from playthrough.functions import metrics
 from playthrough.operators.ordering import chronological_split
-from playthrough.sources.checkpoint import materialize
+from playthrough.sources.checkpoint import materialize, shared_folder
 
 NOT_FEATURES = ["event_id", "event_ts", "is_completion", "user_genre_preference"]
 PROBABILITY = "predicted_completion_probability"
@@ -102,7 +103,18 @@ def fit(train: DataFrame, impute_from: DataFrame | None = None) -> PipelineModel
     if impute_from is not None and numeric:
         imputer, *rest = pipeline.getStages()
         pipeline = Pipeline(stages=[imputer.fit(typed(impute_from, numeric)), *rest])
-    return pipeline.fit(rows)
+    return stored_copy(pipeline.fit(rows), train.sparkSession)
+
+
+def stored_copy(model: PipelineModel, spark: SparkSession) -> PipelineModel:
+    """The model as read back from storage.
+
+    A freshly fitted one drags its training summary, and with it the session, into every task;
+    that fails once the session has observed metrics.
+    """
+    path = f"{shared_folder(spark)}/model-{uuid.uuid4().hex}"
+    save(model, path)
+    return load(path)
 
 
 def model_inputs(model: PipelineModel) -> tuple[list[str], list[str]]:
