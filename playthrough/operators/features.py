@@ -73,12 +73,9 @@ def with_history(enriched: DataFrame, genre_list: list[str] | None, hot: HotKeys
     )
     rows = rows.withColumn("prev_ts", F.coalesce("_prev", F.lit(0).cast("bigint")))
     rows = sessions.with_session_facts(sessions.with_session_start(rows), hot.user_content)
-    pairs = keyed_history(
-        rows, sessions.USER_CONTENT, totals={"_pair_sessions": sessions.ends_session()}, splits=hot.user_content
-    )
     counters = {} if genre_list is None else genres.counters(genre_list)
     by_user = keyed_history(
-        pairs,
+        rows,
         tables.USER,
         prior=tables.session_sums("user"),
         recent={"_recent": tables.one(), **tables.engagement_sums(), **counters},
@@ -107,7 +104,7 @@ def session_timing() -> dict[str, Column]:
         "time_since_last_event_user": ts - F.coalesce("_prev_user_ts", F.lit(0)),
         "time_since_last_completion": ts - F.coalesce("_prev_session_end", "session_end_ts"),
         "user_avg_session_duration": F.col("_duration_sum").cast("double") / F.col("_user_n"),
-        "user_content_session_count": F.col("_pair_sessions").cast("bigint"),
+        "user_content_session_count": F.col("pair_sessions").cast("bigint"),
     }
 
 

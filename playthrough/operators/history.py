@@ -94,7 +94,7 @@ def _chunked(df, keys, prior, recent, span, lags, totals, splits):
     else:
         rows = rows.withColumns({EXPIRY: F.lit(False), AT: F.col("event_ts")})
     # Read twice below, by the carry-over and by the windows.
-    rows = materialize(splits.cluster(splits.assign(rows, F.col(AT), F.col("event_id")).drop(ks.LAST_TS)))
+    rows = materialize(splits.assign(rows, F.col(AT), F.col("event_id")).drop(ks.LAST_TS))
 
     expiry = F.col(EXPIRY)
     once = {c: F.when(~expiry, F.col(c)) for (g, _), c in values.items() if g in "pt"}
@@ -121,7 +121,7 @@ def _chunked(df, keys, prior, recent, span, lags, totals, splits):
     by_time = part.orderBy(AT)
     earlier = by_time.rangeBetween(Window.unboundedPreceding, -1)
     before = part.orderBy(AT, "event_id").rowsBetween(Window.unboundedPreceding, -1)
-    out = rows.withColumns({f"{c}_w": F.last(v, ignorenulls=True).over(before) for c, v in latest.items()})
+    out = splits.cluster(rows).withColumns({f"{c}_w": F.last(v, ignorenulls=True).over(before) for c, v in latest.items()})
     frames = {}
     for (g, _), c in values.items():
         if g == "p":

@@ -78,20 +78,22 @@ FACTS = [
     "num_unique_events",
     "session_last_id",
     "pauses_so_far",
+    "pair_sessions",
 ]
 
 
 def with_session_facts(sessions: DataFrame, splits: ks.KeySplits | None = None) -> DataFrame:
-    """Every event with the facts of its own session, and its pauses up to and including now.
+    """Every event with the facts of its own session, its pauses up to and including now, and the
+    number of sessions of its user and title.
 
     ``session_last_id`` is the event that ends the session, one per session: summing over these
     events is summing over sessions, which saves a join against the session table.
     """
     hot = splits is not None and splits.any_hot
-    rows = sessions
+    rows = clustered = sessions
     if hot:
-        assigned = splits.assign(sessions, F.col("event_ts"), F.col("event_id")).drop(ks.LAST_TS)
-        rows = materialize(splits.cluster(assigned))
+        rows = materialize(splits.assign(sessions, F.col("event_ts"), F.col("event_id")).drop(ks.LAST_TS))
+        clustered = splits.cluster(rows)
     part = Window.partitionBy(*SESSION, *([ks.CHUNK, ks.SUB] if hot else []))
     pause = F.when(F.col("event_type") == "pause", 1).otherwise(0)
     end = F.max(F.struct("event_ts", "event_id"))
@@ -103,12 +105,19 @@ def with_session_facts(sessions: DataFrame, splits: ks.KeySplits | None = None)
         "stopped_near_end": F.max(_near_end()).over(part),
         "num_unique_events": F.size(F.collect_set("event_type").over(part)).cast("bigint"),
     }
-    out = rows.withColumns(facts)
+    out = clustered.withColumns(facts)
     if hot:
         out = _with_split_sessions(out, rows, pause, end)
     out = out.withColumns(
         {"session_end_ts": F.col("_end")["event_ts"], "session_last_id": F.col("_end")["event_id"]}
     )
+    pair = Window.partitionBy(*USER_CONTENT, *([ks.CHUNK, ks.SUB] if hot else []))
+    out = out.withColumn("pair_sessions", F.sum(ends_session()).over(pair))
+    if hot:
+        # One row per hot pair.
+        counts = rows.filter(ks.HOT).groupBy(*USER_CONTENT).agg(F.countDistinct("session_start_ts").alias("_counted"))
+        out = out.join(F.broadcast(counts), list(USER_CONTENT), "left")
+        out = out.withColumn("pair_sessions", F.coalesce("_counted", "pair_sessions"))
     return out.select(*sessions.columns, *FACTS)
 
 
