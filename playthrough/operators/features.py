@@ -61,11 +61,8 @@ def find_hot_keys(events: DataFrame, chunk_rows: int = CHUNK_ROWS, max_chunks: i
 
 def with_history(enriched: DataFrame, genre_list: list[str] | None, hot: HotKeys = NO_HOT_KEYS) -> DataFrame:
     """Enriched events with their session and everything known before them."""
-    rows = enriched
-    if not hot.user.any_hot and not hot.user_content.any_hot:
-        rows = rows.repartition("user_id")  # serves the windows by (user, title) and by user
     rows = keyed_history(
-        rows,
+        tables.clustered_by(enriched, tables.USER, hot.user, hot.user_content),
         sessions.USER_CONTENT,
         prior={"_earlier": tables.one()},
         lags={"_prev": F.col("event_ts")},
@@ -126,7 +123,8 @@ def calendar_fields(as_of: Column) -> dict[str, Column]:
 
 
 def as_of_column(as_of: datetime.date | None) -> Column:
-    return F.current_date() if as_of is None else F.lit(as_of)
+    """The given day, or today in UTC."""
+    return scalar.utc_date(F.unix_millis(F.current_timestamp())) if as_of is None else F.lit(as_of)
 
 
 def completion_prediction_features(

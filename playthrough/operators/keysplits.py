@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 CHUNK_ROWS = 4_000_000  # rows a single task should window over
 MAX_CHUNKS = 10_000  # hot keys at most, and a few times as many chunks; beyond, chunks grow instead
 SAMPLES_PER_CHUNK = 8
+THINNED_TO = 50  # candidates per sample
 BLOCK = 64  # chunk starts are looked up in two steps: block, then start within the block
 
 CHUNK, SUB, HOT, LAST_TS = "_chunk", "_sub", "_hot", "_last_ts"
@@ -118,11 +119,13 @@ def find_splits(
         *keys, "event_id", "event_ts", LAST_TS, points.cast("bigint").alias("_points"), F.explode(times).alias("_at")
     )
     timeline = timeline.filter((F.col("_at") == F.col("event_ts")) | (F.col("_at") < F.col(LAST_TS)))
-    # A uniform sample by hashing: each slot keeps the row with the largest hash. Map-side combine
-    # leaves one row per slot and map task.
+    # A uniform sample by hashing: thin out by one hash, then each slot of another keeps the row with
+    # the largest. Map-side combine leaves one row per slot and map task.
+    step = max(1, limit // (THINNED_TO * SAMPLES_PER_CHUNK))
+    thin = timeline.filter(F.pmod(F.xxhash64(F.lit("thin"), "event_id", "_at"), F.lit(step)) == 0)
     point = F.struct(F.col("_at").alias("ts"), F.col("event_id").alias("id"))
     sample = (
-        timeline.withColumn("_slot", F.pmod(F.xxhash64("event_id", "_at"), F.col("_points")))
+        thin.withColumn("_slot", F.pmod(F.xxhash64("event_id", "_at"), F.col("_points")))
         .groupBy(*keys, "_slot")
         .agg(
             F.max_by(point, F.xxhash64(F.lit("pick"), "event_id", "_at")).alias("_point"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from playthrough.sources.checkpoint import materialize
 
 PIVOTS = 64
+THINNED_TO = 20_000  # rows the pivots are picked from
 SORT_AT_MOST = 50_000  # rows sorted in one place at the end of a selection
 
 
@@ -23,8 +24,10 @@ def row_at(df: DataFrame, order: Sequence[str], k: int) -> Row | None:
     here = F.struct(*order)
     n = rows.count()
     while n > SORT_AT_MOST:
+        # Thin out by one hash, then keep one row per slot of another.
+        thin = rows.filter(F.pmod(F.xxhash64(F.lit("thin"), *order), F.lit(max(1, n // THINNED_TO))) == 0)
         slot = F.pmod(F.xxhash64(*order), F.lit(PIVOTS))
-        picked = rows.groupBy(slot.alias("_slot")).agg(F.max_by(here, F.xxhash64(F.lit(n), *order)).alias("_p"))
+        picked = thin.groupBy(slot.alias("_slot")).agg(F.max_by(here, F.xxhash64(F.lit(n), *order)).alias("_p"))
         pivots = sorted(tuple(r["_p"]) for r in picked.collect())  # PIVOTS rows
         bounds = F.array(*[F.struct(*[F.lit(v).alias(c) for c, v in zip(order, p)]) for p in pivots])
         interval = F.size(F.filter(bounds, lambda p: p <= here))

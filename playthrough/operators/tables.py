@@ -93,6 +93,14 @@ def user_genre_preference(
     return found.select("event_id", "user_id", "event_ts", "user_genre_preference")
 
 
+def clustered_by(df: DataFrame, key: list[str], *splits: KeySplits | None) -> DataFrame:
+    """Shuffle by ``key`` at once: that also serves the windows by (user, title), which come first.
+
+    Not with hot keys, whose rows must be spread.
+    """
+    return df if any(s is not None and s.any_hot for s in splits) else df.repartition(*key)
+
+
 _SESSION_INPUT = ["event_id", "event_ts", "user_id", "content_id", "event_type", "playback_position", "runtime"]
 
 
@@ -105,7 +113,8 @@ def user_completion_rate(
     enriched: DataFrame, splits: KeySplits | None = None, user_content_splits: KeySplits | None = None
 ) -> DataFrame:
     """Completed share of the user's sessions that ended before the event; 0 without any."""
-    facts = _facts(enriched, user_content_splits)
+    events = clustered_by(enriched, USER, splits, user_content_splits)
+    facts = _facts(events, user_content_splits)
     found = keyed_history(facts, USER, prior=session_sums("user"), splits=splits)
     return found.select("event_id", "user_id", completion_rate("user").alias("user_completion_rate"))
 
@@ -114,7 +123,8 @@ def content_completion_rate(
     enriched: DataFrame, splits: KeySplits | None = None, user_content_splits: KeySplits | None = None
 ) -> DataFrame:
     """Completed share of the title's sessions that ended before the event; 0 without any."""
-    facts = _facts(enriched, user_content_splits)
+    events = clustered_by(enriched, CONTENT, splits, user_content_splits)
+    facts = _facts(events, user_content_splits)
     found = keyed_history(facts, CONTENT, prior=session_sums("content"), splits=splits)
     return found.select("event_id", "content_id", completion_rate("content").alias("content_completion_rate"))
 
@@ -152,6 +162,7 @@ def content_popularity(
 ) -> DataFrame:
     """Distinct users with an earlier event on the title."""
     events = enriched.select("event_id", "user_id", "content_id", "event_ts")
+    events = clustered_by(events, CONTENT, splits, user_content_splits)
     marked = keyed_history(
         events, sessions.USER_CONTENT, lags={"_prev": F.col("event_ts")}, splits=user_content_splits
     )

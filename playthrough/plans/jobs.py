@@ -18,6 +18,7 @@ from playthrough.plans import model
 from playthrough.sources import tables as store
 
 RAW, CLEANED, USERS, CONTENT = "events_table", "cleaned_events", "users_dim", "content_dim"
+REJECTED = "rejected_events"
 ENRICHED, FEATURES = "enriched_table", "completion_prediction_features"
 
 
@@ -33,15 +34,18 @@ def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias(name)), seen
 
 
-def clean(spark: SparkSession, max_rows: int | None = None) -> dict[str, int]:
+def clean(spark: SparkSession, max_rows: int | None = None, keep_rejected: bool = False) -> dict[str, int]:
     """Add the valid raw events whose id is new to the cleaned ones.
 
-    Returns how many rows were read and how many of them were valid.
+    ``keep_rejected`` stores the other rows, each with its reason. Returns how many rows were read and
+    how many of them were valid.
     """
     store.create_table(spark, CLEANED, schemas.CLEANED_EVENTS)
     raw = spark.table(RAW).select(*schemas.EVENT_COLUMNS)
     if max_rows is not None:
         raw = cleaning.oldest_events(raw, max_rows)
+    if keep_rejected:
+        store.save_table(cleaning.rejected_events(raw), REJECTED)
     raw, read = counted(raw, "rows_read")
     valid, kept = counted(cleaning.valid_events(raw), "rows_valid")
     store.append_new(valid, CLEANED)

@@ -110,6 +110,12 @@ def test_ages(spark):
     assert (row["content_age"], row["content_age_at_event"], row["time_since_content_release"]) == (25, 24, 24)
 
 
+def test_age_counts_to_this_year_by_default(spark):
+    df = enriched(spark, [event("a", T0, year=2000)])
+    row = features.completion_prediction_features(df, ["drama"]).first()
+    assert row["content_age"] == datetime.datetime.now(datetime.timezone.utc).year - 2000
+
+
 def test_a_near_end_stop_alone_is_no_completion(spark):
     alone = clock(spark, T0, kind="stop", position=95)
     assert alone["is_completion"] == 0
@@ -158,6 +164,14 @@ def test_results_do_not_depend_on_partitioning(spark):
     assert list(map(tuple, a)) == list(map(tuple, b))
 
 
+@pytest.mark.parametrize("table", [tables.user_completion_rate, tables.content_completion_rate, tables.content_popularity])
+def test_tables_over_pairs_and_one_key_shuffle_once(spark, tmp_path, table):
+    path = str(tmp_path / "enriched")
+    enriched(spark, random_events(3, 50)).write.parquet(path)
+    plan = table(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_the_plan_shuffles_twice(spark, tmp_path):
     path = str(tmp_path / "enriched")
     enriched(spark, random_events(3, 50)).write.parquet(path)

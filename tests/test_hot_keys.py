@@ -101,6 +101,15 @@ def test_many_blocks(case, monkeypatch):
     same(tables.avg_view_duration_ratio(df, splits), tables.avg_view_duration_ratio(df))
 
 
+def test_cuts_from_a_thinned_sample(case, monkeypatch):
+    monkeypatch.setattr(keysplits, "THINNED_TO", 1)
+    df, _ = case
+    hot = find_hot_keys(df, chunk_rows=40)
+    assert hot.user.any_hot and hot.content.any_hot
+    same(tables.user_activity(df, hot.user), tables.user_activity(df))
+    same(tables.avg_view_duration_ratio(df, hot.content), tables.avg_view_duration_ratio(df))
+
+
 def test_small_input_is_not_cut(case):
     df, _ = case
     assert find_hot_keys(df) == NO_HOT_KEYS

@@ -42,8 +42,9 @@ def test_batch_run(spark, database):
     raw = spark.table(jobs.RAW)
     assert jobs.clean(spark) == {"rows_read": raw.count(), "rows_valid": cleaning.valid_events(raw).count()}
     assert stored(spark, jobs.CLEANED) == expected("clean_events")
-    main(["clean"])
+    main(["clean", "--keep-rejected"])
     assert stored(spark, jobs.CLEANED) == expected("clean_events")
+    assert stored(spark, jobs.REJECTED) == expected("rejected_events")
     main(["enrich"])
     assert stored(spark, jobs.ENRICHED) == expected("enriched_table")
     assert spark.table(jobs.ENRICHED).columns == schemas.ENRICHED_COLUMNS

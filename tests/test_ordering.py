@@ -19,6 +19,14 @@ def test_row_at_equals_sorting(spark, monkeypatch, k, small):
     assert tuple(ordering.row_at(enriched(spark, events), ORDER, k)) == want
 
 
+def test_row_at_with_pivots_from_a_thinned_sample(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "SORT_AT_MOST", 3)
+    monkeypatch.setattr(ordering, "THINNED_TO", 50)
+    events = random_events(4, 500)
+    want = sorted((e[1], e[0]) for e in events)[300]
+    assert tuple(ordering.row_at(enriched(spark, events), ORDER, 300)) == want
+
+
 def test_row_past_the_end(spark):
     assert ordering.row_at(enriched(spark, random_events(4, 5)), ORDER, 5) is None
 
