@@ -64,12 +64,8 @@ def year(ts_ms: Column) -> Column:
 
 def local_micros(ts: Column) -> Column:
     """Microseconds since 1970-01-01 00:00 of a zone-less timestamp's own wall clock."""
-    return (
-        F.unix_date(F.to_date(ts)).cast("bigint") * (DAY_MS * 1000)
-        + F.hour(ts).cast("bigint") * (HOUR_MS * 1000)
-        + F.minute(ts).cast("bigint") * 60_000_000
-        + (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("bigint")
-    )
+    since = ts.cast("timestamp_ntz") - F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+    return int_div(since, F.expr("INTERVAL '0.000001' SECOND"))
 
 
 def days_between(ts_ms: Column, since: Column) -> Column:

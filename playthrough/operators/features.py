@@ -36,13 +36,15 @@ class HotKeys:
 NO_HOT_KEYS = HotKeys(KeySplits(("user_id",)), KeySplits(("content_id",)), KeySplits(sessions.USER_CONTENT))
 
 
-def find_hot_keys(events: DataFrame, chunk_rows: int = CHUNK_ROWS, max_chunks: int = MAX_CHUNKS) -> HotKeys:
+def find_hot_keys(
+    events: DataFrame, chunk_rows: int = CHUNK_ROWS, max_chunks: int = MAX_CHUNKS, n_rows: int | None = None
+) -> HotKeys:
     """Hot users, titles and pairs of raw, cleaned or enriched events.
 
-    Best called on the stored raw events, where it costs a scan of the key columns; below
-    ``chunk_rows`` events in all it is a count.
+    Best called on a stored table, where it costs a scan of the key columns; below ``chunk_rows``
+    events in all it is a count, or nothing if ``n_rows``, their number or more, is known.
     """
-    n = events.count()
+    n = events.count() if n_rows is None else n_rows
     limit = chunk_limit(n, chunk_rows, max_chunks)
     if n <= limit:
         return NO_HOT_KEYS
