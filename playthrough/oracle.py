@@ -372,6 +372,12 @@ UNION ALL SELECT NULL, 0.0, 0.0""",
         "SELECT event_id, CAST(row_number() OVER (ORDER BY event_ts, event_id) "
         "<= floor((SELECT count(*) FROM ev) * 0.8) AS INT) AS is_train FROM ev",
     ),
+    "one_hot_totals": _query(
+        _FEATURES,
+        "SELECT concat(name, '_', category) AS feature, count(*) AS n_rows FROM features UNPIVOT ("
+        "category FOR name IN (user_plan_tier, content_genre, content_maturity_rating, event_type, device, "
+        "user_genre_recency, content_length_category)) GROUP BY 1",
+    ),
     "streaming_ingest": _query(
         [_RAW],
         "SELECT * FROM raw WHERE playback_position >= 0 AND device IS NOT NULL "

@@ -10,8 +10,16 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    Imputer,
+    ImputerModel,
+    OneHotEncoder,
+    StringIndexer,
+    StringIndexerModel,
+    VectorAssembler,
+)
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,36 +49,59 @@ def typed(df: DataFrame, numeric: list[str]) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c in numeric})
 
 
-def build_pipeline(numeric: list[str], categorical: list[str], n_rows: int, c: float = 1.0) -> Pipeline:
+def one_hot_column(name: str) -> str:
+    return f"{name}__onehot"
+
+
+def one_hot_stages(categorical: list[str]) -> list:
+    """A 0/1 vector per column, one place per category; null and unknown categories are all zeros."""
+    if not categorical:
+        return []
+    indexed = [f"{name}__index" for name in categorical]
+    return [
+        StringIndexer(inputCols=categorical, outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"),
+        OneHotEncoder(inputCols=indexed, outputCols=[one_hot_column(name) for name in categorical], dropLast=True),
+    ]
+
+
+def one_hot_names(indexer: StringIndexerModel) -> list[str]:
+    """Names of the places of all vectors, in order."""
+    return [f"{c}_{label}" for c, labels in zip(indexer.getInputCols(), indexer.labelsArray) for label in labels]
+
+
+def one_hot_totals(df: DataFrame, categorical: list[str]) -> DataFrame:
+    """How many rows have each 0/1 feature set."""
+    fitted = Pipeline(stages=one_hot_stages(categorical)).fit(df)
+    sums = [Summarizer.sum(F.col(one_hot_column(c))).alias(c) for c in categorical]
+    found = fitted.transform(df).agg(*sums).first()
+    counts = [int(n) for c in categorical for n in found[c].toArray()]
+    data = list(zip(one_hot_names(fitted.stages[0]), counts, strict=True))
+    return df.sparkSession.createDataFrame(data, "feature string, n_rows bigint")
+
+
+def build_pipeline(
+    numeric: list[str], categorical: list[str], n_rows: int, c: float = 1.0, max_iter: int = 100, tol: float = 1e-5
+) -> Pipeline:
     """Impute means, one-hot all categories, logistic regression with an L2 penalty.
 
     A category that is null or unknown gives zeros in all its columns. ``c`` is the weight of the
     summed losses against the penalty; Spark averages losses, and balanced weights add up to the
-    number of rows. The intercept is not penalised. Features are not scaled before penalising.
+    number of rows. The intercept is not penalised. Features are not scaled before penalising. Every
+    iteration is a pass over the data.
     """
-    indexed = [f"{name}__index" for name in categorical]
     filled = [f"{name}__filled" for name in numeric]
-    coded = [f"{name}__onehot" for name in categorical]
-    stages = []
-    if numeric:
-        stages.append(Imputer(strategy="mean", inputCols=numeric, outputCols=filled))
-    if categorical:
-        stages += [
-            StringIndexer(
-                inputCols=categorical, outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"
-            ),
-            OneHotEncoder(inputCols=indexed, outputCols=coded, dropLast=True),
-        ]
+    stages = [Imputer(strategy="mean", inputCols=numeric, outputCols=filled)] if numeric else []
+    stages += one_hot_stages(categorical)
     stages += [
-        VectorAssembler(inputCols=filled + coded, outputCol="features"),
+        VectorAssembler(inputCols=filled + [one_hot_column(name) for name in categorical], outputCol="features"),
         LogisticRegression(
             labelCol="label",
             weightCol="class_weight",
             regParam=1.0 / (c * n_rows),
             elasticNetParam=0.0,
             standardization=False,
-            maxIter=100,
-            tol=1e-6,
+            maxIter=max_iter,
+            tol=tol,
         ),
     ]
     return Pipeline(stages=stages)
@@ -89,8 +120,8 @@ def balanced(rows: DataFrame) -> tuple[DataFrame, int]:
     return rows.withColumn("class_weight", column), sum(r["n_rows"] for r in weights.values())
 
 
-def fit(train: DataFrame, impute_from: DataFrame | None = None) -> PipelineModel:
-    """Fit on labelled rows.
+def fit(train: DataFrame, impute_from: DataFrame | None = None, **regression: float) -> PipelineModel:
+    """Fit on labelled rows; ``regression`` are ``c``, ``max_iter`` and ``tol`` of ``build_pipeline``.
 
     Means are fitted on the training rows. ``impute_from`` fits them on other rows instead, for
     instance on training and test rows together.
@@ -99,7 +130,7 @@ def fit(train: DataFrame, impute_from: DataFrame | None = None) -> PipelineModel
     usable = set(without_empty(train, numeric + categorical))
     numeric, categorical = ([c for c in cols if c in usable] for cols in (numeric, categorical))
     rows, n = balanced(typed(train, numeric))
-    pipeline = build_pipeline(numeric, categorical, n)
+    pipeline = build_pipeline(numeric, categorical, n, **regression)
     if impute_from is not None and numeric:
         imputer, *rest = pipeline.getStages()
         pipeline = Pipeline(stages=[imputer.fit(typed(impute_from, numeric)), *rest])
@@ -121,10 +152,9 @@ def model_inputs(model: PipelineModel) -> tuple[list[str], list[str]]:
     """Numeric and categorical input columns of a fitted model."""
     numeric, categorical = [], []
     for stage in model.stages:
-        name = type(stage).__name__
-        if name == "ImputerModel":
+        if isinstance(stage, ImputerModel):
             numeric = list(stage.getInputCols())
-        elif name == "StringIndexerModel":
+        elif isinstance(stage, StringIndexerModel):
             categorical = list(stage.getInputCols())
     return numeric, categorical
 
@@ -158,13 +188,12 @@ def align(df: DataFrame, model: PipelineModel) -> DataFrame:
 
 def coefficients(spark: SparkSession, model: PipelineModel) -> DataFrame:
     """Name and weight of every feature, in model order."""
-    numeric, categorical = model_inputs(model)
+    numeric, _ = model_inputs(model)
     regression = model.stages[-1]
     names = list(numeric)
     for stage in model.stages:
-        if type(stage).__name__ == "StringIndexerModel":
-            for column, labels in zip(categorical, stage.labelsArray):
-                names += [f"{column}_{label}" for label in labels]
+        if isinstance(stage, StringIndexerModel):
+            names += one_hot_names(stage)
     data = [(i, n, float(w)) for i, (n, w) in enumerate(zip(names, regression.coefficients.toArray(), strict=True))]
     return spark.createDataFrame(data, "position int, feature string, coefficient double")
 

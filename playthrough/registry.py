@@ -301,6 +301,13 @@ def _stored_features(spark, sf_dir):
     return materialize(completion_prediction_features(spark, sf_dir))
 
 
+@query
+def one_hot_totals(spark, sf_dir):
+    features_table = completion_prediction_features(spark, sf_dir)
+    _, categorical = model.split_by_type(features_table.schema)
+    return model.one_hot_totals(features_table, categorical)
+
+
 @query
 def predicted_completion(spark, sf_dir):
     """Train on the oldest four fifths of the features, score all of them."""

@@ -41,7 +41,7 @@ def table(spark):
 
 @pytest.fixture(scope="module")
 def fitted(table):
-    return model.fit(model.labelled(table))
+    return model.fit(model.labelled(table), max_iter=200, tol=1e-9)
 
 
 def test_coefficients_minimise_the_balanced_penalised_loss(spark, table, fitted):

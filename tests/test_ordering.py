@@ -11,7 +11,7 @@ ORDER = ["event_ts", "event_id"]
 
 
 @pytest.mark.parametrize("k", [0, 1, 57, 498, 499])
-@pytest.mark.parametrize("small", [3, 50_000])
+@pytest.mark.parametrize("small", [3, 100_000])
 def test_row_at_equals_sorting(spark, monkeypatch, k, small):
     monkeypatch.setattr(ordering, "SORT_AT_MOST", small)
     events = random_events(4, 500)

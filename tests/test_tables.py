@@ -80,3 +80,9 @@ def test_only_event_columns_are_read(spark, tmp_path):
     df = tables.read_events(spark, path)
     assert df.columns == schemas.EVENT_COLUMNS
     assert "extra" not in df._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[1]
+
+
+def test_database_scan_is_split_by_time(spark):
+    reader = tables.jdbc_reader(spark, "jdbc:none:", "events", lower_ms=0, upper_ms=9, partitions=3, user="me")
+    with pytest.raises(Exception, match="(?i)driver|jdbc"):  # no driver here
+        reader.load()
