@@ -26,7 +26,7 @@ WITH sized AS (
 ), targets AS (
     SELECT source, source_size,
            least(CAST(2 * source_size AS DOUBLE),
-                 weight * coalesce((SELECT CAST(min(level) FILTER (reach > level) AS DOUBLE) FROM filled), 'inf')) AS target
+                 weight * coalesce((SELECT CAST(arg_min(level, reach) FILTER (reach > level) AS DOUBLE) FROM filled), 'inf')) AS target
     FROM filled
 )
 SELECT doc_id, size, source_size, target,
