@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playthrough.llm import exact_dedup, mixing, sharding, url_reputation
+from playthrough.llm import exact_dedup, mixing, packing, sharding, url_reputation
 from playthrough.llm.common import table
 from playthrough.llm.sql import SQL  # noqa: F401
 
@@ -20,6 +20,17 @@ def query(fn: Query) -> Query:
     return fn
 
 
+def word_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query
+def op4_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), word_tokenizer())
+
+
 @query
 def op5_sharding(spark, sf_dir):
     return sharding.balanced_shards(table(spark, sf_dir, "documents"))
