@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playthrough.llm import exact_dedup, mixing, packing, sharding, url_reputation
+from playthrough.llm import exact_dedup, mixing, packing, secrets, sharding, url_reputation
 from playthrough.llm.common import table
 from playthrough.llm.sql import SQL  # noqa: F401
 
@@ -20,6 +20,11 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op3_secrets(spark, sf_dir):
+    return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
+
+
 def word_tokenizer() -> str:
     import public_tokenizers
 
