@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playthrough.llm import exact_dedup, mixing, packing, secrets, sharding, url_reputation
+from playthrough.llm import exact_dedup, mixing, packing, pii, secrets, sharding, url_reputation
 from playthrough.llm.common import table
 from playthrough.llm.sql import SQL  # noqa: F401
 
@@ -41,6 +41,11 @@ def op5_sharding(spark, sf_dir):
     return sharding.balanced_shards(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_personal_data(spark, sf_dir):
+    return pii.digest(pii.find_personal_data(table(spark, sf_dir, "documents")))
+
+
 @query
 def op7_url_filter(spark, sf_dir):
     """A page is labelled where its id has a quality label."""
