@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playthrough.llm import exact_dedup, mixing, packing, pii, quality, secrets, sharding, url_reputation
+from playthrough.llm import cap_filters, exact_dedup, mixing, packing, pii, quality, secrets, sharding, url_reputation
 from playthrough.llm.common import table
 from playthrough.llm.sql import SQL  # noqa: F401
 
@@ -59,6 +59,11 @@ def op7_url_filter(spark, sf_dir):
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+@query
+def op8_embedding_near_dedup(spark, sf_dir):
+    return cap_filters.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op9_exact_dedup(spark, sf_dir):
     return exact_dedup.duplicate_report(table(spark, sf_dir, "documents"), keep="largest")
