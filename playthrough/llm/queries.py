@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playthrough.llm import cap_filters, exact_dedup, mixing, packing, pii, quality, secrets, sharding, url_reputation
+from playthrough.llm import cap_filters, exact_dedup, mixing, ngram_join, packing, pii, quality, secrets, sharding, url_reputation
 from playthrough.llm.common import table
 from playthrough.llm.sql import SQL  # noqa: F401
 
@@ -20,6 +20,11 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_ngram_join(spark, sf_dir):
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_quality(spark, sf_dir):
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").select("doc_id", "quality"))
