@@ -197,30 +197,40 @@ def _fit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([_packed(net)], pa.binary())], ["net"])
 
 
+def learn(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, DataFrame, bytes | None]:
+    """Word vectors, stored pooled documents and the fitted network (none without a label to learn from)."""
+    vectors = word_vectors(docs)
+    features = store(pooled_documents(docs, vectors), "pooled")
+    known = labels.filter("quality is not null").groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
+    learnt = features.join(known, "doc_id").filter(~held_out(F.col("doc_id")))
+    sample = learnt.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAINING_ROWS).select("pooled", "quality")
+    fitted = sample.coalesce(1).mapInArrow(_fit_rows, "net binary").collect()
+    return vectors, features, fitted[0]["net"] if fitted else None
+
+
+def _scores(net: bytes | None, x: np.ndarray) -> np.ndarray:
+    import io
+
+    if net is None:
+        return np.full(len(x), 0.5)
+    return 1 / (1 + np.exp(-logits(dict(np.load(io.BytesIO(net))), x)))
+
+
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted (1 if the score is 0.5 or more).
 
     ``labels`` has doc_id and quality (0 or 1; null is no label; of repeated labels of an id the smallest counts).
     A null text counts as empty; texts without words share one score. Without any label to learn from,
-    every score is 0.5. Rows without an id are scored, not learnt from. Columns other than doc_id and text are ignored; an empty table gives an empty result.
+    every score is 0.5. Rows without an id are scored, not learnt from. Columns other than doc_id and text are
+    ignored; an empty table gives an empty result.
     """
-    features = store(pooled_documents(docs, word_vectors(docs)), "pooled")
-    known = labels.filter("quality is not null").groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
-    learnt = features.join(known, "doc_id").filter(~held_out(F.col("doc_id")))
-    sample = learnt.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAINING_ROWS).select("pooled", "quality")
-    fitted = sample.coalesce(1).mapInArrow(_fit_rows, "net binary").collect()
-    net = docs.sparkSession.sparkContext.broadcast(fitted[0]["net"] if fitted else None)
+    _, features, net = learn(docs, labels)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import io
-
-        parameters = dict(np.load(io.BytesIO(net.value))) if net.value else None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = np.array([np.frombuffer(b, dtype=np.float32) for b in batch.column(1).to_pylist()], dtype=np.float64)
-            found = 1 / (1 + np.exp(-logits(parameters, x))) if parameters else np.full(len(x), 0.5)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.float64())], ["doc_id", "score"])
+            if batch.num_rows:
+                x = np.array([np.frombuffer(b, dtype=np.float32) for b in batch.column(1).to_pylist()], dtype=np.float64)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_scores(net, x))], ["doc_id", "score"])
 
     scored = features.select("doc_id", "pooled").mapInArrow(apply, "doc_id long, score double")
     return scored.select(
@@ -229,3 +239,19 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents whose score is 0.5 or more, all columns kept; texts are scored where they are, not joined."""
+    vectors, _, net = learn(docs, labels)
+    shared = docs.sparkSession.sparkContext.broadcast(vectors)
+    text_at = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                texts = batch.column(text_at)
+                x = np.array([pooled(shared.value, text.as_py() or "") for text in texts], dtype=np.float64)
+                yield batch.filter(pa.array(_scores(net, x) >= 0.5))
+
+    return docs.mapInArrow(keep, docs.schema)
