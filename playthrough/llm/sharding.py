@@ -18,6 +18,8 @@ SHARDS = 40
 #: Hash cells per shard in which documents start: a group is cut into shards * CELLS atoms at most.
 CELLS = 16
 ROUNDS = 6
+#: Share by which a shard may exceed its quota while labels move; the last step evens it out.
+SLACK = 0.1
 #: Steps in which requests for a shard are granted.
 PRIORITIES = 1024
 
@@ -30,15 +32,16 @@ def _loads(rows: DataFrame, amount: Column, n_shards: int) -> list[int]:
 
 def _round(atoms: DataFrame, quotas: list[int], n_shards: int, number: int) -> tuple[DataFrame, bool]:
     loads = _loads(atoms, F.col("n"), n_shards)
-    room = [max(0, q - load) for q, load in zip(quotas, loads)]
+    room = [max(0, int(q * (1 + SLACK)) + 1 - load) for q, load in zip(quotas, loads)]
     votes = atoms.groupBy("link", "shard").agg(F.sum("n").alias("votes"))
     has_room = F.element_at(long_array(room), F.col("shard") + 1) > 0
-    rank = F.struct(F.col("votes"), (-F.col("shard")).alias("minus"))
+    # Of shards with equal votes a hash chooses, so that none is preferred.
+    rank = F.struct(F.col("votes"), F.xxhash64("link", "shard").alias("tie"), F.col("shard"))
     best = votes.groupBy("link").agg(F.max(F.when(has_room, rank)).alias("best")).filter(F.col("best").isNotNull())
     asked = (
         atoms.join(votes, ["link", "shard"])
         .join(best, "link", "left")
-        .withColumn("to", F.when(F.col("best") > rank, -F.col("best.minus")))
+        .withColumn("to", F.when(F.col("best") > rank, F.col("best.shard")))
         .withColumn("priority", F.pmod(F.xxhash64("link", "cell", F.lit(number)), F.lit(PRIORITIES)).cast("int"))
         .select("link", "cell", "n", "shard", "to", "priority")
     )
