@@ -31,10 +31,12 @@ WORDS = 5
 SIMILAR = (3, 4)
 #: N-grams put last in the order: at most so many, each in so many documents at least. A hint for speed:
 #: the join is exact with any order.
-MOST_FREQUENT = 2**18
-FREQUENT = 16
-#: Entries of a bucket on average, and buckets at least.
-PER_BUCKET = 4_000_000
+MOST_FREQUENT = 2**20
+FREQUENT = 4
+#: Classes of frequency per doubling: whole classes are put last.
+CLASSES = 8
+#: Bytes of text per bucket on average, and buckets at least.
+PER_BUCKET = 50_000_000
 LEAST_BUCKETS = 1024
 #: N-grams a task holds before it sends them.
 FLUSH = 2_000_000
@@ -44,23 +46,17 @@ BLOCK = 2048
 PARTNERS = 256
 #: Bits of the map of documents that are needed, at most.
 MOST_BITS = 2**28
-#: Words a worker remembers; beyond, it starts anew.
-REMEMBERED = 400_000
+#: Bytes of a text that are hashed at once.
+PART = 2**22
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> bytes:
-        import xxhash
-
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = found = xxhash.xxh3_64_intdigest(word).to_bytes(8, "little")
-        return found
-
-
-_hashes = _WordHashes()
+#: Keeps so many bytes of eight, the first ones.
+_FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
+#: Longer words are hashed one by one.
+LONG_WORD = 512
+_IS_SPACE = np.isin(np.arange(256), [*range(0x09, 0x0E), 0x20])
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -69,18 +65,61 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def _parts(text: bytes) -> Iterator[bytes]:
+    """A long text in parts that end between words."""
+    at = 0
+    while len(text) - at > PART:
+        end = next((k for k in range(at + PART, len(text)) if _IS_SPACE[text[k]]), len(text))
+        yield text[at:end]
+        at = end
+    yield text[at:] if at else text
+
+
+def _word_hashes(text: bytes) -> np.ndarray:
+    """A hash of each word, eight bytes of all words at a time."""
+    padded = text + bytes(8)
+    spaces = _IS_SPACE[np.frombuffer(padded, dtype=np.uint8)]
+    spaces[len(text) :] = True
+    changes = np.flatnonzero(spaces[1:] != spaces[:-1]) + 1
+    if not spaces[0]:
+        changes = np.concatenate(([0], changes))
+    starts, lengths = changes[::2], changes[1::2] - changes[::2]
+    if not len(starts):
+        return np.empty(0, dtype=np.uint64)
+    # Eight bytes from any place on.
+    eight = np.ndarray(len(text), dtype="<u8", buffer=padded, strides=(1,))
+    h = lengths.astype(np.uint64) * _MULTIPLIER
+    open_words = np.flatnonzero(lengths <= LONG_WORD)
+    at, left = starts[open_words], lengths[open_words]
+    while len(open_words):
+        value = eight[at] & _FIRST_BYTES[np.minimum(left, 8)]
+        h[open_words] = _mixed((h[open_words] ^ value) * _MULTIPLIER)
+        more = left > 8
+        open_words, at, left = open_words[more], at[more] + 8, left[more] - 8
+    for k in np.flatnonzero(lengths > LONG_WORD):
+        import xxhash
+
+        h[k] = xxhash.xxh3_64_intdigest(text[starts[k] : starts[k] + lengths[k]])
+    return h
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.concatenate(([True], values[1:] != values[:-1]))]
+
+
 def shingles(text: str) -> np.ndarray:
     """Distinct hashes of the text's word n-grams, ascending; of all its words if they are fewer."""
-    words = text.encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.empty(0, dtype=np.uint64)
-    w = np.frombuffer(b"".join(map(_hashes.__getitem__, words)), dtype="<u8")
+    parts = [_word_hashes(part) for part in _parts(text.encode("utf-8", "surrogatepass").lower())]
+    w = parts[0] if len(parts) == 1 else np.concatenate(parts)
+    if not len(w):
+        return w
     size = min(WORDS, len(w))
     n = len(w) - size + 1
     h = np.full(n, size, dtype=np.uint64)
     for k in range(size):
         h = h * _MULTIPLIER + w[k : k + n]
-    return np.unique(_mixed(h))
+    return _distinct(_mixed(h))
 
 
 def set_id(grams: np.ndarray) -> int:
@@ -106,18 +145,6 @@ def _sizes_fit(n, m):
     return (n * whole >= m * part) & (m * whole >= n * part)
 
 
-def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sizes, ids = [], []
-        for text in batch.column(1):
-            grams = shingles(text.as_py())
-            sizes.append(len(grams))
-            ids.append(set_id(grams) if len(grams) else None)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64())], ["doc_id", "n", "set_id"]
-        )
-
-
 def _bucketed(grams: np.ndarray, buckets: int, columns: list[np.ndarray]) -> pa.RecordBatch:
     """A row per bucket: the columns' values of its n-grams, packed one column after the other."""
     bucket = (grams >> np.uint64(32)) % np.uint64(buckets)
@@ -141,18 +168,41 @@ def _code(grams: np.ndarray, buckets: int) -> np.ndarray:
     return (((grams >> np.uint64(32)) % np.uint64(buckets)) << np.uint64(32)) | (grams & np.uint64(0xFFFFFFFF))
 
 
+#: Buckets below zero carry what is known of documents, in so many parts.
+DESCRIBED_PARTS = 256
+DESCRIBED = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("set_id", pa.int64())])
+
+
+def _packed_rows(batch: pa.RecordBatch) -> bytes:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, batch.schema) as writer:
+        writer.write_batch(batch)
+    return out.getvalue().to_pybytes()
+
+
 def _send_counted(buckets: int):
+    """Codes of n-grams to be counted, and documents with the number and the hash of their n-grams."""
+
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         for batch in batches:
-            for text in batch.column(0):
+            sizes, ids = [], []
+            for text in batch.column(1):
                 grams = shingles(text.as_py())
+                sizes.append(len(grams))
+                ids.append(set_id(grams) if len(grams) else None)
                 held.append(grams[: 2 * prefix_length(len(grams))])
                 n += len(held[-1])
                 if n >= FLUSH:
                     every = np.concatenate(held)
                     yield _bucketed(every, buckets, [_low(every)])
                     held, n = [], 0
+            described = pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64())], schema=DESCRIBED)
+            if len(sizes):
+                part = (next((i for i in ids if i is not None), 0)) % DESCRIBED_PARTS
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([-1 - part], pa.int64()), pa.array([_packed_rows(described)], pa.binary())], ["bucket", "packed"]
+                )
         if n:
             every = np.concatenate(held)
             yield _bucketed(every, buckets, [_low(every)])
@@ -160,37 +210,79 @@ def _send_counted(buckets: int):
     return send
 
 
+COUNTED = "code long, n long, described binary"
+
+
 def _count(table: pa.Table) -> pa.Table:
     bucket = table["bucket"][0].as_py()
+    if bucket < 0:
+        none = pa.nulls(table.num_rows, pa.int64())
+        return pa.table({"code": none, "n": none, "described": table["packed"].cast(pa.binary())})
     low = np.sort(np.frombuffer(b"".join(table["packed"].to_pylist()), dtype="<u4"))
     starts = np.flatnonzero(np.r_[True, low[1:] != low[:-1]])
     counts = np.diff(np.r_[starts, len(low)])
     often = counts >= FREQUENT
     codes = (np.int64(bucket) << 32) | low[starts[often]].astype(np.int64)
-    return pa.table({"code": pa.array(codes, pa.int64()), "n": pa.array(counts[often].astype(np.int64), pa.int64())})
+    return pa.table(
+        {
+            "code": pa.array(codes, pa.int64()),
+            "n": pa.array(counts[often].astype(np.int64), pa.int64()),
+            "described": pa.nulls(len(codes), pa.binary()),
+        }
+    )
 
 
-def frequent_grams(texts: DataFrame, buckets: int) -> np.ndarray:
-    """Codes of the most frequent n-grams, the most frequent last; counted over all documents."""
-    sent = texts.mapInArrow(_send_counted(buckets), "bucket long, packed binary")
-    counted = sent.groupBy("bucket").applyInArrow(_count, "code long, n long")
-    most = counted.orderBy(F.col("n").desc(), "code").limit(MOST_FREQUENT).toArrow()
-    return most["code"].to_numpy()[::-1].astype(np.uint64)
+def _unpack_described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for packed in batch.column(0):
+            yield from pa.ipc.open_stream(packed.as_py())
+
+
+def frequent_grams(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending codes of the most frequent n-grams, and the place of each by its number of documents.
+
+    A class of frequency is in as a whole or not at all.
+    """
+    step = F.floor(F.log2("n") * CLASSES).cast("int")
+    sizes = counted.filter("code is not null").groupBy(step.alias("step")).count().collect()  # a row per class
+    least, total = None, 0
+    for row in sorted(sizes, key=lambda r: -r["step"]):
+        total += row["count"]
+        if total > MOST_FREQUENT:
+            break
+        least = row["step"]
+    if least is None:
+        return np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
+    most = counted.filter((F.col("code").isNotNull()) & (step >= least)).select("code", "n").toArrow()
+    codes, n = most["code"].to_numpy().astype(np.uint64), most["n"].to_numpy()
+    order = np.argsort(codes)
+    codes, n = codes[order], n[order]
+    ranks = np.empty(len(codes), dtype=np.int64)
+    ranks[np.lexsort((codes, n))] = np.arange(len(codes))
+    return codes, ranks
 
 
 def in_order(grams: np.ndarray, buckets: int, codes: np.ndarray, ranks: np.ndarray, length: int) -> np.ndarray:
     """The first n-grams in the global order. ``codes`` ascend, ``ranks`` is each one's place among the frequent."""
     if not len(codes):
         return grams[:length]
-    code = _code(grams, buckets)
-    at = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
-    frequent = codes[at] == code
-    rare = grams[~frequent][:length]
-    if len(rare) == length:
-        return rare
-    last = grams[frequent]
-    by_rank = np.lexsort((last, ranks[at[frequent]]))
-    return np.concatenate([rare, last[by_rank][: length - len(rare)]])
+    rare, last, places, n, at = [], [], [], 0, 0
+    while n < length and at < len(grams):
+        part = grams[at : at + length - n]
+        at += len(part)
+        code = _code(part, buckets)
+        found = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
+        frequent = codes[found] == code
+        if frequent.any():
+            last.append(part[frequent])
+            places.append(ranks[found[frequent]])
+            part = part[~frequent]
+        rare.append(part)
+        n += len(part)
+    if n < length:
+        late, place = np.concatenate(last), np.concatenate(places)
+        rare.append(late[np.lexsort((late, place))][: length - n])
+    return rare[0] if len(rare) == 1 else np.concatenate(rare)
 
 
 def _send_prefixes(buckets: int, shared):
@@ -378,8 +470,7 @@ def _grams_of_needed(shared):
                     sets.append(set_id(grams))
                     packed.append(grams.astype(">u8").tobytes())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(kept, pa.int64()), pa.array(sets, pa.int64()), pa.array(packed, pa.binary())],
-                ["doc_id", "set_id", "grams"],
+                [pa.array(kept, pa.int64()), pa.array(sets, pa.int64()), pa.array(packed, pa.binary())], ["doc_id", "b", "grams"]
             )
 
     return send
@@ -423,25 +514,24 @@ def _verify(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([a[k] for k in found], pa.int64()), "b": pa.array([b[k] for k in found], pa.int64())})
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets are similar. A set with many partners meets them in several pieces."""
+def _verified(pairs: DataFrame, needed: DataFrame, grams: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets are similar. A set with many partners meets them in several pieces.
+
+    ``needed`` has the document that stands for a set, ``grams`` the n-grams by document, and of some more.
+    """
     counts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).cast("int").alias("pieces"))
     counts = store(counts, "counts")
     dealt = pairs.join(counts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("pieces")).alias("piece"))
     own = counts.select("a", F.col("a").alias("b"), F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"))
     asked = dealt.unionByName(own.withColumn("piece", F.col("piece").cast("long")))
-    asked = asked.join(sets.select(F.col("set_id").alias("b"), "grams"), "b")
+    asked = asked.join(needed.select(F.col("set_id").alias("b"), "doc_id"), "b").join(grams, ["doc_id", "b"])
     return store(asked.groupBy("a", "piece").applyInArrow(_verify, "a long, b long"), "links")
 
 
-def _linked_sets(texts: DataFrame, sets: DataFrame) -> DataFrame:
+def _linked_sets(texts: DataFrame, sets: DataFrame, counted: DataFrame, buckets: int) -> DataFrame:
     """node, component of the sets that have a link."""
     spark = texts.sparkSession
-    entries = sets.agg(F.sum("n")).first()[0] or 0
-    buckets = max(LEAST_BUCKETS, entries // 2 // PER_BUCKET)
-    last = frequent_grams(texts.select("text"), buckets)
-    by_code = np.argsort(last)
-    shared = spark.sparkContext.broadcast((last[by_code], by_code))  # MOST_FREQUENT numbers at most
+    shared = spark.sparkContext.broadcast(frequent_grams(counted))  # MOST_FREQUENT numbers at most
     sent = texts.select("text").mapInArrow(_send_prefixes(buckets, shared), "bucket long, packed binary")
     lists = sent.groupBy("bucket").applyInArrow(_make_lists, "list_id long, members binary")
     lists = store(lists.dropDuplicates(["list_id"]), "lists")
@@ -451,12 +541,12 @@ def _linked_sets(texts: DataFrame, sets: DataFrame) -> DataFrame:
     needed = store(first_doc.join(members.select("set_id").distinct(), "set_id"), "needed")
     bit_map = spark.sparkContext.broadcast(_needed_map(needed.select("doc_id")))
     grams = texts.filter("doc_id is not null").select("doc_id", "text").mapInArrow(
-        _grams_of_needed(bit_map), "doc_id long, set_id long, grams binary"
+        _grams_of_needed(bit_map), "doc_id long, b long, grams binary"
     )
-    grams = store(grams.join(needed, ["doc_id", "set_id"], "left_semi").dropDuplicates(["set_id"]).drop("doc_id"), "grams")
+    grams = store(grams, "grams")
 
     stars = store(lists.select("members").mapInArrow(_with_one_member, "a long, b long").distinct(), "stars")
-    links = _verified(stars, grams)
+    links = _verified(stars, needed, grams)
     roots = store(components(links), "roots")
     rooted = members.join(roots, members["set_id"] == roots["node"], "left")
     rooted = store(rooted.select("list_id", "set_id", "n", F.coalesce("component", "set_id").alias("root")), "rooted")
@@ -466,7 +556,7 @@ def _linked_sets(texts: DataFrame, sets: DataFrame) -> DataFrame:
     rest = store(rest.distinct().join(stars, ["a", "b"], "left_anti"), "rest")
     if rest.isEmpty():
         return roots
-    return components(links.unionByName(_verified(rest, grams)))
+    return components(links.unionByName(_verified(rest, needed, grams)))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -478,9 +568,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     ship_code(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    described = texts.mapInArrow(_describe, "doc_id long, n long, set_id long")
+    n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(LEAST_BUCKETS, n_bytes // PER_BUCKET)
+    sent = texts.mapInArrow(_send_counted(buckets), "bucket long, packed binary")
+    counted = store(sent.groupBy("bucket").applyInArrow(_count, COUNTED), "counted")
+    described = counted.filter("described is not null").select("described")
+    described = described.mapInArrow(_unpack_described, "doc_id long, n long, set_id long")
     sets = store(described.withColumn("set_id", F.when(F.col("doc_id").isNotNull(), F.col("set_id"))), "sets")
-    linked = _linked_sets(texts, sets)
+    linked = _linked_sets(texts, sets, counted, buckets)
     # Components of sets become components of documents: by the smallest id of any set in them.
     smallest = sets.filter("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("first"))
     of_set = smallest.join(linked, smallest["set_id"] == linked["node"], "left")
