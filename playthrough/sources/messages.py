@@ -15,29 +15,38 @@ NOT_JSON, MISSING_KEY, NO_ID, NOT_NUMERIC = "not_json", "missing_key", "null_eve
 _WIRE = T.StructType([T.StructField(c, T.StringType()) for c in [*EVENT_COLUMNS, "_corrupt"]])
 
 
+def tls_options(ca_pem: str, certificate_pem: str, key_pem: str) -> dict[str, str]:
+    """TLS with PEM texts, for reading and for writing."""
+    return {
+        "kafka.security.protocol": "SSL",
+        "kafka.ssl.truststore.type": "PEM",
+        "kafka.ssl.truststore.certificates": ca_pem,
+        "kafka.ssl.keystore.type": "PEM",
+        "kafka.ssl.keystore.certificate.chain": certificate_pem,
+        "kafka.ssl.keystore.key": key_pem,
+    }
+
+
 def kafka_options(
     servers: str,
     topic: str,
     *,
-    ca_pem: str,
-    certificate_pem: str,
-    key_pem: str,
+    tls: dict[str, str] | None = None,
     group: str | None = None,
-    max_per_trigger: int = 1000,
+    max_per_trigger: int | None = None,
 ) -> dict[str, str]:
-    """TLS with PEM texts; new messages only; offsets live in the query's checkpoint."""
+    """New messages only; offsets live in the query's checkpoint.
+
+    ``max_per_trigger`` bounds a micro-batch; by default it takes all there is, so that it cannot fall behind.
+    """
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": "latest",
-        "maxOffsetsPerTrigger": str(max_per_trigger),
-        "kafka.security.protocol": "SSL",
-        "kafka.ssl.truststore.type": "PEM",
-        "kafka.ssl.truststore.certificates": ca_pem,
-        "kafka.ssl.keystore.type": "PEM",
-        "kafka.ssl.keystore.certificate.chain": certificate_pem,
-        "kafka.ssl.keystore.key": key_pem,
+        **(tls or {}),
     }
+    if max_per_trigger is not None:
+        options["maxOffsetsPerTrigger"] = str(max_per_trigger)
     return options if group is None else {**options, "kafka.group.id": group}
 
 

@@ -1,17 +1,20 @@
 """Continuous ingest of event messages into the raw event table.
 
-Each micro-batch goes into its own ``batch_id=…`` folder and overwrites it when replayed after a
+Each micro-batch goes into its own ``arrival_day=…/batch_id=…`` folder and overwrites it when replayed after a
 failure, so a message is stored once however often its batch runs.
 
-Repeated event ids are skipped in one of two ways. By default a batch is compared with all stored
-ids: exact, but every batch reads the id column of the whole table. With ``remember`` the ids of
-that period are kept in Spark's state store instead, so a batch costs what it holds, however large
-the table is; an id repeated later than that is stored again, and left to the cleaning job, which is
-always exact. Either way time is that of arrival: late events are kept.
+Of repeated event ids in one batch the oldest event stays, and ids that are stored already are skipped. By
+default a batch is compared with all stored ids: exact, but every batch reads the id column of the whole
+table. With ``remember_days`` only the folders of that many days of arrival are listed and read, so a batch
+costs what arrived in that time; an id repeated later is stored again, and left to the cleaning job,
+which is always exact. Time is that of arrival: late events are kept.
+
+The table can be the location of the raw table that the cleaning job reads: its columns are read by name.
 """
 
 from __future__ import annotations
 
+import datetime
 import functools
 
 from pyspark.errors import AnalysisException
@@ -22,17 +25,33 @@ from pyspark.sql.streaming import StreamingQuery
 from playthrough.operators.cleaning import first_per_event_id, rules
 from playthrough.sources.messages import parse_messages
 
-BROADCAST_IDS = 500_000  # ids of one micro-batch sent to every executor at most
+BROADCAST_IDS = 500_000  # ids of one micro-batch sent to every executor at most; more are joined by a shuffle
 ROWS_PER_FILE = 1_000_000
 
 LIVE = {"processingTime": "1 second"}
 BACKLOG = {"availableNow": True}
 
 
-def stored_events(spark: SparkSession, table: str) -> DataFrame | None:
-    """Everything ingested so far, with its ``batch_id``; None before the first batch."""
+def stored_events(
+    spark: SparkSession, table: str, since: datetime.date | None = None, until: datetime.date | None = None
+) -> DataFrame | None:
+    """What has been ingested so far, with ``arrival_day`` and ``batch_id``; None if there is nothing.
+
+    With days given only their folders are looked at, one by one, whatever else the table holds.
+    """
+    if since is None:
+        return _read(spark, table, table)
+    found = None
+    for k in range((until - since).days + 1):
+        day = _read(spark, table, f"{table}/arrival_day={since + datetime.timedelta(days=k)}")
+        if day is not None:
+            found = day if found is None else found.unionByName(day)
+    return found
+
+
+def _read(spark: SparkSession, table: str, folder: str) -> DataFrame | None:
     try:
-        return spark.read.parquet(table)
+        return spark.read.option("basePath", table).parquet(folder)
     except AnalysisException as e:
         if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
@@ -64,21 +83,17 @@ def sort_messages(messages: DataFrame, clean: bool = False) -> DataFrame:
     return parsed.withColumn("problem", F.coalesce("problem", *failed))
 
 
-def drop_remembered(parsed: DataFrame, remember: str) -> DataFrame:
-    """Drop events whose id arrived less than ``remember`` ago; quarantined messages all pass."""
-    events = (
-        parsed.filter(F.col("problem").isNull())
-        .withColumn("_arrived", F.current_timestamp())
-        .withWatermark("_arrived", remember)
-        .dropDuplicatesWithinWatermark(["event_id"])
-        .drop("_arrived")
-    )
-    return events.unionByName(parsed.filter(F.col("problem").isNotNull()))
-
-
-def write_batch(parsed: DataFrame, batch_id: int, table: str, quarantine: str, look_up: bool = True) -> None:
+def write_batch(
+    parsed: DataFrame,
+    batch_id: int,
+    table: str,
+    quarantine: str,
+    remember_days: int | None = None,
+    today: datetime.date | None = None,
+) -> None:
     """Split one micro-batch into new events and quarantined messages."""
     spark = parsed.sparkSession
+    today = today or datetime.datetime.now(datetime.timezone.utc).date()
     # Read by the count and both writes; lost blocks are recomputed from the source's offsets.
     batch = parsed.persist()
     try:
@@ -87,12 +102,19 @@ def write_batch(parsed: DataFrame, batch_id: int, table: str, quarantine: str, l
             return
         files = -(-n // ROWS_PER_FILE)  # adaptive execution, which would merge small ones, is off in a stream
         bad = batch.filter(F.col("problem").isNotNull()).select("value", "problem")
-        bad.coalesce(files).write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
+        bad.repartition(files).write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
         events = first_per_event_id(batch.filter(F.col("problem").isNull()))
-        stored = stored_events(spark, table) if look_up else None
+        since = None if remember_days is None else today - datetime.timedelta(days=remember_days)
+        stored = stored_events(spark, table, since, today)
+        day = today
         if stored is not None:
+            # A batch that is replayed on a later day replaces itself where it was.
+            written = stored.filter(F.col("batch_id") == batch_id).select("arrival_day").limit(1).collect()
+            day = written[0]["arrival_day"] if written else today
             events = without_stored(events, stored.filter(F.col("batch_id") != batch_id), n)
-        events.coalesce(files).write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+        # A shuffle, so that the join with the stored ids keeps its own partitions.
+        events = events.repartition(files)
+        events.write.mode("overwrite").parquet(f"{table}/arrival_day={day}/batch_id={batch_id}")
     finally:
         batch.unpersist()
 
@@ -105,13 +127,11 @@ def ingest(
     checkpoint: str,
     trigger: dict = LIVE,
     clean: bool = False,
-    remember: str | None = None,
+    remember_days: int | None = None,
 ) -> StreamingQuery:
     """Start the query; ``trigger=BACKLOG`` takes what is there and stops."""
     parsed = sort_messages(messages, clean)
-    if remember is not None:
-        parsed = drop_remembered(parsed, remember)
-    write = functools.partial(write_batch, table=table, quarantine=quarantine, look_up=remember is None)
+    write = functools.partial(write_batch, table=table, quarantine=quarantine, remember_days=remember_days)
     return (
         parsed.writeStream.foreachBatch(lambda batch, batch_id: write(batch, batch_id))
         .option("checkpointLocation", checkpoint)

@@ -1,5 +1,6 @@
 """Messages in, events and quarantine out."""
 
+import datetime
 import json
 
 import pytest
@@ -117,14 +118,31 @@ def test_ingest_of_clean_rows(spark, tmp_path):
     }
 
 
-def test_ids_remembered_in_state(spark, tmp_path):
+def test_only_remembered_days_are_looked_up(spark, tmp_path):
     f = Folders(tmp_path)
-    f.add("a", line(event_id="a", event_ts=1), line(event_id="b", event_ts=2), "broken", "broken")
-    f.run(spark, remember="1 day")
+    days = [datetime.date(2024, 3, d) for d in (1, 2, 9)]
+    for k, day in enumerate(days):
+        batch = spark.createDataFrame([(line(event_id="a", event_ts=k),), (line(event_id=f"x{k}", event_ts=k),)], "value string")
+        stream.write_batch(stream.sort_messages(batch), k, f.table, f.quarantine, remember_days=3, today=day)
+    assert f.stored(spark) == [("a", 0), ("a", 2), ("x0", 0), ("x1", 1), ("x2", 2)]
+
+
+def test_a_batch_replayed_a_day_later_replaces_itself(spark, tmp_path):
+    f = Folders(tmp_path)
+    batch = spark.createDataFrame([(line(event_id="a"),), (line(event_id="b"),)], "value string")
+    for day in (1, 2):
+        stream.write_batch(stream.sort_messages(batch), 7, f.table, f.quarantine, 3, datetime.date(2024, 3, day))
+    assert [i for i, _ in f.stored(spark)] == ["a", "b"]
+
+
+def test_ingest_with_remembered_days(spark, tmp_path):
+    f = Folders(tmp_path)
+    f.add("a", line(event_id="a", event_ts=2), line(event_id="a", event_ts=1), line(event_id="b", event_ts=2), "broken")
+    f.run(spark, remember_days=1)
     f.add("b", line(event_id="a", event_ts=3), line(event_id="c", event_ts=-5), "broken")
-    f.run(spark, remember="1 day")
+    f.run(spark, remember_days=1)
     assert f.stored(spark) == [("a", 1), ("b", 2), ("c", -5)]
-    assert spark.read.parquet(f.quarantine).count() == 3
+    assert spark.read.parquet(f.quarantine).count() == 2
 
 
 def test_publish_keeps_lines(spark, tmp_path):
@@ -135,8 +153,22 @@ def test_publish_keeps_lines(spark, tmp_path):
     assert sorted(r["i"] for r in sent) == ["a", "b"]
 
 
-def test_kafka_options():
-    options = messages.kafka_options("host:1", "t", ca_pem="ca", certificate_pem="crt", key_pem="k", group="g")
-    assert options["startingOffsets"] == "latest" and options["maxOffsetsPerTrigger"] == "1000"
+def test_kafka_options(tmp_path):
+    tls = messages.tls_options("ca", "crt", "k")
+    options = messages.kafka_options("host:1", "t", tls=tls, group="g")
+    assert options["startingOffsets"] == "latest" and "maxOffsetsPerTrigger" not in options
     assert options["kafka.security.protocol"] == "SSL"
     assert options["kafka.group.id"] == "g"
+    assert messages.kafka_options("host:1", "t", max_per_trigger=5)["maxOffsetsPerTrigger"] == "5"
+
+
+def test_tls_from_the_command_line(tmp_path):
+    from playthrough.__main__ import parser, tls
+
+    for name in ("ca", "certificate", "key"):
+        (tmp_path / name).write_text(f"pem of {name}")
+    files = [x for name in ("ca", "certificate", "key") for x in (f"--{name}", str(tmp_path / name))]
+    a = parser().parse_args(["publish", "lines", "host:1", "topic", *files])
+    assert tls(a)["kafka.ssl.keystore.key"] == "pem of key"
+    a = parser().parse_args(["ingest", "topic", "t", "q", "c", "--servers", "host:1"])
+    assert a.servers == "host:1" and tls(a) == {}
