@@ -81,11 +81,14 @@ def score_curve(scored: DataFrame, label: str = "label", score: str = "score") -
 
 
 def roc_curve(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    return roc_curve_of(score_curve(scored, label, score))
+
+
+def roc_curve_of(curve: DataFrame) -> DataFrame:
     """Points from (0, 0), whose threshold is null, down to the lowest score.
 
     A point on the straight line between its neighbours is left out, as the curve stays the same.
     """
-    curve = score_curve(scored, label, score)
     bends = F.col("next_pos").isNull() | (F.col("next_pos") != F.col("pos")) | (F.col("next_neg") != F.col("neg"))
     is_top = F.col("tp") + F.col("fp") == F.col("pos") + F.col("neg")
     points = curve.filter(bends | is_top).select(
@@ -97,8 +100,12 @@ def roc_curve(scored: DataFrame, label: str = "label", score: str = "score") ->
 
 
 def pr_curve(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    return pr_curve_of(score_curve(scored, label, score))
+
+
+def pr_curve_of(curve: DataFrame) -> DataFrame:
     """Precision and recall at every score, and the end point (1, 0), whose threshold is null."""
-    points = score_curve(scored, label, score).select(
+    points = curve.select(
         F.col("score").alias("threshold"),
         _share(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
         _share(F.col("tp"), F.col("p")).alias("recall"),
@@ -113,11 +120,14 @@ def _anchor(points: DataFrame, **values: float) -> DataFrame:
 
 
 def roc_auc(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    return roc_auc_of(score_curve(scored, label, score))
+
+
+def roc_auc_of(curve: DataFrame) -> DataFrame:
     """Area under the ROC curve: the share of (positive, negative) pairs ranked rightly, ties half.
 
     Counted in integers, so exact up to the final division.
     """
-    curve = score_curve(scored, label, score)
     wide = {c: F.col(c).cast("decimal(19,0)") for c in ["neg", "tp", "pos"]}
     twice = F.sum(wide["neg"] * (2 * wide["tp"] - wide["pos"]))
     pairs = F.max("p").cast("double") * F.max("n")
@@ -125,8 +135,11 @@ def roc_auc(scored: DataFrame, label: str = "label", score: str = "score") -> Da
 
 
 def average_precision(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    return average_precision_of(score_curve(scored, label, score))
+
+
+def average_precision_of(curve: DataFrame) -> DataFrame:
     """Sum over scores of the gain in recall times the precision, which is kept to 1e-9."""
-    curve = score_curve(scored, label, score)
     precision = F.floor(F.col("tp").cast("double") / (F.col("tp") + F.col("fp")) * RATIO_SCALE)
     total = F.sum(F.col("pos").cast("decimal(19,0)") * precision.cast("decimal(10,0)"))
     return curve.agg((total.cast("double") / RATIO_SCALE / F.max("p")).alias("average_precision"))

@@ -5,8 +5,8 @@ The input is a stored feature table: training passes over it several times.
 
 from __future__ import annotations
 
+import functools
 import uuid
-from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -148,6 +148,15 @@ def stored_copy(model: PipelineModel, spark: SparkSession) -> PipelineModel:
     return load(path)
 
 
+def imputed_means(train: DataFrame) -> DataFrame:
+    """Mean of every numeric feature that has a value: what stands in for its nulls."""
+    numeric, _ = split_by_type(train.drop("label").schema)
+    numeric = without_empty(train, numeric)
+    fitted = Imputer(strategy="mean", inputCols=numeric, outputCols=[f"{c}__filled" for c in numeric])
+    means = fitted.fit(typed(train, numeric)).surrogateDF.select(*numeric)
+    return means.unpivot([], numeric, "feature", "mean")
+
+
 def model_inputs(model: PipelineModel) -> tuple[list[str], list[str]]:
     """Numeric and categorical input columns of a fitted model."""
     numeric, categorical = [], []
@@ -198,25 +207,36 @@ def coefficients(spark: SparkSession, model: PipelineModel) -> DataFrame:
     return spark.createDataFrame(data, "position int, feature string, coefficient double")
 
 
-@dataclass(frozen=True)
 class Evaluation:
-    report: DataFrame
-    roc_auc: DataFrame
-    average_precision: DataFrame
-    roc_curve: DataFrame
-    pr_curve: DataFrame
+    """Metrics of applied rows with a ``label``, each made when it is asked for."""
+
+    def __init__(self, predicted: DataFrame):
+        self._predicted = predicted
+
+    @functools.cached_property
+    def _curve(self) -> DataFrame:
+        """Counts per score and what lies above: sorted once, for all metrics of the ranking."""
+        return metrics.score_curve(self._predicted.withColumn("score", F.col(PROBABILITY)))
+
+    @property
+    def report(self) -> DataFrame:
+        return metrics.classification_report(self._predicted)
+
+    @property
+    def roc_auc(self) -> DataFrame:
+        return metrics.roc_auc_of(self._curve)
+
+    @property
+    def average_precision(self) -> DataFrame:
+        return metrics.average_precision_of(self._curve)
 
+    @property
+    def roc_curve(self) -> DataFrame:
+        return metrics.roc_curve_of(self._curve)
 
-def evaluate(predicted: DataFrame) -> Evaluation:
-    """Metrics of applied rows with a ``label``."""
-    scored = predicted.withColumn("score", F.col(PROBABILITY))
-    return Evaluation(
-        metrics.classification_report(predicted),
-        metrics.roc_auc(scored),
-        metrics.average_precision(scored),
-        metrics.roc_curve(scored),
-        metrics.pr_curve(scored),
-    )
+    @property
+    def pr_curve(self) -> DataFrame:
+        return metrics.pr_curve_of(self._curve)
 
 
 def split(features: DataFrame, test_size: float = 0.2) -> tuple[DataFrame, DataFrame]:
@@ -226,7 +246,7 @@ def split(features: DataFrame, test_size: float = 0.2) -> tuple[DataFrame, DataF
 
 def evaluate_on(model: PipelineModel, test: DataFrame) -> Evaluation:
     """Apply the model once and derive all metrics from that."""
-    return evaluate(materialize(apply(model, test).select("label", "prediction", PROBABILITY)))
+    return Evaluation(materialize(apply(model, test).select("label", "prediction", PROBABILITY)))
 
 
 def train_and_evaluate(features: DataFrame, test_size: float = 0.2) -> tuple[PipelineModel, Evaluation]:
