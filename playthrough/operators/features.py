@@ -16,13 +16,7 @@ from pyspark.sql import functions as F
 from playthrough.functions import scalar
 from playthrough.operators import genres, sessions, tables
 from playthrough.operators.history import keyed_history
-from playthrough.operators.keysplits import (
-    CHUNK_ROWS,
-    MAX_CHUNKS,
-    KeySplits,
-    chunk_limit,
-    find_splits,
-)
+from playthrough.operators.keysplits import CHUNK_ROWS, KeySplits, find_splits
 from playthrough.schemas import FEATURE_COLUMNS
 
 
@@ -37,7 +31,7 @@ NO_HOT_KEYS = HotKeys(KeySplits(("user_id",)), KeySplits(("content_id",)), KeySp
 
 
 def find_hot_keys(
-    events: DataFrame, chunk_rows: int = CHUNK_ROWS, max_chunks: int = MAX_CHUNKS, n_rows: int | None = None
+    events: DataFrame, chunk_rows: int = CHUNK_ROWS, n_rows: int | None = None
 ) -> HotKeys:
     """Hot users, titles and pairs of raw, cleaned or enriched events.
 
@@ -45,17 +39,16 @@ def find_hot_keys(
     events in all it is a count, or nothing if ``n_rows``, their number or more, is known.
     """
     n = events.count() if n_rows is None else n_rows
-    limit = chunk_limit(n, chunk_rows, max_chunks)
-    if n <= limit:
+    if n <= chunk_rows:
         return NO_HOT_KEYS
-    sizes = {"chunk_rows": chunk_rows, "max_chunks": max_chunks, "n_rows": n}
+    sizes = {"chunk_rows": chunk_rows, "n_rows": n}
     user = find_splits(events, ["user_id"], reach=scalar.HISTORY_MS, **sizes)
     content = find_splits(events, ["content_id"], **sizes)
     pair = NO_HOT_KEYS.user_content
     if user.any_hot and content.any_hot:
-        # A hot pair needs a hot user and a hot title. Both lists are bounded, see KeySplits.
-        both = events.join(F.broadcast(user.table.select("user_id")), "user_id", "left_semi").join(
-            F.broadcast(content.table.select("content_id")), "content_id", "left_semi"
+        # A hot pair needs a hot user and a hot title.
+        both = events.join(user.table.select("user_id"), "user_id", "left_semi").join(
+            content.table.select("content_id"), "content_id", "left_semi"
         )
         pair = find_splits(both, sessions.USER_CONTENT, **sizes)
     return HotKeys(user, content, pair)
@@ -73,14 +66,20 @@ def with_history(enriched: DataFrame, genre_list: list[str] | None, hot: HotKeys
     rows = rows.withColumn("prev_ts", F.coalesce("_prev", F.lit(0).cast("bigint")))
     rows = sessions.with_session_facts(sessions.with_session_start(rows), hot.user_content)
     counters = {} if genre_list is None else genres.counters(genre_list)
+    # Events without a release year are no rows of the feature table: what looks at its rows skips them.
+    listed = F.col("release_year").isNotNull()
+    duration = F.col("session_end_ts") - F.col("session_start_ts")
     by_user = keyed_history(
         rows,
         tables.USER,
         prior=tables.session_sums("user"),
         recent={"_recent": tables.one(), **tables.engagement_sums(), **counters},
         span=scalar.HISTORY_MS,
-        lags={"_prev_user_ts": F.col("event_ts"), "_prev_session_end": F.col("session_end_ts")},
-        totals={"_duration_sum": F.col("session_end_ts") - F.col("session_start_ts"), "_user_n": tables.one()},
+        lags={
+            "_prev_user_ts": F.when(listed, F.col("event_ts")),
+            "_prev_session_end": F.when(listed, F.col("session_end_ts")),
+        },
+        totals={"_duration_sum": tables.only(listed, duration), "_user_n": tables.only(listed, tables.one())},
         splits=hot.user,
     )
     if genre_list is None:
@@ -96,7 +95,7 @@ def with_history(enriched: DataFrame, genre_list: list[str] | None, hot: HotKeys
 
 
 def session_timing() -> dict[str, Column]:
-    """Features of gaps and sessions; needs ``with_history``."""
+    """Features of gaps and sessions; needs ``with_history`` and holds for rows with a release year."""
     ts = F.col("event_ts")
     return {
         "time_since_last_event": ts - F.col("prev_ts"),

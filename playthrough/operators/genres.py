@@ -26,9 +26,12 @@ def most_frequent(genres: list[str]) -> Column:
     return F.coalesce(*[F.when((c == top) & (c > 0), F.lit(g)) for c, g in zip(counts, sorted(genres))])
 
 
-def genre_names(content: DataFrame) -> list[str] | None:
-    """The genres, or None if there are too many for one counter column each."""
-    found = content.select("genre").dropna().distinct().limit(MAX_COUNTERS + 1).collect()
+def genre_names(events: DataFrame) -> list[str] | None:
+    """The genres of the enriched events, or None if there are too many for one counter column each.
+
+    Of the events, not of the titles: a title may have got another genre, or be gone, since.
+    """
+    found = events.select("genre").dropna().distinct().limit(MAX_COUNTERS + 1).collect()
     return None if len(found) > MAX_COUNTERS else [r["genre"] for r in found]
 
 
@@ -55,7 +58,9 @@ def _from_long_counts(events: DataFrame, splits: KeySplits | None) -> DataFrame:
         "event_id", "event_ts", "user_id", "_own", F.explode("_genres").alias("genre")
     )
     own = F.when(F.col("genre") == F.col("_own"), 1).otherwise(0)
-    hot = find_splits(rows, ["user_id", "genre"], reach=HISTORY_MS) if splits and splits.any_hot else None
+    hot = None
+    if splits is not None and splits.any_hot:
+        hot = find_splits(rows, ["user_id", "genre"], reach=HISTORY_MS, chunk_rows=splits.chunk_rows)
     counted = keyed_history(rows, ["user_id", "genre"], recent={"_count": own}, span=HISTORY_MS, splits=hot)
     best = (
         counted.filter(F.col("_count") > 0)

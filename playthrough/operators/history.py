@@ -85,7 +85,7 @@ def _chunked(df, keys, prior, recent, span, lags, totals, splits):
         stays = F.lit(False)
         leaves_in_time = F.col("event_ts") + span < F.col(ks.LAST_TS)  # null for keys that are not hot
         rows = (
-            rows.join(F.broadcast(last), list(splits.keys), "left")
+            rows.join(last, list(splits.keys), "left")
             .withColumn(EXPIRY, F.explode(F.when(leaves_in_time, F.array(stays, ~stays)).otherwise(F.array(stays))))
             .drop(ks.LAST_TS)
             .withColumns({c: F.when(~F.col(EXPIRY), F.col(c)) for c in payload})
@@ -102,7 +102,7 @@ def _chunked(df, keys, prior, recent, span, lags, totals, splits):
     sums = {**once, **signed}
     latest = {c: F.when(~expiry, F.col(c)) for (g, _), c in values.items() if g == "l"}
 
-    # One row per chunk and sub-chunk of a hot key, at most a few times MAX_CHUNKS rows.
+    # One row per chunk and sub-chunk of a hot key.
     chunk_key = [*keys, ks.CHUNK, ks.SUB]
     totals_of = [F.sum(v).alias(c) for c, v in sums.items()]
     lasts_of = [F.max_by(v, F.when(v.isNotNull(), F.struct(AT, "event_id"))).alias(c) for c, v in latest.items()]
@@ -132,7 +132,7 @@ def _chunked(df, keys, prior, recent, span, lags, totals, splits):
             frames[f"{c}_w"] = _or_zero(F.sum(signed[c]).over(earlier)) - gone
     out = out.withColumns(frames)
     out = out.withColumns({f"{c}_w": F.sum(once[c]).over(part) for (g, _), c in values.items() if g == "t"})
-    out = out.join(F.broadcast(carry), chunk_key, "left").filter(~expiry)
+    out = out.join(carry, chunk_key, "left").filter(~expiry)
 
     results = {}
     for (g, name), c in values.items():

@@ -16,12 +16,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from playthrough.sources.checkpoint import stored
 
 CHUNK_ROWS = 4_000_000  # rows a single task should window over
-MAX_CHUNKS = 10_000  # hot keys at most, and a few times as many chunks; beyond, chunks grow instead
 SAMPLES_PER_CHUNK = 8
 THINNED_TO = 50  # candidates per sample
 BLOCK = 64  # chunk starts are looked up in two steps: block, then start within the block
@@ -33,13 +33,13 @@ CHUNK, SUB, HOT, LAST_TS = "_chunk", "_sub", "_hot", "_last_ts"
 class KeySplits:
     """Chunk starts of the hot keys; ``table`` is None when no key is hot.
 
-    The table has one row per hot key. A key is hot with more than n / ``MAX_CHUNKS`` of the n rows, so
-    there are at most ``MAX_CHUNKS`` hot keys, and a few times as many chunks over all of them,
-    whatever n is: a few megabytes, always safe to broadcast.
+    The table has one row per hot key, and a key is hot with more than a chunk's rows. It is stored, so
+    that the planner knows its size: it broadcasts a small one and shuffles one of very many hot keys.
     """
 
     keys: tuple[str, ...]
     table: DataFrame | None = None
+    chunk_rows: int = CHUNK_ROWS
 
     @property
     def any_hot(self) -> bool:
@@ -53,7 +53,7 @@ class KeySplits:
         in_block = F.size(F.filter(F.get("_blocks", block - 1), lambda s: s <= at))
         subs = F.try_element_at("_id_starts", at)
         return (
-            df.join(F.broadcast(self.table), list(self.keys), "left")
+            df.join(self.table, list(self.keys), "left")
             .withColumn(HOT, F.col("_blocks").isNotNull())
             .withColumn(CHUNK, F.when(F.col(HOT) & (block > 0), (block - 1) * BLOCK + in_block).otherwise(0))
             .withColumn(
@@ -82,17 +82,12 @@ def hot_keys(rows: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
     return sizes.filter(F.col("_rows") > limit)
 
 
-def chunk_limit(n_rows: int, chunk_rows: int, max_chunks: int) -> int:
-    return max(chunk_rows, -(-n_rows // max_chunks))
-
-
 def find_splits(
     rows: DataFrame,
     keys: Sequence[str],
     *,
     reach: int | None = None,
     chunk_rows: int = CHUNK_ROWS,
-    max_chunks: int = MAX_CHUNKS,
     n_rows: int | None = None,
 ) -> KeySplits:
     """Find hot keys of ``rows`` and cut them.
@@ -106,7 +101,7 @@ def find_splits(
     """
     keys = tuple(keys)
     n = rows.count() if n_rows is None else n_rows
-    limit = chunk_limit(n, chunk_rows, max_chunks)
+    limit = chunk_rows
     if n <= limit:
         return KeySplits(keys)
 
@@ -114,8 +109,7 @@ def find_splits(
     times = F.array("event_ts") if reach is None else F.array("event_ts", F.col("event_ts") + reach)
     weight = 1 if reach is None else 2
     points = F.ceil(F.col("_rows") * weight / limit) * SAMPLES_PER_CHUNK
-    # At most n / limit <= max_chunks hot keys.
-    timeline = rows.join(F.broadcast(hot_keys(rows, keys, limit)), list(keys)).select(
+    timeline = rows.join(hot_keys(rows, keys, limit), list(keys)).select(
         *keys, "event_id", "event_ts", LAST_TS, points.cast("bigint").alias("_points"), F.explode(times).alias("_at")
     )
     timeline = timeline.filter((F.col("_at") == F.col("event_ts")) | (F.col("_at") < F.col(LAST_TS)))
@@ -133,47 +127,37 @@ def find_splits(
             F.first("_points").alias("_points"),
         )
     )
-    # One short array per hot key: at most 2 * SAMPLES_PER_CHUNK * max_chunks points in all.
-    cuts = (
-        sample.groupBy(*keys)
-        .agg(
-            F.sort_array(F.collect_list("_point")).alias("_sorted"),
-            F.first(LAST_TS).alias(LAST_TS),
-            F.first("_points").alias("_points"),
-        )
-        .select(
-            *keys,
-            LAST_TS,
-            (F.col("_points") / SAMPLES_PER_CHUNK).cast("int").alias("_salts"),
-            F.filter("_sorted", lambda _, i: (i > 0) & (i % SAMPLES_PER_CHUNK == 0)).alias("_cuts"),
-        )
-        .collect()
+    # One array per hot key, of a few points per chunk.
+    per_key = sample.groupBy(*keys).agg(
+        F.sort_array(F.collect_list("_point")).alias("_sorted"),
+        F.first(LAST_TS).alias(LAST_TS),
+        F.first("_points").alias("_points"),
     )
-    if not cuts:
-        return KeySplits(keys)
-    schema = T.StructType(
-        [T.StructField(k, rows.schema[k].dataType) for k in keys]
-        + [
-            T.StructField(LAST_TS, T.LongType()),
-            T.StructField("_salts", T.IntegerType()),
-            T.StructField("_block_starts", T.ArrayType(T.LongType())),
-            T.StructField("_blocks", T.ArrayType(T.ArrayType(T.LongType()))),
-            T.StructField("_id_starts", T.MapType(T.LongType(), T.ArrayType(T.StringType()))),
-        ]
+    cuts = per_key.select(
+        *keys,
+        LAST_TS,
+        (F.col("_points") / SAMPLES_PER_CHUNK).cast("int").alias("_salts"),
+        F.filter("_sorted", lambda _, i: (i > 0) & (i % SAMPLES_PER_CHUNK == 0)).alias("_cuts"),
     )
-    data = [tuple(c[k] for k in keys) + (c[LAST_TS], c["_salts"]) + _layout(c["_cuts"]) for c in cuts]
-    return KeySplits(keys, rows.sparkSession.createDataFrame(data, schema))
+    table = stored(_with_layout(cuts).select(*keys, LAST_TS, "_salts", "_block_starts", "_blocks", "_id_starts"))
+    return KeySplits(keys) if table.isEmpty() else KeySplits(keys, table, chunk_rows)
 
 
-def _layout(cuts: list[Row]) -> tuple[list, list, dict]:
+def _with_layout(keys: DataFrame) -> DataFrame:
     """Chunk starts in blocks, and for timestamps hit by two cuts or more the id starts."""
-    ids: dict[int, list[str]] = {}
-    for cut in cuts:
-        ids.setdefault(cut["ts"], []).append(cut["id"])
-    heavy = {ts: sorted(set(found)) for ts, found in ids.items() if len(found) > 1}
-    starts = sorted(set(ids) | {ts + 1 for ts in heavy})
-    blocks = [starts[i : i + BLOCK] for i in range(0, len(starts), BLOCK)]
-    return [b[0] for b in blocks], blocks, heavy
+    times = F.transform("_cuts", lambda c: c["ts"])
+    at_once = lambda ts: F.filter("_cuts", lambda c: c["ts"] == ts)
+    ids_at = lambda ts: F.array_sort(F.array_distinct(F.transform(at_once(ts), lambda c: c["id"])))
+    keys = keys.withColumn("_times", F.array_distinct(times))
+    keys = keys.withColumn("_heavy", F.filter("_times", lambda ts: F.size(at_once(ts)) > 1))
+    ends = F.transform("_heavy", lambda ts: ts + 1)
+    keys = keys.withColumn("_starts", F.array_sort(F.array_distinct(F.concat("_times", ends))))
+    firsts = F.sequence(F.lit(1), F.greatest(F.size("_starts"), F.lit(1)), F.lit(BLOCK))
+    keys = keys.withColumn("_blocks", F.transform(firsts, lambda at: F.slice("_starts", at, BLOCK)))
+    keys = keys.withColumn("_blocks", F.filter("_blocks", lambda b: F.size(b) > 0))
+    return keys.withColumn("_block_starts", F.transform("_blocks", lambda b: b[0])).withColumn(
+        "_id_starts", F.map_from_arrays("_heavy", F.transform("_heavy", ids_at))
+    )
 
 
 def before_chunk(keys: Sequence[str]) -> Window:
@@ -196,7 +180,6 @@ def join_dimension(events: DataFrame, dim: DataFrame, key: str, splits: KeySplit
     salts = splits.salts() if splits is not None else None
     if salts is None:
         return events.join(dim, key)
-    salts = F.broadcast(salts)  # bounded, see KeySplits
     width = F.coalesce("_salts", F.lit(1))
     left = events.join(salts, key, "left").withColumn("_salt", F.pmod(F.xxhash64("event_id"), width).cast("int"))
     right = dim.join(salts, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), width - 1)))

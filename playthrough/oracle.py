@@ -6,6 +6,8 @@ so that it shares nothing with the window frames it checks.
 
 from __future__ import annotations
 
+from playthrough.schemas import FEATURE_COLUMNS
+
 AS_OF = "2025-01-01"
 
 _RAW = """
@@ -62,15 +64,22 @@ titles AS (
   FROM part)"""
 
 # nano: the playback ratio in units of 1e-9, whose sums are exact.
-_ENRICHED = """
+def _enriched_with(genre: str = "genre", release_year: str = "release_year") -> str:
+    return f"""
 enriched AS (
-  SELECT event_id, event_ts, user_id, email, plan_tier, signup_date, content_id, genre, runtime,
-         release_year, maturity_rating, event_type, playback_position, device
+  SELECT event_id, event_ts, user_id, email, plan_tier, signup_date, content_id, {genre} AS genre, runtime,
+         {release_year} AS release_year, maturity_rating, event_type, playback_position, device
   FROM clean NATURAL JOIN viewers NATURAL JOIN titles),
 ev AS (
   SELECT *, (playback_position::BIGINT * 1000000000 + runtime // 2) // nullif(runtime, 0) AS nano
   FROM enriched)"""
 
+
+_ENRICHED = _enriched_with()
+# Titles that were renamed after some of their events, and titles without a year.
+_RENAMED = _enriched_with(genre="CASE WHEN CAST(event_id AS BIGINT) % 3 = 0 THEN 'renamed' ELSE genre END")
+_UNKNOWN_YEARS = _enriched_with(release_year="CASE WHEN content_id <> '3' THEN release_year END")
+
 _PREV = """
 prev AS (
   SELECT *, coalesce(lag(event_ts) OVER (PARTITION BY user_id, content_id ORDER BY event_ts, event_id), 0)
@@ -88,7 +97,7 @@ completion AS (
          CAST(bool_or(event_type = 'stop'
               AND coalesce(playback_position::DOUBLE / nullif(runtime, 0) >= 0.95, false)) AS INT) AS stopped_near_end,
          count(DISTINCT event_type) AS num_unique_events
-  FROM sess GROUP BY ALL)""".replace("GROUP BY ALL", "GROUP BY user_id, content_id, session_start_ts")
+  FROM sess GROUP BY user_id, content_id, session_start_ts)"""
 
 _RECENT = """
 recent AS (
@@ -174,6 +183,7 @@ timing AS (
   JOIN completion c USING (user_id, content_id, session_start_ts)
   JOIN (SELECT user_id, content_id, count(*) AS user_content_session_count FROM completion GROUP BY 1, 2) n
     USING (user_id, content_id)
+  WHERE s.release_year IS NOT NULL
   WINDOW u AS (PARTITION BY s.user_id ORDER BY s.event_ts, s.event_id))"""
 
 _CALENDAR = f"""
@@ -182,7 +192,7 @@ clock AS (
          CAST(floor((event_ts - epoch_us(signup_date) / 1000.0) / 86400000) AS BIGINT) AS days_since_signup,
          CAST(year(DATE '{AS_OF}') AS INT) - release_year AS content_age,
          playback_position::DOUBLE / nullif(runtime, 0) AS playback_position_ratio,
-         CASE WHEN runtime < 1200 THEN 'short' WHEN runtime > 3600 THEN 'long' ELSE 'medium' END
+         CASE WHEN runtime < 1200 THEN 'short' WHEN runtime >= 1200 AND runtime <= 3600 THEN 'medium' ELSE 'long' END
            AS content_length_category,
          release_year
   FROM ev),
@@ -197,8 +207,8 @@ calendar AS (
 _SESSION_STACK = [_RAW, _CLEAN, _DIMS, _ENRICHED, _PREV]
 _EV_STACK = [_RAW, _CLEAN, _DIMS, _ENRICHED]
 
-_FEATURES = [
-    *_SESSION_STACK, _COMPLETION, _RECENT, _ACTIVITY, _ENGAGEMENT, _GENRE, _RATES, _VIEW_RATIO, _PLAYED,
+_FEATURE_PARTS = [
+    _PREV, _COMPLETION, _RECENT, _ACTIVITY, _ENGAGEMENT, _GENRE, _RATES, _VIEW_RATIO, _PLAYED,
     _PAUSES, _POPULARITY, _TIMING, _CALENDAR,
     """
 features AS (
@@ -233,12 +243,35 @@ features AS (
   JOIN popularity o USING (event_id)
   WHERE e.release_year IS NOT NULL)""",
 ]
+_FEATURES = [*_EV_STACK, *_FEATURE_PARTS]
 
 
 def _query(stack: list[str], body: str) -> str:
     return "WITH" + ",".join(stack) + "\n" + body
 
 
+CATEGORICAL = (
+    "user_plan_tier", "content_genre", "content_maturity_rating", "event_type", "device", "user_genre_recency",
+    "content_length_category",
+)
+NUMERIC = [
+    c
+    for c in FEATURE_COLUMNS
+    if c not in (*CATEGORICAL, "event_id", "event_ts", "is_completion", "user_genre_preference")
+]
+_TRAIN = """
+train AS (
+  SELECT * FROM features
+  QUALIFY row_number() OVER (ORDER BY event_ts, event_id) <= floor((SELECT count(*) FROM features) * 0.8))"""
+# Rows by feature (played before or not) and label: a is 1, 1; b is 1, 0; c is 0, 1; d is 0, 0.
+_ONE_FEATURE = """
+odds AS (
+  SELECT count(*) FILTER (has_played_before = 1 AND is_completion = 1)::DOUBLE AS a,
+         count(*) FILTER (has_played_before = 1 AND is_completion = 0)::DOUBLE AS b,
+         count(*) FILTER (has_played_before = 0 AND is_completion = 1)::DOUBLE AS c,
+         count(*) FILTER (has_played_before = 0 AND is_completion = 0)::DOUBLE AS d
+  FROM features)"""
+
 # A fixed score in [0, 1] per event, to check the metrics without a model.
 _SCORED_BODY = """
 scored AS (
@@ -290,6 +323,9 @@ SQL = {
     "user_engagement": _query([*_EV_STACK, _RECENT, _ENGAGEMENT], "SELECT * FROM engagement"),
     "user_genre_preference": _query([*_EV_STACK, _RECENT, _GENRE], "SELECT * FROM genre_best"),
     "user_genre_preference_long": _query([*_EV_STACK, _RECENT, _GENRE], "SELECT * FROM genre_best"),
+    "user_genre_preference_changed_titles": _query(
+        [_RAW, _CLEAN, _DIMS, _RENAMED, _RECENT, _GENRE], "SELECT * FROM genre_best"
+    ),
     "user_completion_rate": _query([*_SESSION_STACK, _COMPLETION, _RATES], "SELECT * FROM user_rate"),
     "content_completion_rate": _query([*_SESSION_STACK, _COMPLETION, _RATES], "SELECT * FROM title_rate"),
     "avg_view_duration_ratio": _query([*_EV_STACK, _VIEW_RATIO], "SELECT * FROM view_ratio"),
@@ -310,6 +346,9 @@ SQL = {
     ),
     "calendar_fields": _query([*_EV_STACK, _CALENDAR], "SELECT * FROM calendar"),
     "completion_prediction_features": _query(_FEATURES, "SELECT * FROM features"),
+    "completion_prediction_features_unknown_years": _query(
+        [_RAW, _CLEAN, _DIMS, _UNKNOWN_YEARS, *_FEATURE_PARTS], "SELECT * FROM features"
+    ),
     "completion_prediction_features_hot_keys": _query(_FEATURES, "SELECT * FROM features"),
     "classification_report": _query(
         _SCORED,
@@ -378,6 +417,36 @@ UNION ALL SELECT NULL, 0.0, 0.0""",
         "category FOR name IN (user_plan_tier, content_genre, content_maturity_rating, event_type, device, "
         "user_genre_recency, content_length_category)) GROUP BY 1",
     ),
+    "imputed_means": _query(
+        [*_FEATURES, _TRAIN],
+        f"SELECT feature, printf('%.7e', avg(value)) AS mean FROM ("
+        f"SELECT {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in NUMERIC)} FROM train) "
+        f"UNPIVOT (value FOR feature IN ({', '.join(NUMERIC)})) GROUP BY 1",
+    ),
+    "one_feature_regression": _query(
+        [*_FEATURES, _ONE_FEATURE],
+        "SELECT 'has_played_before' AS feature, round(ln(a * d / (b * c)), 3) AS coefficient FROM odds "
+        "UNION ALL SELECT '(intercept)', round(ln(c / d * (b + d) / (a + c)), 3) FROM odds",
+    ),
+    "one_feature_predictions": _query(
+        [*_FEATURES, _ONE_FEATURE],
+        "SELECT event_id, round(CASE WHEN has_played_before = 1 "
+        "THEN a / (a + c) / (a / (a + c) + b / (b + d)) ELSE c / (a + c) / (c / (a + c) + d / (b + d)) END, 3) "
+        "AS predicted_completion_probability FROM features, odds",
+    ),
+    "aligned_for_model": _query(
+        _EV_STACK,
+        "SELECT event_id, 0.0::DOUBLE AS user_activity_level, "
+        "coalesce(playback_position::DOUBLE / nullif(runtime, 0), 0.0) AS playback_position_ratio, device FROM ev",
+    ),
+    "coefficient_names": _query(
+        [*_FEATURES, _TRAIN],
+        f"""SELECT CAST(row_number() OVER (ORDER BY kind, place, category) - 1 AS INT) AS position, feature FROM (
+  SELECT 0 AS kind, unnest(range({len(NUMERIC)})) AS place, NULL AS category, unnest({list(NUMERIC)}) AS feature
+  UNION ALL
+  SELECT DISTINCT 1, list_position({list(CATEGORICAL)}, name), category, concat(name, '_', category)
+  FROM train UNPIVOT (category FOR name IN ({', '.join(CATEGORICAL)})))""",
+    ),
     "streaming_ingest": _query(
         [_RAW],
         "SELECT * FROM raw WHERE playback_position >= 0 AND device IS NOT NULL "
@@ -385,8 +454,8 @@ UNION ALL SELECT NULL, 0.0, 0.0""",
     ),
     "streaming_ingest_remembered": _query(
         [_RAW],
-        "SELECT DISTINCT event_id, user_id, content_id, event_type, playback_position, device FROM raw "
-        "WHERE playback_position >= 0 AND device IS NOT NULL",
+        "SELECT * FROM raw WHERE playback_position >= 0 AND device IS NOT NULL "
+        "QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY event_ts) = 1",
     ),
     "streaming_quarantine": _query(
         [_RAW],

@@ -34,7 +34,7 @@ def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias(name)), seen
 
 
-def clean(spark: SparkSession, max_rows: int | None = None, keep_rejected: bool = False) -> dict[str, int]:
+def clean(spark: SparkSession, keep_rejected: bool = False) -> dict[str, int]:
     """Add the valid raw events whose id is new to the cleaned ones.
 
     ``keep_rejected`` stores the other rows, each with its reason. Returns how many rows were read and
@@ -42,8 +42,6 @@ def clean(spark: SparkSession, max_rows: int | None = None, keep_rejected: bool
     """
     store.create_table(spark, CLEANED, schemas.CLEANED_EVENTS)
     raw = spark.table(RAW).select(*schemas.EVENT_COLUMNS)
-    if max_rows is not None:
-        raw = cleaning.oldest_events(raw, max_rows)
     if keep_rejected:
         store.save_table(cleaning.rejected_events(raw), REJECTED)
     raw, read = counted(raw, "rows_read")
@@ -59,16 +57,23 @@ def enrich_events(spark: SparkSession, replace: bool = True) -> None:
     store.save_table(enriched, ENRICHED, replace)
 
 
-def intermediate_tables(
-    enriched: DataFrame, genre_list: list[str] | None, hot: feature_table.HotKeys = feature_table.NO_HOT_KEYS
+def session_tables(
+    enriched: DataFrame, hot: feature_table.HotKeys = feature_table.NO_HOT_KEYS
 ) -> dict[str, DataFrame]:
-    """The tables behind the feature table, by name. The feature table does not need them stored."""
+    """Sessions of the events, by name of the table."""
     pair = hot.user_content
-    found = sessions.session_identification(enriched, pair)
     return {
         "session_starts": sessions.session_starts(enriched, pair),
-        "session_identification": found,
-        "content_completion": sessions.content_completion(found),
+        "session_identification": sessions.session_identification(enriched, pair),
+    }
+
+
+def history_tables(
+    enriched: DataFrame, genre_list: list[str] | None, hot: feature_table.HotKeys = feature_table.NO_HOT_KEYS
+) -> dict[str, DataFrame]:
+    """The point-in-time tables behind the feature table, by name. The feature table does not need them stored."""
+    pair = hot.user_content
+    return {
         "user_activity": tables.user_activity(enriched, hot.user),
         "user_engagement": tables.user_engagement(enriched, hot.user),
         "user_genre_preference": tables.user_genre_preference(enriched, genre_list, hot.user),
@@ -85,9 +90,14 @@ def features(
 ) -> None:
     enriched = spark.table(ENRICHED)
     hot = feature_table.find_hot_keys(enriched)
-    genre_list = genres.genre_names(spark.table(CONTENT))
+    genre_list = genres.genre_names(enriched)
     if intermediates:
-        for name, table in intermediate_tables(enriched, genre_list, hot).items():
+        for name, table in session_tables(enriched, hot).items():
+            store.save_table(table, name, replace)
+        # From the sessions just stored.
+        completion = sessions.content_completion(spark.table("session_identification"))
+        store.save_table(completion, "content_completion", replace)
+        for name, table in history_tables(enriched, genre_list, hot).items():
             store.save_table(table, name, replace)
     final = feature_table.completion_prediction_features(enriched, genre_list, as_of, hot)
     store.save_table(store.by_time(final), FEATURES, replace)

@@ -23,6 +23,9 @@ QUERIES: dict[str, Query] = {}
 
 AS_OF_DATE = datetime.date.fromisoformat(AS_OF)
 INSERT_CUTOFF_MS = 1705363200000  # 2024-01-16
+#: Messages of later times arrive in later micro-batches; a minute after the hour, so that copies, a minute
+#: late themselves, also fall into the batch after their original.
+INGEST_BATCH_STARTS = (1704067260000, 1705363260000, 1706659260000)
 
 
 def query(fn: Query) -> Query:
@@ -118,7 +121,7 @@ def user_engagement(spark, sf_dir):
 @query
 def user_genre_preference(spark, sf_dir):
     i = Inputs(spark, sf_dir)
-    return tables.user_genre_preference(i.enriched, genres.genre_names(i.content), i.hot.user)
+    return tables.user_genre_preference(i.enriched, genres.genre_names(i.enriched), i.hot.user)
 
 
 @query
@@ -128,6 +131,15 @@ def user_genre_preference_long(spark, sf_dir):
     return tables.user_genre_preference(i.enriched, None, i.hot.user)
 
 
+@query
+def user_genre_preference_changed_titles(spark, sf_dir):
+    """Some events kept a genre that no title has any more."""
+    i = Inputs(spark, sf_dir)
+    renamed = F.when(F.col("event_id").cast("bigint") % 3 == 0, "renamed").otherwise(F.col("genre"))
+    enriched = i.enriched.withColumn("genre", renamed)
+    return tables.user_genre_preference(enriched, genres.genre_names(enriched), i.hot.user)
+
+
 @query
 def user_completion_rate(spark, sf_dir):
     i = Inputs(spark, sf_dir)
@@ -177,7 +189,7 @@ def user_last_session_end(spark, sf_dir):
 @query
 def session_timing(spark, sf_dir):
     i = Inputs(spark, sf_dir)
-    rows = features.with_history(i.enriched, [], i.hot)
+    rows = features.with_history(i.enriched, [], i.hot).filter(F.col("release_year").isNotNull())
     return rows.select("event_id", *[c.alias(name) for name, c in features.session_timing().items()])
 
 
@@ -191,14 +203,23 @@ def calendar_fields(spark, sf_dir):
 @query
 def completion_prediction_features(spark, sf_dir):
     i = Inputs(spark, sf_dir)
-    return features.completion_prediction_features(i.enriched, genres.genre_names(i.content), AS_OF_DATE, i.hot)
+    return features.completion_prediction_features(i.enriched, genres.genre_names(i.enriched), AS_OF_DATE, i.hot)
+
+
+@query
+def completion_prediction_features_unknown_years(spark, sf_dir):
+    """A title without a release year: its events count as history, but are no rows of the table."""
+    i = Inputs(spark, sf_dir)
+    known = F.when(F.col("content_id") != "3", F.col("release_year"))
+    enriched = i.enriched.withColumn("release_year", known)
+    return features.completion_prediction_features(enriched, genres.genre_names(enriched), AS_OF_DATE, i.hot)
 
 
 @query
 def completion_prediction_features_hot_keys(spark, sf_dir):
     """The same with chunks of so few rows that users and titles are hot and get cut."""
     i = Inputs(spark, sf_dir, chunk_rows=50)
-    return features.completion_prediction_features(i.enriched, genres.genre_names(i.content), AS_OF_DATE, i.hot)
+    return features.completion_prediction_features(i.enriched, genres.genre_names(i.enriched), AS_OF_DATE, i.hot)
 
 
 def _scored(spark, sf_dir):
@@ -257,38 +278,43 @@ def _new_folder(spark, name):
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def _ingested(spark, sf_dir, remember=None):
-    """Send all raw events as messages through the stream; some are cut short, some lack a key."""
+def _ingested(spark, sf_dir, remember_days=None):
+    """Send all raw events as messages through the stream, in batches by time; some are cut short, some lack a key."""
     folder = _new_folder(spark, "ingest")
-    event = F.to_json(F.struct(*testtables.raw_events(spark, sf_dir).columns))
+    raw = testtables.raw_events(spark, sf_dir)
+    event = F.to_json(F.struct(*raw.columns))
     cut_short = F.col("playback_position") < 0
-    lines = testtables.raw_events(spark, sf_dir).select(
-        F.when(cut_short, F.substr(event, F.lit(1), F.length(event) - 5)).otherwise(event).alias("value")
-    )
-    lines.write.text(f"{folder}/lines")
-    messages.publish(spark, f"{folder}/lines", "text", path=f"{folder}/topic")
-    running = ingest.ingest(
-        messages.file_messages(spark, f"{folder}/topic"),
-        table=f"{folder}/events",
-        quarantine=f"{folder}/quarantine",
-        checkpoint=f"{folder}/checkpoint",
-        trigger=ingest.BACKLOG,
-        remember=remember,
+    lines = raw.select(
+        "event_ts", F.when(cut_short, F.substr(event, F.lit(1), F.length(event) - 5)).otherwise(event).alias("value")
     )
-    running.awaitTermination()
+    bounds = [None, *INGEST_BATCH_STARTS, None]
+    for k, (first, end) in enumerate(zip(bounds, bounds[1:])):
+        part = lines if first is None else lines.filter(F.col("event_ts") >= first)
+        part = part if end is None else part.filter(F.col("event_ts") < end)
+        part.select("value").write.text(f"{folder}/lines{k}")
+        messages.publish(spark, f"{folder}/lines{k}", "text", path=f"{folder}/topic")
+        running = ingest.ingest(
+            messages.file_messages(spark, f"{folder}/topic"),
+            table=f"{folder}/events",
+            quarantine=f"{folder}/quarantine",
+            checkpoint=f"{folder}/checkpoint",
+            trigger=ingest.BACKLOG,
+            remember_days=remember_days,
+        )
+        running.awaitTermination()
     return folder
 
 
 @query
 def streaming_ingest(spark, sf_dir):
-    return spark.read.parquet(_ingested(spark, sf_dir) + "/events").drop("batch_id")
+    return spark.read.parquet(_ingested(spark, sf_dir) + "/events").drop("batch_id", "arrival_day")
 
 
 @query
 def streaming_ingest_remembered(spark, sf_dir):
-    """With ids kept in state. Of copies in one batch any may win; they differ in their time only."""
-    stored = spark.read.parquet(_ingested(spark, sf_dir, remember="1 day") + "/events")
-    return stored.drop("batch_id", "event_ts")
+    """Ids are looked up among those that arrived since yesterday only."""
+    stored = spark.read.parquet(_ingested(spark, sf_dir, remember_days=1) + "/events")
+    return stored.drop("batch_id", "arrival_day")
 
 
 @query
@@ -334,3 +360,54 @@ def model_coefficients(spark, sf_dir):
 def model_report(spark, sf_dir):
     _, evaluation = model.train_and_evaluate(_stored_features(spark, sf_dir))
     return evaluation.report
+
+
+@query
+def imputed_means(spark, sf_dir):
+    """What stands in for nulls, to eight digits: means of the oldest four fifths."""
+    train, _ = model.split(_stored_features(spark, sf_dir))
+    means = model.imputed_means(train)
+    return means.select("feature", F.format_string("%.7e", F.col("mean")).alias("mean"))
+
+
+def _one_feature(spark, sf_dir):
+    """Features of one 0/1 number, where the optimum without a penalty is known in closed form."""
+    rows = completion_prediction_features(spark, sf_dir).select("event_id", "has_played_before", "is_completion")
+    rows = materialize(rows)
+    return rows, model.fit(model.labelled(rows), c=1e12, max_iter=200, tol=1e-12)
+
+
+@query
+def one_feature_regression(spark, sf_dir):
+    _, fitted = _one_feature(spark, sf_dir)
+    weights = model.coefficients(spark, fitted).select("feature", "coefficient")
+    intercept = spark.createDataFrame([("(intercept)", float(fitted.stages[-1].intercept))], weights.schema)
+    return weights.unionByName(intercept).select("feature", F.round("coefficient", 3).alias("coefficient"))
+
+
+@query
+def one_feature_predictions(spark, sf_dir):
+    """The same model, saved and loaded, applied to all rows."""
+    rows, fitted = _one_feature(spark, sf_dir)
+    path = _new_folder(spark, "model")
+    model.save(fitted, path)
+    scored = model.score(model.load(path), rows)
+    return scored.select("event_id", F.round(model.PROBABILITY, 3).alias(model.PROBABILITY))
+
+
+@query
+def aligned_for_model(spark, sf_dir):
+    """Enriched events as the input of a model that knows three features, one of which they lack."""
+    table = completion_prediction_features(spark, sf_dir)
+    known = table.select("event_id", "user_activity_level", "playback_position_ratio", "device", "is_completion")
+    fitted = model.fit(model.labelled(materialize(known)), max_iter=1)
+    ratio = scalar.position_ratio(F.col("playback_position"), F.col("runtime"))
+    enriched = Inputs(spark, sf_dir).enriched.withColumn("playback_position_ratio", ratio)
+    return model.align(enriched, fitted)
+
+
+@query
+def coefficient_names(spark, sf_dir):
+    """Order and names of all coefficients: numbers in table order, then categories by name."""
+    train, _ = model.split(_stored_features(spark, sf_dir))
+    return model.coefficients(spark, model.fit(train, max_iter=1)).select("position", "feature")

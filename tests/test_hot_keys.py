@@ -3,6 +3,7 @@
 import datetime
 
 import pytest
+from pyspark.sql import functions as F
 from frames import enriched, random_events
 
 from playthrough.functions.scalar import HISTORY_MS
@@ -85,12 +86,14 @@ def test_salted_join_keeps_rows(case, spark):
          join_dimension(events, dim, "user_id").select("event_id", "k"))
 
 
-def test_chunk_count_is_bounded(case):
-    df, _ = case
-    splits = find_splits(df, ["user_id"], reach=HISTORY_MS, chunk_rows=1, max_chunks=10)
-    assert splits.table.count() <= 10
-    starts = sum(len(b) for r in splits.table.collect() for b in r["_blocks"])
-    assert starts <= 3 * 10
+def test_chunks_do_not_grow_with_the_rows(spark):
+    for n in (400, 4000):
+        rows = spark.range(n).selectExpr("'u' user_id", "id event_ts", "cast(id as string) event_id")
+        splits = find_splits(rows, ["user_id"], chunk_rows=40)
+        cut = splits.assign(rows, F.col("event_ts"), F.col("event_id"))
+        most = cut.groupBy("_chunk", "_sub").count().agg(F.max("count")).first()[0]
+        assert most <= 4 * 40
+        assert cut.select("_chunk").distinct().count() >= n / 80
 
 
 def test_many_blocks(case, monkeypatch):

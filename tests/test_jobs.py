@@ -50,7 +50,8 @@ def test_batch_run(spark, database):
     assert spark.table(jobs.ENRICHED).columns == schemas.ENRICHED_COLUMNS
     main(["features", "--as-of", oracle.AS_OF, "--intermediates"])
     assert spark.table(jobs.FEATURES).columns == schemas.FEATURE_COLUMNS
-    names = [*jobs.intermediate_tables(spark.table(jobs.ENRICHED), []), jobs.FEATURES]
+    enriched = spark.table(jobs.ENRICHED)
+    names = [*jobs.session_tables(enriched), "content_completion", *jobs.history_tables(enriched, []), jobs.FEATURES]
     assert len(names) == 12
     for name in names:
         assert stored(spark, name) == expected(name), name
@@ -79,4 +80,4 @@ def test_an_existing_table_can_be_kept(spark, database):
 def test_arguments():
     a = parser().parse_args(["features", "--as-of", "2024-02-29"])
     assert a.as_of == datetime.date(2024, 2, 29) and not a.intermediates
-    assert parser().parse_args(["clean"]).max_rows is None
+    assert not parser().parse_args(["clean"]).keep_rejected
