@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from playthrough.functions.scalar import HISTORY_MS
 from playthrough.operators.history import keyed_history
 from playthrough.operators.keysplits import KeySplits, find_splits, join_dimension
+from playthrough.sources.checkpoint import stored
 
 MAX_COUNTERS = 100
 
@@ -51,6 +52,7 @@ def _from_long_counts(events: DataFrame, splits: KeySplits | None) -> DataFrame:
 
     Every such row counts the user's recent events of that genre; the event keeps the best one.
     """
+    events = stored(events)  # read three times below, mostly a few columns of it
     narrow = events.select("event_id", "event_ts", "user_id", F.col("genre").alias("_own"))
     watched = events.select("user_id", "genre").dropna().distinct()
     by_user = watched.groupBy("user_id").agg(F.collect_set("genre").alias("_genres"))

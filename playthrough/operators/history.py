@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playthrough.operators import keysplits as ks
-from playthrough.sources.checkpoint import materialize
+from playthrough.sources.checkpoint import stored
 
 AT, EXPIRY = "_at", "_expiry"
 
@@ -93,8 +93,8 @@ def _chunked(df, keys, prior, recent, span, lags, totals, splits):
         )
     else:
         rows = rows.withColumns({EXPIRY: F.lit(False), AT: F.col("event_ts")})
-    # Read twice below, by the carry-over and by the windows.
-    rows = materialize(splits.assign(rows, F.col(AT), F.col("event_id")).drop(ks.LAST_TS))
+    # Read twice below, by the carry-over, which takes a few columns only, and by the windows.
+    rows = stored(splits.assign(rows, F.col(AT), F.col("event_id")).drop(ks.LAST_TS))
 
     expiry = F.col(EXPIRY)
     once = {c: F.when(~expiry, F.col(c)) for (g, _), c in values.items() if g in "pt"}

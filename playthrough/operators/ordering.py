@@ -14,7 +14,9 @@ THINNED_TO = 20_000  # rows the pivots are picked from
 SORT_AT_MOST = 100_000  # rows sorted in one place at the end of a selection
 
 
-def row_at(df: DataFrame, order: Sequence[str], k: int, n_rows: int | None = None) -> Row | None:
+def row_at(
+    df: DataFrame, order: Sequence[str], k: int, n_rows: int | None = None, sort_at_most: int | None = None
+) -> Row | None:
     """The ``k``-th row (from 0) of ``df`` ordered by ``order``, whose values must be unique.
 
     Repeatedly counts the rows between a few sampled pivots and goes on with the interval holding
@@ -23,7 +25,7 @@ def row_at(df: DataFrame, order: Sequence[str], k: int, n_rows: int | None = Non
     rows = df.select(*order)
     here = F.struct(*order)
     n = rows.count() if n_rows is None else n_rows
-    while n > SORT_AT_MOST:
+    while n > (sort_at_most or SORT_AT_MOST):
         # Thin out by one hash, then keep one row per slot of another.
         thin = rows.filter(F.pmod(F.xxhash64(F.lit("thin"), *order), F.lit(max(1, n // THINNED_TO))) == 0)
         slot = F.pmod(F.xxhash64(*order), F.lit(PIVOTS))
@@ -56,10 +58,10 @@ def chronological_split(df: DataFrame, test_size: float = 0.2) -> tuple[DataFram
     return df.filter(before), df.filter(~before)
 
 
-def chronological_cut(df: DataFrame, test_size: float = 0.2) -> Row | None:
+def chronological_cut(df: DataFrame, test_size: float = 0.2, sort_at_most: int | None = None) -> Row | None:
     """The first test row."""
     n = df.count()
-    return row_at(df, ["event_ts", "event_id"], int(n * (1 - test_size)), n)
+    return row_at(df, ["event_ts", "event_id"], int(n * (1 - test_size)), n, sort_at_most)
 
 
 def running_sums(

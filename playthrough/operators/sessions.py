@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from playthrough.functions import scalar
 from playthrough.operators import keysplits as ks
 from playthrough.operators.history import keyed_history
-from playthrough.sources.checkpoint import materialize
+from playthrough.sources.checkpoint import stored
 
 USER_CONTENT = ("user_id", "content_id")
 SESSION = (*USER_CONTENT, "session_start_ts")
@@ -92,7 +92,7 @@ def with_session_facts(sessions: DataFrame, splits: ks.KeySplits | None = None)
     hot = splits is not None and splits.any_hot
     rows = clustered = sessions
     if hot:
-        rows = materialize(splits.assign(sessions, F.col("event_ts"), F.col("event_id")).drop(ks.LAST_TS))
+        rows = stored(splits.assign(sessions, F.col("event_ts"), F.col("event_id")).drop(ks.LAST_TS))
         clustered = splits.cluster(rows)
     part = Window.partitionBy(*SESSION, *([ks.CHUNK, ks.SUB] if hot else []))
     pause = F.when(F.col("event_type") == "pause", 1).otherwise(0)

@@ -323,6 +323,7 @@ SQL = {
     "user_engagement": _query([*_EV_STACK, _RECENT, _ENGAGEMENT], "SELECT * FROM engagement"),
     "user_genre_preference": _query([*_EV_STACK, _RECENT, _GENRE], "SELECT * FROM genre_best"),
     "user_genre_preference_long": _query([*_EV_STACK, _RECENT, _GENRE], "SELECT * FROM genre_best"),
+    "user_genre_preference_long_hot_keys": _query([*_EV_STACK, _RECENT, _GENRE], "SELECT * FROM genre_best"),
     "user_genre_preference_changed_titles": _query(
         [_RAW, _CLEAN, _DIMS, _RENAMED, _RECENT, _GENRE], "SELECT * FROM genre_best"
     ),
@@ -350,6 +351,7 @@ SQL = {
         [_RAW, _CLEAN, _DIMS, _UNKNOWN_YEARS, *_FEATURE_PARTS], "SELECT * FROM features"
     ),
     "completion_prediction_features_hot_keys": _query(_FEATURES, "SELECT * FROM features"),
+    "completion_prediction_features_hot_pairs": _query(_FEATURES, "SELECT * FROM features"),
     "classification_report": _query(
         _SCORED,
         """, cells AS (

@@ -131,6 +131,13 @@ def user_genre_preference_long(spark, sf_dir):
     return tables.user_genre_preference(i.enriched, None, i.hot.user)
 
 
+@query
+def user_genre_preference_long_hot_keys(spark, sf_dir):
+    """That way with users and their genres cut."""
+    i = Inputs(spark, sf_dir, chunk_rows=20)
+    return tables.user_genre_preference(i.enriched, None, i.hot.user)
+
+
 @query
 def user_genre_preference_changed_titles(spark, sf_dir):
     """Some events kept a genre that no title has any more."""
@@ -222,6 +229,13 @@ def completion_prediction_features_hot_keys(spark, sf_dir):
     return features.completion_prediction_features(i.enriched, genres.genre_names(i.enriched), AS_OF_DATE, i.hot)
 
 
+@query
+def completion_prediction_features_hot_pairs(spark, sf_dir):
+    """With chunks so small that pairs of user and title are cut as well."""
+    i = Inputs(spark, sf_dir, chunk_rows=10)
+    return features.completion_prediction_features(i.enriched, genres.genre_names(i.enriched), AS_OF_DATE, i.hot)
+
+
 def _scored(spark, sf_dir):
     """Label and a fixed score per event, to check metrics without a model."""
     i = Inputs(spark, sf_dir)
@@ -269,7 +283,8 @@ def class_weights(spark, sf_dir):
 def chronological_split(spark, sf_dir):
     """Which events are for training, which for testing."""
     events = materialize(Inputs(spark, sf_dir).enriched.select("event_id", "event_ts"))
-    cut = ordering.chronological_cut(events)
+    # So few sorted in one place that the cut is found by counting between pivots, as with many rows.
+    cut = ordering.chronological_cut(events, sort_at_most=1000)
     before = ordering.is_before(cut, ["event_ts", "event_id"])
     return events.select("event_id", F.when(before, 1).otherwise(0).alias("is_train"))
 
