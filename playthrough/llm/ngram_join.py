@@ -2,9 +2,9 @@
 
 N-grams have one global order: rare ones first, by hash, then the most frequent ones, by their number of documents.
 Two sets as similar as asked share an n-gram among the first ones of each (the prefix filter), so documents
-meet in the lists of their prefixes' n-grams. Of a list, first all are compared with one member. What the found
-links do not connect is then compared pair by pair, so that thousands of copies cost a link each and no link
-is lost.
+meet in the lists of their prefixes' n-grams. Of a list, first all are compared with one member, then those that
+are not connected with a few of the largest component. What the found links still do not connect is compared
+pair by pair, so that thousands of copies cost a link each and no link is lost.
 
 Pairs are verified in tries: the sets to be compared with one set are put in order, so that sets with a
 common beginning share its partial overlap, and a branch ends as soon as the remaining lengths cannot reach
@@ -42,6 +42,8 @@ LEAST_BUCKETS = 1024
 FLUSH = 2_000_000
 #: Members of a list that are compared in one piece; longer lists are cut into blocks, taken two by two.
 BLOCK = 2048
+#: Members of a list's largest component that each other member is compared with, before all pairs are.
+TRIES = 8
 #: Sets compared with one set in one piece.
 PARTNERS = 256
 #: Bits of the map of documents that are needed, at most.
@@ -388,6 +390,22 @@ def _with_one_member(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield _pairs_table(a, b)
 
 
+def _with_largest(table: pa.Table) -> pa.Table:
+    """Pairs of each member outside a list's largest component with a few members of that one."""
+    ids, sizes, roots = (np.array(table[c].to_pylist(), dtype=np.int64) for c in ("set_id", "n", "root"))
+    found, counts = np.unique(roots, return_counts=True)
+    inside = roots == found[counts.argmax()]
+    others, largest = np.flatnonzero(~inside), np.flatnonzero(inside)
+    first = _mixed(ids[others].astype(np.uint64)) % np.uint64(len(largest))
+    a, b = [], []
+    for k in range(min(TRIES, len(largest))):
+        partner = largest[(first.astype(np.int64) + k * (1 + len(largest) // TRIES)) % len(largest)]
+        fit = _sizes_fit(sizes[others], sizes[partner])
+        a.append(ids[others][fit])
+        b.append(ids[partner][fit])
+    return pa.Table.from_batches([_pairs_table(a, b)])
+
+
 def _unconnected(table: pa.Table) -> pa.Table:
     """All pairs of a list whose members are of different components."""
     ids, sizes, roots = (np.array(table[c].to_pylist(), dtype=np.int64) for c in ("set_id", "n", "root"))
@@ -547,16 +565,19 @@ def _linked_sets(texts: DataFrame, sets: DataFrame, counted: DataFrame, buckets:
 
     stars = store(lists.select("members").mapInArrow(_with_one_member, "a long, b long").distinct(), "stars")
     links = _verified(stars, needed, grams)
-    roots = store(components(links), "roots")
-    rooted = members.join(roots, members["set_id"] == roots["node"], "left")
-    rooted = store(rooted.select("list_id", "set_id", "n", F.coalesce("component", "set_id").alias("root")), "rooted")
-    open_lists = rooted.groupBy("list_id").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    open_lists = open_lists.filter("low < high").select("list_id")
-    rest = rooted.join(open_lists, "list_id").groupBy("list_id").applyInArrow(_unconnected, "a long, b long")
-    rest = store(rest.distinct().join(stars, ["a", "b"], "left_anti"), "rest")
-    if rest.isEmpty():
-        return roots
-    return components(links.unionByName(_verified(rest, needed, grams)))
+    tested, roots = stars, store(components(links), "roots")
+    for choose in (_with_largest, _unconnected):
+        rooted = members.join(roots, members["set_id"] == roots["node"], "left")
+        rooted = store(rooted.select("list_id", "set_id", "n", F.coalesce("component", "set_id").alias("root")), "rooted")
+        open_lists = rooted.groupBy("list_id").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        open_lists = open_lists.filter("low < high").select("list_id")
+        rest = rooted.join(open_lists, "list_id").groupBy("list_id").applyInArrow(choose, "a long, b long")
+        rest = store(rest.distinct().join(tested, ["a", "b"], "left_anti"), "rest")
+        if not rest.isEmpty():
+            tested = tested.unionByName(rest)
+            links = links.unionByName(_verified(rest, needed, grams))
+            roots = store(components(links), "roots")
+    return roots
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
