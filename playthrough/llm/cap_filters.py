@@ -1,7 +1,8 @@
 """Near-duplicate embeddings by spherical-cap filters.
 
 Directions come from a product code: the dimensions are cut in two, each half has random unit vectors, and a
-direction is a pair of them. A vector passes every direction whose cosine with it exceeds a limit; the sums of two
+direction is a pair of them. A vector passes every direction whose cosine with it exceeds a limit, and its
+``PASSED`` best ones whatever their cosine, so that recall does not fall as directions get many; the sums of two
 sorted lists give these without going through all pairs. Vectors that pass the same direction are compared.
 The number of directions grows with the number of vectors, so that a direction keeps some hundred of them.
 """
@@ -21,7 +22,7 @@ from playthrough.llm.common import ship_code, store
 from playthrough.llm.graph import components
 
 LEAST_COSINE = 0.95
-#: Directions that a random vector passes, and vectors per direction, on average.
+#: Directions that each vector passes at least, and vectors per direction if it passes no more.
 PASSED = 24
 PER_DIRECTION = 256
 #: Vectors of a direction that are compared in one piece; more are cut into blocks, compared two by two.
@@ -33,7 +34,7 @@ FOUND = "vec_id long, links long, root long"
 
 
 def codes_for(n: int) -> tuple[int, float]:
-    """Vectors per half, and the share of a random vector's directions it passes."""
+    """Vectors per half, and the share of directions above the limit for Gaussian cosines."""
     per_half = max(8, math.ceil(math.sqrt(n * PASSED / PER_DIRECTION)))
     return per_half, min(0.5, PASSED / per_half**2)
 
@@ -46,7 +47,7 @@ def _codebooks(dimensions: int, per_half: int) -> list[np.ndarray]:
 
 
 def passed_directions(x: np.ndarray, books: list[np.ndarray], share: float) -> np.ndarray:
-    """Numbers of all directions that the unit vector x passes; the best one if it passes none."""
+    """Numbers of all directions that the unit vector x passes: those above the limit, and the PASSED best ones."""
     per_half = len(books[0])
     limit = NormalDist().inv_cdf(1 - share) / math.sqrt(len(x)) * math.sqrt(2)
     first = books[0] @ x[: books[0].shape[1]]
@@ -54,11 +55,13 @@ def passed_directions(x: np.ndarray, books: list[np.ndarray], share: float) -> n
     order = np.argsort(-second, kind="stable")
     falling = -second[order]
     counts = np.searchsorted(falling, first - limit, side="right")
-    if not counts.any():
-        return np.array([first.argmax() * per_half + order[0]])
+    # The k best pairs are among the k best of each half. Ties go by number, so that they add no directions.
+    row, place = np.argsort(-first, kind="stable")[:PASSED], order[:PASSED]
+    best = np.argsort(-(first[row][:, None] + second[place]), axis=None, kind="stable")[:PASSED]
+    best = row[best // len(place)] * per_half + place[best % len(place)]
     rows = np.repeat(np.arange(per_half), counts)
     places = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    return np.sort(rows * per_half + order[places])
+    return np.union1d(rows * per_half + order[places], best)
 
 
 def _decode(per_half: int, share: float, dtype: str, only_numbers: bool):

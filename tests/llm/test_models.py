@@ -229,5 +229,27 @@ def test_embedding_links_equal_brute_force(spark, monkeypatch, block):
     assert all(r.kept == (r.component_id == r.vec_id) for r in got.values())
 
 
+@pytest.mark.parametrize("n", [2_000, 1_000_000, 10_000_000])
+@pytest.mark.parametrize("dimensions", [16, 64])
+def test_directions_meet_whatever_the_number_of_vectors(n, dimensions):
+    per_half, share = cap_filters.codes_for(n)
+    books = cap_filters._codebooks(dimensions, per_half)
+    rng, met = np.random.default_rng(4), 0
+    for _ in range(200):
+        x, y = rng.standard_normal((2, dimensions))
+        x /= np.linalg.norm(x)
+        y -= x * (x @ y)
+        y = 0.95 * x + (1 - 0.95**2) ** 0.5 * y / np.linalg.norm(y)
+        a, b = (cap_filters.passed_directions(v, books, share) for v in (x, y))
+        assert min(len(a), len(b)) >= cap_filters.PASSED and len(np.unique(a)) == len(a)
+        met += len(np.intersect1d(a, b)) > 0
+    assert met >= 0.97 * 200
+
+
+def test_tied_directions_do_not_add_up():
+    per_half, share = cap_filters.codes_for(1_000_000)
+    assert len(cap_filters.passed_directions(np.ones(1), cap_filters._codebooks(1, per_half), share)) == cap_filters.PASSED
+
+
 def test_embeddings_of_nothing(spark):
     assert cap_filters.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
