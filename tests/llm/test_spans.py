@@ -94,6 +94,28 @@ def test_contexts_of_seeds_find_unseen_identifiers(docs_of):
     assert got[51] == ""
 
 
+UNSEEN = ["alice@intranet", "bob.smith@host7", "fe80::1:2ab", "00:1b:44:11:3a:b7", "(030) 555-019", "4711", "josé@büro"]
+
+
+def test_unseen_identifiers_of_any_shape_are_found(docs_of):
+    word = "w" * 60
+    rows = [(i, f"reach me under {word} p{i}@mail.example or so") for i in range(40)]
+    rows += [(100 + i, f"reach me under {word} {u} or so") for i, u in enumerate(UNSEEN)]
+    rows += [(200, f"under {word} nothing or so"), (201, "he took 00:1b:44:11:3a:b7 there")]
+    got = {r.doc_id: r.spans for r in pii.digest(pii.find_personal_data(docs_of(rows))).collect()}
+    assert [got[100 + i] for i in range(len(UNSEEN))] == [f"likely:76:{76 + len(u)}" for u in UNSEEN]
+    assert got[200] == got[201] == ""
+
+
+def test_ordinary_words_count_in_a_context(docs_of):
+    rows = [(i, f"they met p{i}@mail.example") for i in range(20)] + [(50, "they met 99881-77665")]
+    words = [a + b for a in "bcdfghjk" for b in ["ar", "el", "in", "ot"]]
+    for others, want in ((words[:2], "likely:9:20"), (words, "")):
+        docs = docs_of(rows + [(100 + i, f"they met {w}.") for i, w in enumerate(others)])
+        got = {r.doc_id: r.spans for r in pii.digest(pii.find_personal_data(docs)).collect()}
+        assert got[50] == want
+
+
 def test_spans_of_nothing(docs_of):
     assert secrets.digest(secrets.find_secrets(docs_of([]))).count() == 0
     assert pii.digest(pii.find_personal_data(docs_of([]))).count() == 0
