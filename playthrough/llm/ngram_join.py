@@ -583,6 +583,7 @@ def _linked_sets(texts: DataFrame, sets: DataFrame, counted: DataFrame, buckets:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable by links).
 
+    Components are given, not links: pairs that others connect already are not compared, and links are not counted.
     A document without words, or with a null text, has no shingles and links with nothing. Rows without an id
     have no component and link with nothing; rows that repeat an id are linked as their texts are. Columns
     other than doc_id and text are ignored; an empty table gives an empty result.
