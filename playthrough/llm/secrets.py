@@ -94,7 +94,7 @@ def _length_class(length: Column) -> Column:
 def rejection_limits(found: DataFrame, rate: float = FALSE_DISCOVERY_RATE) -> DataFrame:
     """length_class, limit: from how many steps on candidates are rejected (Benjamini-Hochberg over steps).
 
-    All candidates count; what is shuffled is a count per class and step.
+    All candidates with letters and digits count; what is shuffled is a count per class and step.
     """
     one = found.select(F.explode("candidates").alias("c")).select("c.length_class", "c.step")
     counts = one.groupBy("length_class", "step").agg(F.count(F.lit(1)).alias("n"))
