@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playthrough.llm import exact_dedup, mixing, ngram_join, packing, quality
-from playthrough.llm.common import store, table
+from playthrough.llm.common import store, table, text_or_empty
 from playthrough.llm.queries import word_tokenizer
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -24,15 +24,20 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked texts: the one with the smallest id."""
-    dropped = (
-        ngram_join.near_duplicates(docs)
-        .filter("doc_id != component_id")
-        .select(F.col("doc_id").alias("__id"))
-        .distinct()
-    )
-    dropped = store(dropped, "dropped")
-    return docs.join(dropped, docs["doc_id"] == dropped["__id"], "left_anti").select(COLUMNS)
+    """One document of each group of linked texts: the one with the smallest id.
+
+    Rows are told apart by id and text, as an id may repeat with other texts. Rows without an id stay.
+    """
+    key = F.when(F.col("doc_id").isNotNull(), F.xxhash64(text_or_empty()))
+    found = ngram_join.near_duplicates(docs.select(key.alias("doc_id"), "text")).filter("doc_id is not null")
+    groups = found.select(F.col("doc_id").alias("__key"), F.col("component_id").alias("__group")).distinct()
+    rows = docs.select(F.col("doc_id").alias("__id"), key.alias("__key")).filter("__key is not null")
+    rows = store(rows.join(groups, "__key"), "groups")
+    stays = rows.groupBy("__group").agg(F.min(F.struct("__id", "__key")).alias("__stays"))
+    dropped = rows.join(stays, "__group").filter(F.struct("__id", "__key") != F.col("__stays"))
+    dropped = store(dropped.select("__id", F.col("__key").alias("__dropped")).distinct(), "dropped")
+    same = (F.col("doc_id") == F.col("__id")) & (F.col("__key") == F.col("__dropped"))
+    return docs.withColumn("__key", key).join(dropped, same, "left_anti").select(COLUMNS)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
