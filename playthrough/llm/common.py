@@ -91,3 +91,13 @@ def running(df: DataFrame, groups: Sequence[str], amount: Column, bucket: Column
 def long_array(values: Sequence[int]) -> Column:
     """A small array of numbers as a literal."""
     return F.array(*[F.lit(int(v)).cast("long") for v in values])
+
+
+def remove(df: DataFrame) -> None:
+    """Delete the files that a stored table is read from, once nothing reads it any more."""
+    spark = df.sparkSession
+    context = spark.sparkContext
+    folders = {file.rsplit("/", 1)[0] for file in df.inputFiles()}
+    for folder in folders:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
