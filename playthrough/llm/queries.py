@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playthrough.llm import cap_filters, exact_dedup, mixing, ngram_join, packing, pii, quality, secrets, sharding, url_reputation
+from playthrough.llm import (
+    cap_filters,
+    centroids,
+    exact_dedup,
+    language_model,
+    mixing,
+    ngram_join,
+    packing,
+    pii,
+    quality,
+    secrets,
+    sharding,
+    spelling,
+    url_reputation,
+)
 from playthrough.llm.common import table
 from playthrough.llm.sql import SQL  # noqa: F401
 
@@ -77,3 +91,18 @@ def op9_exact_dedup(spark, sf_dir):
 @query
 def op10_mixing(spark, sf_dir):
     return mixing.mix_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_centroid_clustering(spark, sf_dir):
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_language_model(spark, sf_dir):
+    return language_model.score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_spelling_variants(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"))

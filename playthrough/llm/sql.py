@@ -93,3 +93,90 @@ SELECT page_id, host, path, rule,
             WHEN bound >= 0.5 THEN 'allow' ELSE 'block' END AS verdict
 FROM ruled JOIN reputation USING (host)
 """
+
+
+def _centroids_sql(rounds: int = 5, clusters: int = 40) -> str:
+    """Every distance anew in every round. All numbers are whole and below 2^53, so that doubles hold them."""
+    distance = (
+        "list_inner_product(v.u, v.u) - 2 * list_inner_product(v.u, c.u) + list_inner_product(c.u, c.u)"
+    )
+    steps = [
+        f"""WITH v AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS u
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), u) - 1 AS c, u FROM v
+    WHERE vec_id IS NOT NULL QUALIFY c < {clusters}
+)"""
+    ]
+    for k in range(rounds + 1):
+        steps.append(f"""a{k} AS MATERIALIZED (
+    SELECT r, arg_min(c, (d, c)) AS c, min(d) AS d FROM (SELECT v.r, c.c, {distance} AS d FROM v, c{k} c) GROUP BY r
+)""")
+        if k < rounds:
+            steps.append(f"""c{k + 1} AS MATERIALIZED (
+    SELECT c.c, coalesce(m.u, c.u) AS u FROM c{k} c LEFT JOIN (
+        SELECT c, list(x ORDER BY j) AS u FROM (
+            SELECT c, j, floor(sum(x) / count(*)) AS x
+            FROM (SELECT a.c, unnest(v.u) AS x, unnest(range(64)) AS j FROM v JOIN a{k} a USING (r)) GROUP BY c, j
+        ) GROUP BY c
+    ) m USING (c)
+)""")
+    return ", ".join(steps) + f"""
+SELECT v.vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(a.d AS BIGINT) AS distance,
+       CAST(sum(a.d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia, CAST(sum(a.d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(list_transform(c.u, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), ',')) AS centroid_sha256
+FROM v JOIN a{rounds} a USING (r) JOIN c{rounds} c ON c.c = a.c
+"""
+
+
+SQL["op11_centroid_clustering"] = _centroids_sql()
+
+SQL["op13_spelling_variants"] = r"""
+WITH RECURSIVE steps(b, i, c) AS (
+    SELECT b, 0, b FROM range(256) AS bytes(b)
+    UNION ALL
+    SELECT b, i + 1, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END FROM steps WHERE i < 8
+), crc AS MATERIALIZED (
+    SELECT list(c ORDER BY b) AS t FROM steps WHERE i = 8
+), runs AS MATERIALIZED (
+    SELECT doc_id, run, count(*) AS times FROM (
+        SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc_id,
+               unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                      'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run
+        FROM documents
+    ) GROUP BY doc_id, run
+), hashed AS (
+    SELECT run, times, xor(list_reduce(
+        list_transform(range(strlen(x)), lambda i: CAST(('0x' || substr(hex(encode(x)), 2 * i + 1, 2)) AS BIGINT)),
+        lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) AS h
+    FROM (SELECT run, times, doc_id || ':' || run AS x FROM runs), crc
+), counted AS MATERIALIZED (
+    SELECT word, CAST(sum(times) AS BIGINT) AS n FROM (
+        SELECT times, CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2)
+                           ELSE run END AS word
+        FROM hashed
+    ) WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3
+), shortened AS MATERIALIZED (
+    SELECT word, n, i, left(word, i) || substr(word, i + 2) AS less
+    FROM (SELECT word, n, unnest(range(length(word))) AS i FROM counted)
+), near AS MATERIALIZED (
+    SELECT a.word, b.word AS other, b.n FROM shortened a JOIN shortened b ON a.less = b.less AND a.i = b.i AND a.word <> b.word
+    UNION
+    SELECT a.less, a.word, a.n FROM shortened a JOIN counted b ON a.less = b.word
+    UNION
+    SELECT a.word, b.word, b.n FROM shortened a JOIN counted b ON a.less = b.word
+), forms AS MATERIALIZED (
+    SELECT word, c.n, count(other) AS n_near,
+           CASE WHEN max(near.n) >= 2 * c.n THEN arg_min(other, (-near.n, other)) END AS form,
+           CASE WHEN max(near.n) >= 2 * c.n THEN max(near.n) END AS form_n
+    FROM counted c LEFT JOIN near USING (word) GROUP BY word, c.n
+), paths(word, reached, steps) AS (
+    SELECT word, word, 0 FROM forms
+    UNION ALL
+    SELECT p.word, f.form, steps + 1 FROM paths p JOIN forms f ON f.word = p.reached WHERE f.form IS NOT NULL
+)
+SELECT word, form, root, n, n_near, form_n
+FROM forms JOIN (SELECT word, arg_max(reached, steps) AS root FROM paths GROUP BY word) USING (word)
+"""
