@@ -4,19 +4,21 @@ A token's probability mixes the maximum-likelihood estimates of its trigram, big
 The weights of the mixture belong to buckets of the context's frequency. They are learned by expectation-maximisation
 on a held-out part of the training documents, with that part deleted from the counts; the scores use all counts.
 
-Tokens are counted and looked up in one exchange. A task reads documents into chunks of a bounded number of tokens
-and sends each chunk's distinct n-grams, as packed numbers, to the buckets of their hashes. A bucket adds up the
-counts and answers each chunk with those of the n-grams it asked for. The answers meet the chunk's token sequence,
-and every token is scored where all its counts are. A frequent n-gram is one number per chunk. No text is shuffled,
-and only weights, a few numbers per bucket of frequency, come to the driver.
-
-Words are known by 64-bit hashes, longer n-grams by 55 bits or more, the more the larger the corpus. Two of 10^7 words
-share a hash with a probability of 3 in a million; of 10^8 longer n-grams 0.14 pairs on average do, and count as one.
+Documents are read into chunks of a bounded number of tokens, stored as numbers. Each chunk's distinct n-grams are
+sent, packed, to the buckets of their hashes. A bucket adds up the counts and answers each chunk with those of the
+n-grams it asked for. The answers meet the chunk again, and every token is scored where all its counts are. A frequent
+n-gram is one number per chunk. No text is shuffled, and only weights, a few numbers per bucket of frequency, come to
+the driver.
+
+Words are known by 64-bit hashes, pairs and triples by 47 bits or more, a bit more with each doubling of the corpus.
+Two of 10^7 words share a hash with a probability of 3 in a million. Of 10^8 pairs and triples in a corpus of a
+gigabyte one in a million counts together with another; the words' counts are not concerned.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,23 +36,41 @@ FOLDS, LEFT_OUT = 7, 2
 HELD_OUT_OF = 16
 #: Tokens of a chunk.
 CHUNK = 2_000_000
+#: Tokens that are scored at once.
+AT_ONCE = 2**18
 #: Bytes of text per bucket of hashes on average, and powers of two of their number.
 PER_BUCKET = 8_000_000
 LEAST_BITS, MOST_BITS = 7, 22
 #: Rounds of expectation-maximisation, at most, and the change of a weight below which they end.
-ROUNDS = 50
-SETTLED = 1e-6
+ROUNDS = 30
+SETTLED = 1e-4
 
 _M = np.uint64(0x9E3779B97F4A7C15)
+#: Bytes that a bucket leaves of a pair's or triple's hash.
+_LEFT = 5
 #: What comes before the first word and after the last; no word has these hashes but by chance.
 BEGIN, END = np.uint64(0x5BF0A8B1457695F1), np.uint64(0x7F4A7C159E3779B9)
 #: Kinds of buckets of context frequency: bits of the count of the two words before, else of the one before, else none.
 CLASSES = 130
 MIXED = 4
 
-SENT = "bucket long, chunk long, held_out boolean, words binary, word_counts binary, grams binary, gram_counts binary"
-SENT_COLUMNS = [c.split()[0] for c in SENT.split(", ")]
-#: Rows of documents: their columns, packed, take the place of the counts.
+ORDERS = ["words", "pairs", "triples"]
+#: A chunk: its distinct words, where its tokens' words are among them, and its documents.
+CHUNKS = "chunk long, held_out boolean, words binary, places binary, docs binary"
+_CHUNKS = pa.schema(
+    [("chunk", pa.int64()), ("held_out", pa.bool_()), ("words", pa.binary()), ("places", pa.binary()), ("docs", pa.binary())]
+)
+ASKED = "bucket long, chunk long, held_out boolean, " + ", ".join(f"{o} binary, {o}_n binary" for o in ORDERS)
+_ASKED = pa.schema(
+    [("bucket", pa.int64()), ("chunk", pa.int64()), ("held_out", pa.bool_())]
+    + [(c, pa.binary()) for o in ORDERS for c in (o, f"{o}_n")]
+)
+TOTALS = ["distinct", "n", "deleted", "opened", "opened_deleted"]
+ANSWERED = "chunk long, bucket long, held_out boolean, words binary, pairs binary, triples binary, " + ", ".join(f"{t} long" for t in TOTALS)
+_ANSWERED = pa.schema(
+    [("chunk", pa.int64()), ("bucket", pa.int64()), ("held_out", pa.bool_()), *[(o, pa.binary()) for o in ORDERS]]
+    + [(t, pa.int64()) for t in TOTALS]
+)
 SCORED = "row long, doc_id long, left_out boolean, n_tokens long, n_known long, base_score double, score double"
 EVENTS = "events binary"
 
@@ -62,71 +82,105 @@ def _combined(first: np.ndarray, second: np.ndarray, seed: int) -> np.ndarray:
     return _mixed((first * _M) ^ (second + np.uint64(seed)))
 
 
-def _shortened(hashes: np.ndarray, bits: int) -> np.ndarray:
-    """So that what is left of a hash in its bucket fits six bytes."""
-    return hashes >> np.uint64(max(0, 16 - bits))
+def _width(bits: int, order: int) -> int:
+    """Bits of a hash that are kept: of n-grams longer than a word, as many as bucket and ``_LEFT`` bytes hold."""
+    return 64 if order == 0 else min(64, bits + 8 * _LEFT)
 
 
-def _bucket_of(hashes: np.ndarray, bits: int, short: bool) -> np.ndarray:
-    width = 64 - max(0, 16 - bits) if short else 64
-    return (hashes >> np.uint64(width - bits)).astype(np.int64)
+def _bucket_of(hashes: np.ndarray, bits: int, order: int) -> np.ndarray:
+    return (hashes >> np.uint64(_width(bits, order) - bits)).astype(np.int64)
 
 
 class Grams:
-    """n-grams of a chunk's pieces: each piece begins with the two tokens before it."""
+    """n-grams of a chunk's pieces; each piece begins with the two tokens before it.
 
-    def __init__(self, tokens: np.ndarray, lengths: np.ndarray, bits: int):
-        starts = np.cumsum(lengths) - lengths
-        own = np.ones(len(tokens), dtype=bool)
-        own[starts] = own[starts + 1] = False
-        at = np.flatnonzero(own)
-        u, v, w = tokens[at - 2], tokens[at - 1], tokens[at]
-        self.word, self.before = w, v
-        self.opens, self.opens_both = v == BEGIN, (u == BEGIN) & (v == BEGIN)
-        two = _combined(v, w, 2)
-        self.two, self.context, self.three = (
-            _shortened(x, bits) for x in (two, _combined(u, v, 2), _combined(two, u, 3))
-        )
-        # The contexts of a piece's first two tokens may belong to another chunk.
-        first = starts - 2 * np.arange(len(starts))
-        self.outside = np.union1d(first, np.minimum(first + 1, first + lengths - 3))
+    ``known`` are the distinct hashes of words, pairs and triples, ascending; ``place`` has where those of each
+    token are. A pair or triple ends at its token. The pair of a piece's first two tokens is the context of the third.
+    """
 
-    def asked(self) -> tuple[np.ndarray, np.ndarray]:
-        """Words and longer n-grams whose counts are needed; those of contexts outside come last."""
-        words = np.concatenate([self.word, self.before[self.outside]])
-        return words, np.concatenate([self.two, self.three, self.context[self.outside]])
+    def __init__(self, words: np.ndarray, place: np.ndarray, lengths: np.ndarray, bits: int):
+        tokens = words[place]
+        starts = np.cumsum(lengths) - lengths
+        counts = np.ones(len(tokens), dtype=bool)
+        counts[starts] = counts[starts + 1] = False
+        #: Tokens that are the chunk's own.
+        self.at = np.flatnonzero(counts)
+        pairs = _combined(tokens[:-1], tokens[1:], 2)
+        triples = _combined(pairs[self.at - 1], tokens[self.at - 2], 3)
+        self.opens = tokens[self.at - 1] == BEGIN
+        self.opens_both = self.opens & (tokens[self.at - 2] == BEGIN)
+        del tokens
+        self.known, self.place = [words], [place]
+        for order, hashes in enumerate((pairs, triples), 1):
+            known, place = _distinct(hashes >> np.uint64(64 - _width(bits, order)))
+            self.known.append(known)
+            self.place.append(place)
+
+    def own_places(self) -> list[np.ndarray]:
+        """Where word, pair and triple of each own token are."""
+        return [self.place[0][self.at], self.place[1][self.at - 1], self.place[2]]
+
+    def context_places(self) -> tuple[np.ndarray, np.ndarray]:
+        """Where the word and the pair before each own token are."""
+        return self.place[0][self.at - 1], self.place[1][self.at - 2]
+
+
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values, ascending, and the place of each value among them."""
+    order = np.argsort(values, kind="stable")
+    ordered = values[order]
+    new = np.ones(len(values), dtype=bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    place = np.empty(len(values), dtype=np.uint32)
+    place[order] = np.cumsum(new) - 1
+    return ordered[new], place
 
 
 def _bytes(counts: np.ndarray) -> bytes:
-    """Counts, a byte each; those of 255 or more follow in full."""
+    """Counts, a byte each; those of 255 or more follow in full. Compressed, as most are small."""
     large = counts >= 255
-    return np.where(large, 255, counts).astype(np.uint8).tobytes() + counts[large].astype("<i8").tobytes()
+    return zlib.compress(np.where(large, 255, counts).astype(np.uint8).tobytes() + counts[large].astype("<i8").tobytes(), 1)
 
 
 def _counts(packed: bytes, n: int) -> np.ndarray:
+    packed = zlib.decompress(packed)
     counts = np.frombuffer(packed, np.uint8, n).astype(np.int64)
     large = counts == 255
     counts[large] = np.frombuffer(packed, "<i8", offset=n)
     return counts
 
 
-def _six_bytes(values: np.ndarray) -> bytes:
-    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+def _planes(values: np.ndarray, plain: int) -> bytes:
+    """Numbers byte by byte: the lower ``plain`` bytes of all as they are, the others compressed."""
+    width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    columns = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T)
+    plain = min(plain, width)
+    head = np.array([len(values), width, plain], "<u4").tobytes()
+    return head + columns[:plain].tobytes() + zlib.compress(columns[plain:].tobytes(), 1)
 
 
-def _from_six(packed: bytes) -> np.ndarray:
-    n = len(packed) // 6
-    whole = np.zeros((n, 8), np.uint8)
-    whole[:, :6] = np.frombuffer(packed, np.uint8).reshape(n, 6)
-    return whole.reshape(-1).view("<u8")
+def _from_planes(packed: bytes) -> np.ndarray:
+    n, width, plain = np.frombuffer(packed, "<u4", 3).tolist()
+    at = 12 + n * plain
+    columns = np.zeros((8, n), np.uint8)
+    columns[:plain] = np.frombuffer(packed, np.uint8, n * plain, 12).reshape(plain, n)
+    columns[plain:width] = np.frombuffer(zlib.decompress(packed[at:]), np.uint8).reshape(width - plain, n)
+    return np.ascontiguousarray(columns.T).reshape(-1).view("<u8")
 
 
-def _distinct_counts(hashes: np.ndarray, counted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct hashes, ascending, and how often each is met where it counts."""
-    order = np.argsort(hashes, kind="stable")
-    ordered = hashes[order]
-    starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-    return ordered[starts], np.add.reduceat(counted[order].astype(np.int64), starts)
+def _ascending(values: np.ndarray) -> bytes:
+    """The first value and the steps, of which all but the highest byte are noise."""
+    if not len(values):
+        return b""
+    steps = np.diff(values, prepend=np.uint64(0))
+    width = max(1, (int(steps[1:].max(initial=0)).bit_length() + 7) // 8)
+    return steps[:1].astype("<u8").tobytes() + _planes(steps[1:], width - 1)
+
+
+def _from_ascending(packed: bytes) -> np.ndarray:
+    if not packed:
+        return np.empty(0, "<u8")
+    return np.cumsum(np.r_[np.frombuffer(packed, "<u8", 1), _from_planes(packed[8:])], dtype=np.uint64)
 
 
 def _pack(arrays: list[np.ndarray]) -> bytes:
@@ -144,16 +198,16 @@ def _unpack(packed: bytes, dtypes: list[str]) -> list[np.ndarray]:
     return found
 
 
-SEQUENCE = ["<u8", "<u4", "<i8", "<i8", "<i8", "|u1"]
+ROWS = ["<i8", "<i8", "<i8", "|u1"]
 
 
 class Chunk:
     """Documents, or parts of very long ones, whose n-grams are sent together."""
 
-    def __init__(self, number: int, held_out: bool, bits: int):
-        self.number, self.held_out, self.bits = number, held_out, bits
+    def __init__(self, number: int, held_out: bool):
+        self.number, self.held_out = number, held_out
         self.pieces: list[np.ndarray] = []
-        self.rows: list[tuple[int, int, int]] = []
+        self.rows: list[tuple[int, int | None, int]] = []
         self.size = 0
 
     def add(self, row: int, doc_id: int | None, kind: int, tokens: np.ndarray) -> None:
@@ -161,39 +215,50 @@ class Chunk:
         self.rows.append((row, doc_id, kind))
         self.size += len(tokens) - 2
 
-    def rows_sent(self) -> pa.RecordBatch:
-        sequence, lengths = np.concatenate(self.pieces), np.array([len(p) for p in self.pieces])
-        grams = Grams(sequence, lengths, self.bits)
-        learned = np.repeat(np.array([kind != 1 for _, _, kind in self.rows]), lengths - 2)
-        outside = np.zeros(len(grams.outside), dtype=bool)
-        words, several = grams.asked()
-        words, word_counts = _distinct_counts(words, np.r_[learned, outside])
-        several, several_counts = _distinct_counts(several, np.r_[learned, learned, outside])
+    def written(self) -> pa.RecordBatch:
+        """Words by falling frequency, so that most places are small numbers."""
+        words, place = _distinct(np.concatenate(self.pieces))
+        order = np.argsort(-np.bincount(place), kind="stable")
+        rank = np.empty(len(words), np.uint32)
+        rank[order] = np.arange(len(words))
+        lengths = [len(p) for p in self.pieces]
+        rows = [np.array(x, "<i8") for x in ([r[0] for r in self.rows], [r[1] or 0 for r in self.rows], lengths)]
+        flags = np.array([kind | (4 if doc_id is None else 0) for _, doc_id, kind in self.rows], np.uint8)
+        values = (self.number, self.held_out, words[order].astype("<u8").tobytes(), _planes(rank[place], 0), _pack([*rows, flags]))
+        return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, _CHUNKS)], schema=_CHUNKS)
+
+
+class Read:
+    """A stored chunk."""
+
+    def __init__(self, words: bytes, places: bytes, docs: bytes, bits: int):
+        hashes = np.frombuffer(words, "<u8")
+        order = np.argsort(hashes)
+        at = np.empty(len(order), np.uint32)
+        at[order] = np.arange(len(order))
+        self.rows, self.ids, lengths, self.kinds = _unpack(docs, ROWS)
+        self.lengths = lengths - 2
+        self.bits = bits
+        self.grams = Grams(hashes[order], at[_from_planes(places).astype(np.int64)], lengths, bits)
+
+    def asked(self, chunk: int, held_out: bool) -> pa.RecordBatch:
+        """The distinct n-grams and how often each is learned from, a row per bucket."""
+        learned = np.repeat(self.kinds & 3 != 1, self.lengths)
         buckets = 1 << self.bits
-        cuts = [
-            np.searchsorted(_bucket_of(hashes, self.bits, short), np.arange(buckets + 1))
-            for hashes, short in ((words, False), (several, True))
-        ]
-        columns: list[list] = [[] for _ in SENT_COLUMNS]
-        for b in np.flatnonzero((np.diff(cuts[0]) > 0) | (np.diff(cuts[1]) > 0)).tolist():
-            w, g = (slice(int(c[b]), int(c[b + 1])) for c in cuts)
-            values = (
-                b, self.number, self.held_out, words[w].astype("<u8").tobytes(), _bytes(word_counts[w]),
-                _six_bytes(several[g]), _bytes(several_counts[g]),
-            )
-            for column, value in zip(columns, values):
+        low = [np.uint64((1 << _width(self.bits, k) - self.bits) - 1) for k in range(len(ORDERS))]
+        counts, cuts = [], []
+        for order, (known, place) in enumerate(zip(self.grams.known, self.grams.own_places())):
+            counts.append(np.bincount(place[learned], minlength=len(known)))
+            cuts.append(np.searchsorted(_bucket_of(known, self.bits, order), np.arange(buckets + 1)))
+        columns: list[list] = [[] for _ in _ASKED]
+        for b in np.flatnonzero(sum(np.diff(c) for c in cuts)).tolist():
+            row = [b, chunk, held_out]
+            for known, n, cut, mask in zip(self.grams.known, counts, cuts, low):
+                part = slice(int(cut[b]), int(cut[b + 1]))
+                row += [_ascending(known[part] & mask), _bytes(n[part])]
+            for column, value in zip(columns, row):
                 column.append(value)
-        known, place = np.unique(sequence, return_inverse=True)
-        rows = [[r[0] for r in self.rows], [r[1] or 0 for r in self.rows], lengths]
-        kinds = np.array([kind | (4 if doc_id is None else 0) for _, doc_id, kind in self.rows], np.uint8)
-        packed = _pack([known.astype("<u8"), place.astype("<u4"), *[np.array(x, "<i8") for x in rows], kinds])
-        own = (-1 - self.number, self.number, self.held_out, packed, None, None, None)
-        for column, value in zip(columns, own):
-            column.append(value)
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _SENT_TYPES)], SENT_COLUMNS)
-
-
-_SENT_TYPES = [pa.int64(), pa.int64(), pa.bool_(), *[pa.binary()] * 4]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ASKED)], schema=_ASKED)
 
 
 def _tokens(text: str) -> Iterator[np.ndarray]:
@@ -210,80 +275,81 @@ def _tokens(text: str) -> Iterator[np.ndarray]:
     yield np.concatenate([before, *held, np.array([END])])
 
 
-def _send(bits: int):
-    """Rows are numbered by task, so that a task that runs again sends the same."""
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get().partitionId() << 32
-        made, row = 0, task
-        open_chunks: dict[bool, Chunk] = {}
+def _written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows and chunks are numbered by task."""
+    task = TaskContext.get().partitionId() << 32
+    made, row = 0, task
+    open_chunks: dict[bool, Chunk] = {}
+    for batch in batches:
+        ids, kinds = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+        for doc_id, kind, text in zip(ids, kinds, batch.column(1)):
+            row += 1
+            for piece in _tokens(text.as_py()):
+                held_out = kind == 2
+                if held_out not in open_chunks:
+                    open_chunks[held_out] = Chunk(task + made, held_out)
+                    made += 1
+                chunk = open_chunks[held_out]
+                chunk.add(row, doc_id, kind, piece)
+                if chunk.size >= CHUNK:
+                    yield open_chunks.pop(held_out).written()
+    for chunk in open_chunks.values():
+        yield chunk.written()
+
+
+def _ask(bits: int):
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, kinds = batch.column(0).to_pylist(), batch.column(2).to_pylist()
-            for doc_id, kind, text in zip(ids, kinds, batch.column(1)):
-                row += 1
-                for piece in _tokens(text.as_py()):
-                    held_out = kind == 2
-                    if held_out not in open_chunks:
-                        open_chunks[held_out] = Chunk(task + made, held_out, bits)
-                        made += 1
-                    chunk = open_chunks[held_out]
-                    chunk.add(row, doc_id, kind, piece)
-                    if chunk.size >= CHUNK:
-                        yield open_chunks.pop(held_out).rows_sent()
-        for chunk in open_chunks.values():
-            yield chunk.rows_sent()
-
-    return send
+            for number, held_out, words, places, docs in zip(*batch.columns):
+                yield Read(words.as_py(), places.as_py(), docs.as_py(), bits).asked(number.as_py(), held_out.as_py())
+
+    return ask
 
 
 # --- counts
 
 
 def _total(parts: list[np.ndarray], counts: list[np.ndarray], held_out: list[bool]):
-    """Per part, the sums over all parts and over the held-out ones."""
-    every = np.concatenate(parts)
+    """Per part, the sums over all parts and over the held-out ones; and all distinct hashes with both."""
+    every, n = np.concatenate(parts), np.concatenate(counts)
     if not len(every):
-        return [(p, p) for p in counts], every, np.empty(0, np.int64), np.empty(0, np.int64)
-    found, place = np.unique(every, return_inverse=True)
-    n = np.concatenate(counts)
-    of_held_out = np.repeat(np.array(held_out), [len(p) for p in parts])
-    sums = np.zeros(len(found), np.int64)
-    deleted = np.zeros(len(found), np.int64)
-    np.add.at(sums, place, n)
-    np.add.at(deleted, place[of_held_out], n[of_held_out])
-    ends = np.cumsum([len(p) for p in parts])
-    answers = [(sums[place[e - len(p) : e]], deleted[place[e - len(p) : e]]) for p, e in zip(parts, ends.tolist())]
-    return answers, found, sums, deleted
-
-
-ANSWERED = "chunk long, bucket long, held_out boolean, words binary, grams binary, distinct long, n long, deleted long, opened long, opened_deleted long"
-_ANSWERED = [c.split()[0] for c in ANSWERED.split(", ")]
-_ANSWERED_TYPES = [pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.binary(), *[pa.int64()] * 5]
-
-
-def _answer(table: pa.Table) -> pa.Table:
-    """Counts for each chunk that has asked, in the order it asked in; and the bucket's totals."""
-    rows = table.to_pylist()
-    if rows[0]["bucket"] < 0:
-        values = [[r["chunk"], r["bucket"], r["held_out"], r["words"], *[None] * 6] for r in rows]
-    else:
-        held_out = [r["held_out"] for r in rows]
-        answers = []
-        words = [np.frombuffer(r["words"], "<u8") for r in rows]
-        word_counts = [_counts(r["word_counts"], len(w)) for r, w in zip(rows, words)]
-        by_words, found, sums, deleted = _total(words, word_counts, held_out)
-        grams = [_from_six(r["grams"]) for r in rows]
-        by_grams, *_ = _total(grams, [_counts(r["gram_counts"], len(g)) for r, g in zip(rows, grams)], held_out)
-        for one, two, held in zip(by_words, by_grams, held_out):
-            # A held-out chunk also needs what is deleted when the weights are learned.
-            answers.append([_bytes(x[0]) if not held else _pack([x[0].astype("<i8"), x[1].astype("<i8")]) for x in (one, two)])
-        end = found == END
-        totals = [int((sums > 0).sum()), int(sums.sum()), int(deleted.sum()), int(sums[end].sum()), int(deleted[end].sum())]
-        values = [
-            [r["chunk"], r["bucket"], r["held_out"], *a, *(totals if k == 0 else [None] * 5)]
-            for k, (r, a) in enumerate(zip(rows, answers))
-        ]
-    return pa.table([pa.array(c, t) for c, t in zip(zip(*values), _ANSWERED_TYPES)], names=_ANSWERED)
+        return [(n, n)] * len(parts), every, n, n
+    deleted = np.where(np.repeat(np.array(held_out), [len(p) for p in parts]), n, 0)
+    # Each part ascends, and a stable sort merges what is in order already.
+    order = np.argsort(every, kind="stable")
+    ordered = every[order]
+    starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+    lengths = np.diff(np.r_[starts, len(every)])
+    sums, by_part = [], []
+    for values in (n, deleted):
+        sums.append(np.add.reduceat(values[order], starts))
+        spread = np.empty(len(every), np.int64)
+        spread[order] = np.repeat(sums[-1], lengths)
+        by_part.append(np.split(spread, np.cumsum([len(p) for p in parts])[:-1]))
+    return list(zip(*by_part)), ordered[starts], *sums
+
+
+def _answer(bits: int):
+    def answer(table: pa.Table) -> pa.Table:
+        """Counts for each chunk that has asked, in the order it asked in; and the bucket's totals."""
+        held_out = table["held_out"].to_pylist()
+        bucket = table["bucket"][0].as_py()
+        answers: list[list] = [[] for _ in held_out]
+        for order, name in enumerate(ORDERS):
+            hashes = [_from_ascending(x.as_py()) for x in table[name]]
+            counts = [_counts(x.as_py(), len(h)) for x, h in zip(table[f"{name}_n"], hashes)]
+            by_part, found, sums, deleted = _total(hashes, counts, held_out)
+            for row, (every, less), held in zip(answers, by_part, held_out):
+                # A held-out chunk also needs what is deleted when the weights are learned.
+                row.append(_bytes(np.concatenate([every, less]) if held else every))
+            if order == 0:
+                end = found == END & np.uint64((1 << 64 - bits) - 1) if bucket == int(END) >> 64 - bits else found < 0
+                numbers = [(sums > 0).sum(), sums.sum(), deleted.sum(), sums[end].sum(), deleted[end].sum()]
+        totals = [[int(x)] + [None] * (len(held_out) - 1) for x in numbers]
+        columns = [table["chunk"], table["bucket"], held_out, *zip(*answers), *totals]
+        return pa.table([pa.array(c, f.type) if not isinstance(c, pa.ChunkedArray) else c for c, f in zip(columns, _ANSWERED)], schema=_ANSWERED)
+
+    return answer
 
 
 class Totals:
@@ -293,40 +359,34 @@ class Totals:
         self.tokens, self.distinct, self.documents = tokens, distinct, documents
 
 
-class Counted:
-    """The counts of all tokens of a chunk."""
-
-    def __init__(self, table: pa.Table, bits: int):
-        rows = sorted(table.to_pylist(), key=lambda r: r["bucket"])
-        own, answers = rows[0], rows[1:]
-        known, place, self.rows, self.ids, lengths, self.kinds = _unpack(own["words"], SEQUENCE)
-        self.lengths = lengths - 2
-        self.grams = Grams(known[place], lengths, bits)
-        words, several = (np.unique(hashes) for hashes in self.grams.asked())
-        buckets = np.array([r["bucket"] for r in answers])
-        asked = [
-            np.diff(np.r_[np.searchsorted(at, buckets), len(hashes)])
-            for hashes, short in ((words, False), (several, True))
-            for at in [_bucket_of(hashes, bits, short)]
-        ]
-        self.known = words, several
-        self.held_out = own["held_out"]
-        counts = [[], []]
-        for k, name in enumerate(("words", "grams")):
-            for r, n in zip(answers, asked[k].tolist()):
-                counts[k].append(_unpack(r[name], ["<i8", "<i8"]) if self.held_out else [_counts(r[name], n)])
-        self.counts = [[np.concatenate(part) for part in zip(*c)] for c in counts]
-
-    def of(self, totals: Totals, deleted: bool = False):
-        """Counts of trigram, its context, bigram, its context and word, for every token."""
-        words, several = (c[0] - c[1] if deleted else c[0] for c in self.counts)
-        word_at, several_at = self.known
-        g = self.grams
-        c1, after = (words[np.searchsorted(word_at, x)] for x in (g.word, g.before))
-        c2, c3 = (several[np.searchsorted(several_at, x)] for x in (g.two, g.three))
-        after_two = several[np.searchsorted(several_at, g.context)]
+class Counted(Read):
+    """A chunk with the counts of all its n-grams: one row of chunks, and the answers to it."""
+
+    def __init__(self, own: pa.Table, answers: pa.Table, bits: int):
+        super().__init__(*[own[c][0].as_py() for c in ("words", "places", "docs")], bits)
+        buckets = answers["bucket"].to_numpy()
+        order = np.argsort(buckets)
+        held_out = own["held_out"][0].as_py()
+        #: A value for each known word, pair and triple; for a held-out chunk the part to be deleted too.
+        self.counts, self.deleted = [], []
+        for k, (name, known) in enumerate(zip(ORDERS, self.grams.known)):
+            cuts = np.searchsorted(_bucket_of(known, bits, k), buckets[order])
+            asked = np.diff(np.r_[cuts, len(known)]).tolist()
+            cells = [answers[name][int(row)].as_py() for row in order]
+            found = [_counts(cell, 2 * n if held_out else n) for cell, n in zip(cells, asked)]
+            self.counts.append(np.concatenate([f[:n] for f, n in zip(found, asked)]))
+            if held_out:
+                self.deleted.append(np.concatenate([f[n:] for f, n in zip(found, asked)]))
+
+    def of(self, totals: Totals, tokens: np.ndarray | slice, deleted: bool = False):
+        """Counts of triple, the pair before, pair, the word before and word, for the given own tokens."""
+        words, pairs, triples = [c - d for c, d in zip(self.counts, self.deleted)] if deleted else self.counts
+        word, pair, triple = (place[tokens] for place in self.grams.own_places())
+        before, before_both = (place[tokens] for place in self.grams.context_places())
         # Nothing but a document's begin comes before it, so its count is that of the documents.
-        return c3, np.where(g.opens_both, totals.documents, after_two), c2, np.where(g.opens, totals.documents, after), c1
+        after = np.where(self.grams.opens[tokens], totals.documents, words[before])
+        after_both = np.where(self.grams.opens_both[tokens], totals.documents, pairs[before_both])
+        return triples[triple], after_both, pairs[pair], after, words[word]
 
 
 def frequency_class(after_two: np.ndarray, after: np.ndarray) -> np.ndarray:
@@ -367,13 +427,16 @@ def first_weights(totals: Totals) -> np.ndarray:
 def _events(bits: int, totals: Totals):
     """Held-out tokens of a chunk as (class, estimates, how many), with the held-out part deleted from the counts."""
 
-    def make(table: pa.Table) -> pa.Table:
-        chunk = Counted(table, bits)
-        counts = chunk.of(totals, deleted=True)
-        _, first, times = np.unique(chunk.grams.three, return_index=True, return_counts=True)
-        classes = frequency_class(counts[1], counts[3])[first]
-        found = estimates(counts, totals)[first]
-        packed = _pack([classes.astype("<i8"), found.ravel().astype("<f8"), times.astype("<i8")])
+    def make(own: pa.Table, answers: pa.Table) -> pa.Table:
+        chunk = Counted(own, answers, bits)
+        # Tokens with the same triple have the same counts.
+        triple = chunk.grams.place[2]
+        times = np.bincount(triple)
+        first = np.empty(len(times), np.int64)
+        first[triple] = np.arange(len(triple))
+        counts = chunk.of(totals, first, deleted=True)
+        classes = frequency_class(counts[1], counts[3])
+        packed = _pack([classes.astype("<i8"), estimates(counts, totals).ravel().astype("<f8"), times.astype("<i8")])
         return pa.table({"events": pa.array([packed], pa.binary())})
 
     return make
@@ -418,12 +481,17 @@ def learned_weights(events: DataFrame, totals: Totals) -> np.ndarray:
 
 
 def _scored(bits: int, totals: Totals, weights: np.ndarray):
-    def make(table: pa.Table) -> pa.Table:
-        chunk = Counted(table, bits)
-        counts = chunk.of(totals)
-        probability = (estimates(counts, totals) * weights[frequency_class(counts[1], counts[3])]).sum(axis=1)
-        c1 = counts[4]
-        base = np.log10(c1 + 1) - math.log10(totals.tokens + totals.distinct + 1)
+    def make(own: pa.Table, answers: pa.Table) -> pa.Table:
+        chunk = Counted(own, answers, bits)
+        n = int(chunk.lengths.sum())
+        score, base, known = np.empty(n), np.empty(n), np.empty(n, np.int64)
+        for at in range(0, n, AT_ONCE):
+            part = slice(at, at + AT_ONCE)
+            counts = chunk.of(totals, part)
+            score[part] = np.log10((estimates(counts, totals) * weights[frequency_class(counts[1], counts[3])]).sum(axis=1))
+            base[part] = np.log10(counts[4] + 1)
+            known[part] = counts[4] > 0
+        base -= math.log10(totals.tokens + totals.distinct + 1)
         starts = np.cumsum(chunk.lengths) - chunk.lengths
         none = (chunk.kinds & 4) > 0
         return pa.table(
@@ -432,9 +500,9 @@ def _scored(bits: int, totals: Totals, weights: np.ndarray):
                 "doc_id": pa.array(chunk.ids, pa.int64(), mask=none),
                 "left_out": pa.array((chunk.kinds & 3) == 1, pa.bool_()),
                 "n_tokens": pa.array(chunk.lengths, pa.int64()),
-                "n_known": pa.array(np.add.reduceat((c1 > 0).astype(np.int64), starts), pa.int64()),
+                "n_known": pa.array(np.add.reduceat(known, starts), pa.int64()),
                 "base_score": pa.array(np.add.reduceat(base, starts), pa.float64()),
-                "score": pa.array(np.add.reduceat(np.log10(probability), starts), pa.float64()),
+                "score": pa.array(np.add.reduceat(score, starts), pa.float64()),
             }
         )
 
@@ -446,8 +514,7 @@ def score(docs: DataFrame) -> DataFrame:
 
     A null or empty text is its end alone. A null id counts as an empty one in the folds; rows that repeat an id are
     documents of their own. If no document is learned from, no token is known, and all are equally likely. Columns
-    other than doc_id and text are ignored; an empty table gives an empty result. The table should give the same rows
-    in the same partitions when a task is run again, as files and stored tables do.
+    other than doc_id and text are ignored; an empty table gives an empty result.
     """
     spark = docs.sparkSession
     ship_code(spark)
@@ -459,17 +526,18 @@ def score(docs: DataFrame) -> DataFrame:
     n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(max(1, n_bytes / PER_BUCKET)))))
 
-    sent = texts.mapInArrow(_send(bits), SENT)
-    answered = store(sent.groupBy("bucket").applyInArrow(_answer, ANSWERED), "counts")
-    names = ["distinct", "n", "deleted", "opened", "opened_deleted"]
-    sums = answered.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names]).first()
+    chunks = store(texts.mapInArrow(_written, CHUNKS), "chunks")
+    answers = chunks.mapInArrow(_ask(bits), ASKED).groupBy("bucket").applyInArrow(_answer(bits), ANSWERED)
+    answers = store(answers, "counts")
+    sums = answers.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in TOTALS]).first()
     totals = Totals(sums["n"], sums["distinct"], sums["opened"])
     without = Totals(sums["n"] - sums["deleted"], sums["distinct"], sums["opened"] - sums["opened_deleted"])
 
-    answers = answered.select("chunk", "bucket", "held_out", "words", "grams")
-    events = store(answers.filter("held_out").groupBy("chunk").applyInArrow(_events(bits, without), EVENTS), "events")
-    weights = learned_weights(events, totals)
-    pieces = answers.groupBy("chunk").applyInArrow(_scored(bits, totals, weights), SCORED)
+    asked = answers.select("chunk", "bucket", *ORDERS)
+    tuning = chunks.filter("held_out").groupBy("chunk").cogroup(answers.filter("held_out").select(asked.columns).groupBy("chunk"))
+    events = store(tuning.applyInArrow(_events(bits, without), EVENTS), "events")
+    weights = learned_weights(events, totals=without)
+    pieces = chunks.groupBy("chunk").cogroup(asked.groupBy("chunk")).applyInArrow(_scored(bits, totals, weights), SCORED)
     added = [F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")]
     rows = pieces.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("left_out").alias("held_out"), *added)
     return rows.select(
