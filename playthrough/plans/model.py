@@ -1,4 +1,4 @@
-"""Training, evaluation and batch scoring of the completion model with MLlib.
+"""Training, evaluation and batch scoring of the completion model with MLlib and Newton's method.
 
 The input is a stored feature table: training passes over it several times.
 """
@@ -8,8 +8,9 @@ from __future__ import annotations
 import functools
 import uuid
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import (
     Imputer,
     ImputerModel,
@@ -19,6 +20,7 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Matrices, Vectors
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +28,8 @@ from pyspark.sql import types as T
 
 from playthrough.functions import metrics
 from playthrough.operators.ordering import chronological_split
-from playthrough.sources.checkpoint import materialize, shared_folder
+from playthrough.plans import newton
+from playthrough.sources.checkpoint import materialize, remove, shared_folder, stored
 
 NOT_FEATURES = ["event_id", "event_ts", "is_completion", "user_genre_preference"]
 PROBABILITY = "predicted_completion_probability"
@@ -79,32 +82,57 @@ def one_hot_totals(df: DataFrame, categorical: list[str]) -> DataFrame:
     return df.sparkSession.createDataFrame(data, "feature string, n_rows bigint")
 
 
-def build_pipeline(
-    numeric: list[str], categorical: list[str], n_rows: int, c: float = 1.0, max_iter: int = 100, tol: float = 1e-5
-) -> Pipeline:
-    """Impute means, one-hot all categories, logistic regression with an L2 penalty.
+def feature_stages(numeric: list[str], categorical: list[str]) -> list:
+    """Impute means, one-hot all categories, everything in one vector.
 
-    A category that is null or unknown gives zeros in all its columns. ``c`` is the weight of the
-    summed losses against the penalty; Spark averages losses, and balanced weights add up to the
-    number of rows. The intercept is not penalised. Features are not scaled before penalising. Every
-    iteration is a pass over the data.
+    A category that is null or unknown gives zeros in all its columns.
     """
     filled = [f"{name}__filled" for name in numeric]
     stages = [Imputer(strategy="mean", inputCols=numeric, outputCols=filled)] if numeric else []
     stages += one_hot_stages(categorical)
-    stages += [
-        VectorAssembler(inputCols=filled + [one_hot_column(name) for name in categorical], outputCol="features"),
-        LogisticRegression(
-            labelCol="label",
-            weightCol="class_weight",
-            regParam=1.0 / (c * n_rows),
-            elasticNetParam=0.0,
-            standardization=False,
-            maxIter=max_iter,
-            tol=tol,
-        ),
-    ]
-    return Pipeline(stages=stages)
+    assembled = filled + [one_hot_column(name) for name in categorical]
+    return [*stages, VectorAssembler(inputCols=assembled, outputCol="features")]
+
+
+def with_coefficients(spark: SparkSession, coefficients: np.ndarray, intercept: float) -> LogisticRegressionModel:
+    """A model of given coefficients: bounds from both sides leave no other. Two rows stand for the features."""
+    p = len(coefficients)
+    exactly = Matrices.dense(1, p, coefficients.tolist())
+    free = Vectors.dense([intercept])
+    corners = [(0.0, Vectors.dense([0.0] * p)), (1.0, Vectors.dense([1.0] * p))]
+    fixed = LogisticRegression(
+        labelCol="label",
+        family="binomial",
+        standardization=False,
+        maxIter=0,
+        lowerBoundsOnCoefficients=exactly,
+        upperBoundsOnCoefficients=exactly,
+        lowerBoundsOnIntercepts=free,
+        upperBoundsOnIntercepts=free,
+    )
+    return fixed.fit(spark.createDataFrame(corners, ["label", "features"]))
+
+
+def regression(rows: DataFrame, n_rows: int, c: float = 1.0, max_iter: int = 100, tol: float = 1e-9) -> LogisticRegressionModel:
+    """Logistic regression with an L2 penalty on rows with ``features``, ``label`` and ``class_weight``.
+
+    ``c`` is the weight of the summed losses against the penalty. The intercept is not penalised, features are not
+    scaled before penalising. Newton's method needs a few passes over the data; with so many features that the
+    matrix of their products is too large, MLlib's gradient method takes up to ``max_iter``. There losses are
+    averaged, and balanced weights add up to the number of rows.
+    """
+    design = stored(rows.select(vector_to_array("features").alias("x"), "label", F.col("class_weight").alias("weight")))
+    try:
+        if len(design.select("x").first()["x"]) <= newton.MOST_FEATURES:
+            found = newton.fit(design, c, max_iter, tol)
+            return with_coefficients(rows.sparkSession, found.coefficients, found.intercept)
+    finally:
+        remove(design)
+    by_gradient = LogisticRegression(
+        labelCol="label", weightCol="class_weight", regParam=1.0 / (c * n_rows), elasticNetParam=0.0, standardization=False,
+        maxIter=max_iter, tol=tol,
+    )
+    return by_gradient.fit(rows)
 
 
 def labelled(features: DataFrame) -> DataFrame:
@@ -120,8 +148,8 @@ def balanced(rows: DataFrame) -> tuple[DataFrame, int]:
     return rows.withColumn("class_weight", column), sum(r["n_rows"] for r in weights.values())
 
 
-def fit(train: DataFrame, impute_from: DataFrame | None = None, **regression: float) -> PipelineModel:
-    """Fit on labelled rows; ``regression`` are ``c``, ``max_iter`` and ``tol`` of ``build_pipeline``.
+def fit(train: DataFrame, impute_from: DataFrame | None = None, **options: float) -> PipelineModel:
+    """Fit on labelled rows; ``options`` are ``c``, ``max_iter`` and ``tol`` of ``regression``.
 
     Means are fitted on the training rows. ``impute_from`` fits them on other rows instead, for
     instance on training and test rows together.
@@ -130,11 +158,12 @@ def fit(train: DataFrame, impute_from: DataFrame | None = None, **regression: fl
     usable = set(without_empty(train, numeric + categorical))
     numeric, categorical = ([c for c in cols if c in usable] for cols in (numeric, categorical))
     rows, n = balanced(typed(train, numeric))
-    pipeline = build_pipeline(numeric, categorical, n, **regression)
+    stages = feature_stages(numeric, categorical)
     if impute_from is not None and numeric:
-        imputer, *rest = pipeline.getStages()
-        pipeline = Pipeline(stages=[imputer.fit(typed(impute_from, numeric)), *rest])
-    return stored_copy(pipeline.fit(rows), train.sparkSession)
+        stages = [stages[0].fit(typed(impute_from, numeric)), *stages[1:]]
+    prepared = Pipeline(stages=stages).fit(rows)
+    fitted = regression(prepared.transform(rows), n, **options)
+    return stored_copy(PipelineModel([*prepared.stages, fitted]), train.sparkSession)
 
 
 def stored_copy(model: PipelineModel, spark: SparkSession) -> PipelineModel:

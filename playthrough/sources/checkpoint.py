@@ -41,3 +41,11 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(df: DataFrame) -> None:
+    """Delete the files of a stored table that nothing reads any more."""
+    context = df.sparkSession.sparkContext
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
