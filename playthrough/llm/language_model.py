@@ -35,15 +35,15 @@ FOLDS, LEFT_OUT = 7, 2
 #: Of the training documents, one of so many is held out to learn the weights.
 HELD_OUT_OF = 16
 #: Tokens of a chunk.
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 #: Tokens that are scored at once.
 AT_ONCE = 2**18
 #: Bytes of text per bucket of hashes on average, and powers of two of their number.
 PER_BUCKET = 8_000_000
 LEAST_BITS, MOST_BITS = 7, 22
 #: Rounds of expectation-maximisation, at most, and the change of a weight below which they end.
-ROUNDS = 30
-SETTLED = 1e-4
+ROUNDS = 20
+SETTLED = 1e-3
 
 _M = np.uint64(0x9E3779B97F4A7C15)
 #: Bytes that a bucket leaves of a pair's or triple's hash.
@@ -120,10 +120,6 @@ class Grams:
         """Where word, pair and triple of each own token are."""
         return [self.place[0][self.at], self.place[1][self.at - 1], self.place[2]]
 
-    def context_places(self) -> tuple[np.ndarray, np.ndarray]:
-        """Where the word and the pair before each own token are."""
-        return self.place[0][self.at - 1], self.place[1][self.at - 2]
-
 
 def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct values, ascending, and the place of each value among them."""
@@ -381,12 +377,11 @@ class Counted(Read):
     def of(self, totals: Totals, tokens: np.ndarray | slice, deleted: bool = False):
         """Counts of triple, the pair before, pair, the word before and word, for the given own tokens."""
         words, pairs, triples = [c - d for c, d in zip(self.counts, self.deleted)] if deleted else self.counts
-        word, pair, triple = (place[tokens] for place in self.grams.own_places())
-        before, before_both = (place[tokens] for place in self.grams.context_places())
+        (word, pair, triple), at = self.grams.place, self.grams.at[tokens]
         # Nothing but a document's begin comes before it, so its count is that of the documents.
-        after = np.where(self.grams.opens[tokens], totals.documents, words[before])
-        after_both = np.where(self.grams.opens_both[tokens], totals.documents, pairs[before_both])
-        return triples[triple], after_both, pairs[pair], after, words[word]
+        after = np.where(self.grams.opens[tokens], totals.documents, words[word[at - 1]])
+        after_both = np.where(self.grams.opens_both[tokens], totals.documents, pairs[pair[at - 2]])
+        return triples[triple[tokens]], after_both, pairs[pair[at - 1]], after, words[word[at]]
 
 
 def frequency_class(after_two: np.ndarray, after: np.ndarray) -> np.ndarray:
