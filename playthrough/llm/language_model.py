@@ -35,11 +35,13 @@ FOLDS, LEFT_OUT = 7, 2
 #: Of the training documents, one of so many is held out to learn the weights.
 HELD_OUT_OF = 16
 #: Tokens of a chunk.
-CHUNK = 1_000_000
+CHUNK = 1_500_000
+#: Events of the held-out part in a row.
+EVENTS_PER_ROW = 2**16
 #: Tokens that are scored at once.
 AT_ONCE = 2**18
 #: Bytes of text per bucket of hashes on average, and powers of two of their number.
-PER_BUCKET = 8_000_000
+PER_BUCKET = 4_000_000
 LEAST_BITS, MOST_BITS = 7, 22
 #: Rounds of expectation-maximisation, at most, and the change of a weight below which they end.
 ROUNDS = 20
@@ -420,7 +422,10 @@ def first_weights(totals: Totals) -> np.ndarray:
 
 
 def _events(bits: int, totals: Totals):
-    """Held-out tokens of a chunk as (class, estimates, how many), with the held-out part deleted from the counts."""
+    """Held-out tokens of a chunk as (class, estimates, how many), with the held-out part deleted from the counts.
+
+    The uniform share is the same for all and left out. Seven digits of an estimate are enough for a weight.
+    """
 
     def make(own: pa.Table, answers: pa.Table) -> pa.Table:
         chunk = Counted(own, answers, bits)
@@ -431,23 +436,28 @@ def _events(bits: int, totals: Totals):
         first[triple] = np.arange(len(triple))
         counts = chunk.of(totals, first, deleted=True)
         classes = frequency_class(counts[1], counts[3])
-        packed = _pack([classes.astype("<i8"), estimates(counts, totals).ravel().astype("<f8"), times.astype("<i8")])
-        return pa.table({"events": pa.array([packed], pa.binary())})
+        found = estimates(counts, totals)[:, : MIXED - 1]
+        rows = [slice(at, at + EVENTS_PER_ROW) for at in range(0, len(times), EVENTS_PER_ROW)]
+        packed = [_pack([classes[r].astype("|u1"), found[r].ravel().astype("<f4"), times[r].astype("<u4")]) for r in rows]
+        return pa.table({"events": pa.array(packed, pa.binary())})
 
     return make
 
 
-def _expected(weights: np.ndarray):
+def _expected(weights: np.ndarray, uniform: float):
     """Expected uses of each estimate per class, added up per task."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uses = np.zeros((CLASSES, MIXED))
         for batch in batches:
             for packed in batch.column(0):
-                classes, found, times = _unpack(packed.as_py(), ["<i8", "<f8", "<i8"])
-                mixed = found.reshape(-1, MIXED) * weights[classes]
+                classes, found, times = _unpack(packed.as_py(), ["|u1", "<f4", "<u4"])
+                mixed = np.full((len(classes), MIXED), uniform)
+                mixed[:, : MIXED - 1] = found.reshape(-1, MIXED - 1)
+                mixed *= weights[classes]
                 mixed *= (times / mixed.sum(axis=1))[:, None]
-                np.add.at(uses, classes, mixed)
+                for k in range(MIXED):
+                    uses[:, k] += np.bincount(classes, mixed[:, k], CLASSES)
         met = np.flatnonzero(uses.sum(axis=1))
         yield pa.RecordBatch.from_arrays(
             [pa.array(met, pa.int64()), *[pa.array(uses[met, k], pa.float64()) for k in range(MIXED)]],
@@ -459,12 +469,12 @@ def _expected(weights: np.ndarray):
 
 def learned_weights(events: DataFrame, totals: Totals) -> np.ndarray:
     """Expectation-maximisation; each estimate counts once more than it is used, so that no weight is zero."""
-    weights = first_weights(totals)
+    weights, uniform = first_weights(totals), 1.0 / (totals.distinct + 1)
     exists = weights > 0
     columns = [f"u{k}" for k in range(MIXED)]
     schema = "class long, " + ", ".join(f"{c} double" for c in columns)
     for _ in range(ROUNDS):
-        sums = events.mapInArrow(_expected(weights), schema).groupBy("class").agg(*[F.sum(c).alias(c) for c in columns])
+        sums = events.mapInArrow(_expected(weights, uniform), schema).groupBy("class").agg(*[F.sum(c).alias(c) for c in columns])
         uses = np.zeros((CLASSES, MIXED))
         for r in sums.collect():  # a row per class
             uses[r["class"]] = [r[c] for c in columns]
