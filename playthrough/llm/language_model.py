@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from playthrough.llm.common import ship_code, store, text_or_empty
 from playthrough.llm.ngram_join import _mixed, _parts, _word_hashes
+from playthrough.llm.packed import ascending, counts_of, from_ascending, from_planes, packed_counts, planes
 
 #: Documents whose hash leaves this remainder are not learned from.
 FOLDS, LEFT_OUT = 7, 2
@@ -134,53 +135,6 @@ def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ordered[new], place
 
 
-def _bytes(counts: np.ndarray) -> bytes:
-    """Counts, a byte each; those of 255 or more follow in full. Compressed, as most are small."""
-    large = counts >= 255
-    return zlib.compress(np.where(large, 255, counts).astype(np.uint8).tobytes() + counts[large].astype("<i8").tobytes(), 1)
-
-
-def _counts(packed: bytes, n: int) -> np.ndarray:
-    packed = zlib.decompress(packed)
-    counts = np.frombuffer(packed, np.uint8, n).astype(np.int64)
-    large = counts == 255
-    counts[large] = np.frombuffer(packed, "<i8", offset=n)
-    return counts
-
-
-def _planes(values: np.ndarray, plain: int) -> bytes:
-    """Numbers byte by byte: the lower ``plain`` bytes of all as they are, the others compressed."""
-    width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
-    columns = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T)
-    plain = min(plain, width)
-    head = np.array([len(values), width, plain], "<u4").tobytes()
-    return head + columns[:plain].tobytes() + zlib.compress(columns[plain:].tobytes(), 1)
-
-
-def _from_planes(packed: bytes) -> np.ndarray:
-    n, width, plain = np.frombuffer(packed, "<u4", 3).tolist()
-    at = 12 + n * plain
-    columns = np.zeros((8, n), np.uint8)
-    columns[:plain] = np.frombuffer(packed, np.uint8, n * plain, 12).reshape(plain, n)
-    columns[plain:width] = np.frombuffer(zlib.decompress(packed[at:]), np.uint8).reshape(width - plain, n)
-    return np.ascontiguousarray(columns.T).reshape(-1).view("<u8")
-
-
-def _ascending(values: np.ndarray) -> bytes:
-    """The first value and the steps, of which all but the highest byte are noise."""
-    if not len(values):
-        return b""
-    steps = np.diff(values, prepend=np.uint64(0))
-    width = max(1, (int(steps[1:].max(initial=0)).bit_length() + 7) // 8)
-    return steps[:1].astype("<u8").tobytes() + _planes(steps[1:], width - 1)
-
-
-def _from_ascending(packed: bytes) -> np.ndarray:
-    if not packed:
-        return np.empty(0, "<u8")
-    return np.cumsum(np.r_[np.frombuffer(packed, "<u8", 1), _from_planes(packed[8:])], dtype=np.uint64)
-
-
 def _pack(arrays: list[np.ndarray]) -> bytes:
     """Arrays one after the other, behind their lengths."""
     return b"".join([np.array([len(arrays), *map(len, arrays)], "<i8").tobytes(), *[a.tobytes() for a in arrays]])
@@ -222,7 +176,7 @@ class Chunk:
         lengths = [len(p) for p in self.pieces]
         rows = [np.array(x, "<i8") for x in ([r[0] for r in self.rows], [r[1] or 0 for r in self.rows], lengths)]
         flags = np.array([kind | (4 if doc_id is None else 0) for _, doc_id, kind in self.rows], np.uint8)
-        values = (self.number, self.held_out, words[order].astype("<u8").tobytes(), _planes(rank[place], 0), _pack([*rows, flags]))
+        values = (self.number, self.held_out, words[order].astype("<u8").tobytes(), planes(rank[place], 0), _pack([*rows, flags]))
         return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, _CHUNKS)], schema=_CHUNKS)
 
 
@@ -237,7 +191,7 @@ class Read:
         self.rows, self.ids, lengths, self.kinds = _unpack(docs, ROWS)
         self.lengths = lengths - 2
         self.bits = bits
-        self.grams = Grams(hashes[order], at[_from_planes(places).astype(np.int64)], lengths, bits)
+        self.grams = Grams(hashes[order], at[from_planes(places).astype(np.int64)], lengths, bits)
 
     def asked(self, chunk: int, held_out: bool) -> pa.RecordBatch:
         """The distinct n-grams and how often each is learned from, a row per bucket."""
@@ -253,7 +207,7 @@ class Read:
             row = [b, chunk, held_out]
             for known, n, cut, mask in zip(self.grams.known, counts, cuts, low):
                 part = slice(int(cut[b]), int(cut[b + 1]))
-                row += [_ascending(known[part] & mask), _bytes(n[part])]
+                row += [ascending(known[part] & mask), packed_counts(n[part])]
             for column, value in zip(columns, row):
                 column.append(value)
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ASKED)], schema=_ASKED)
@@ -334,12 +288,12 @@ def _answer(bits: int):
         bucket = table["bucket"][0].as_py()
         answers: list[list] = [[] for _ in held_out]
         for order, name in enumerate(ORDERS):
-            hashes = [_from_ascending(x.as_py()) for x in table[name]]
-            counts = [_counts(x.as_py(), len(h)) for x, h in zip(table[f"{name}_n"], hashes)]
+            hashes = [from_ascending(x.as_py()) for x in table[name]]
+            counts = [counts_of(x.as_py(), len(h)) for x, h in zip(table[f"{name}_n"], hashes)]
             by_part, found, sums, deleted = _total(hashes, counts, held_out)
             for row, (every, less), held in zip(answers, by_part, held_out):
                 # A held-out chunk also needs what is deleted when the weights are learned.
-                row.append(_bytes(np.concatenate([every, less]) if held else every))
+                row.append(packed_counts(np.concatenate([every, less]) if held else every))
             if order == 0:
                 end = found == END & np.uint64((1 << 64 - bits) - 1) if bucket == int(END) >> 64 - bits else found < 0
                 numbers = [(sums > 0).sum(), sums.sum(), deleted.sum(), sums[end].sum(), deleted[end].sum()]
@@ -371,7 +325,7 @@ class Counted(Read):
             cuts = np.searchsorted(_bucket_of(known, bits, k), buckets[order])
             asked = np.diff(np.r_[cuts, len(known)]).tolist()
             cells = [answers[name][int(row)].as_py() for row in order]
-            found = [_counts(cell, 2 * n if held_out else n) for cell, n in zip(cells, asked)]
+            found = [counts_of(cell, 2 * n if held_out else n) for cell, n in zip(cells, asked)]
             self.counts.append(np.concatenate([f[:n] for f, n in zip(found, asked)]))
             if held_out:
                 self.deleted.append(np.concatenate([f[n:] for f, n in zip(found, asked)]))

@@ -1,14 +1,18 @@
 """Near-duplicate texts: an exact Jaccard join of word n-gram sets, with prefix trees.
 
 N-grams have one global order: rare ones first, by hash, then the most frequent ones, by their number of documents.
-Two sets as similar as asked share an n-gram among the first ones of each (the prefix filter), so documents
-meet in the lists of their prefixes' n-grams. Of a list, first all are compared with one member, then those that
-are not connected with a few of the largest component. What the found links still do not connect is compared
-pair by pair, so that thousands of copies cost a link each and no link is lost.
+Two sets as similar as asked share an n-gram among the first ones of each (the prefix filter), so documents meet in
+the lists of their prefixes' n-grams. Where the first n-gram they share lies in each of them tells how much they can
+share at most: the smaller one of a pair needs it among so few first n-grams (one in seven) that members of a
+list whose n-gram lies later can only be the larger one, and lists without a smaller one are dropped.
 
-Pairs are verified in tries: the sets to be compared with one set are put in order, so that sets with a
-common beginning share its partial overlap, and a branch ends as soon as the remaining lengths cannot reach
-the overlap that is needed.
+Of a list, first its members are compared with one of them, then those that are not connected with a few of the
+largest component. What the found links still do not connect is compared pair by pair, so that thousands of copies
+cost a link each and no link is lost.
+
+Pairs are verified in tries: the sets to be compared with one set are put in the global order, frequent n-grams
+first, so that sets with a common passage share a path and its partial overlap. A set ends as soon as the remaining
+lengths cannot reach the overlap that is needed; where no set could, the whole subtree is left out.
 
 N-grams travel as packed numbers, a row for each bucket of hashes. Sets are known by a hash of their members;
 equal sets are one set from the start. No text is shuffled.
@@ -25,6 +29,7 @@ from pyspark.sql import functions as F
 
 from playthrough.llm.common import ship_code, store, text_or_empty
 from playthrough.llm.graph import components
+from playthrough.llm.packed import ascending, counts_of, from_ascending, from_planes, packed_counts, planes
 
 WORDS = 5
 #: Least similarity as a fraction.
@@ -39,7 +44,7 @@ CLASSES = 8
 PER_BUCKET = 50_000_000
 LEAST_BUCKETS = 1024
 #: N-grams a task holds before it sends them.
-FLUSH = 2_000_000
+FLUSH = 3_000_000
 #: Members of a list that are compared in one piece; longer lists are cut into blocks, taken two by two.
 BLOCK = 2048
 #: Members of a list's largest component that each other member is compared with, before all pairs are.
@@ -147,18 +152,49 @@ def _sizes_fit(n, m):
     return (n * whole >= m * part) & (m * whole >= n * part)
 
 
-def _bucketed(grams: np.ndarray, buckets: int, columns: list[np.ndarray]) -> pa.RecordBatch:
-    """A row per bucket: the columns' values of its n-grams, packed one column after the other."""
-    bucket = (grams >> np.uint64(32)) % np.uint64(buckets)
-    order = np.argsort(bucket, kind="stable")
+def _cut(grams: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, list[slice]]:
+    """The order of the n-grams by bucket and low half, the buckets, and where each lies in that order."""
+    bucket = ((grams >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort((bucket.astype(np.uint64) << np.uint64(32)) | (grams & np.uint64(0xFFFFFFFF)))
     bucket = bucket[order]
     starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.empty(0, int)
     ends = np.r_[starts[1:], len(bucket)] if len(bucket) else starts
-    sorted_columns = [c[order] for c in columns]
-    blobs = [b"".join(c[s:e].tobytes() for c in sorted_columns) for s, e in zip(starts, ends)]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(bucket[starts].astype(np.int64)), pa.array(blobs, pa.binary())], ["bucket", "packed"]
-    )
+    return order, bucket[starts], [slice(s, e) for s, e in zip(starts.tolist(), ends.tolist())]
+
+
+def _sent(buckets: np.ndarray, packed: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(buckets, pa.int64()), pa.array(packed, pa.binary())], ["bucket", "packed"])
+
+
+def _pack(parts: list[bytes]) -> bytes:
+    return np.array([len(p) for p in parts], "<u4").tobytes() + b"".join(parts)
+
+
+def _unpack(packed: bytes, n: int) -> list[bytes]:
+    ends = np.cumsum(np.frombuffer(packed, "<u4", n)) + 4 * n
+    return [packed[s:e] for s, e in zip([4 * n, *ends.tolist()], ends.tolist())]
+
+
+def _counted(grams: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """How often each low half of an n-gram is met, by bucket."""
+    order, found, parts = _cut(grams, buckets)
+    low, packed = _low(grams[order]), []
+    for part in parts:
+        own = low[part]
+        starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+        packed.append(_pack([ascending(own[starts].astype(np.uint64)), packed_counts(np.diff(np.r_[starts, len(own)]))]))
+    return _sent(found, packed)
+
+
+def _listed(grams: np.ndarray, ids: np.ndarray, sizes: np.ndarray, places: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Memberships by bucket: low half of the n-gram, set, its size, where the n-gram lies in it."""
+    order, found, parts = _cut(grams, buckets)
+    low, ids, sizes, places = _low(grams[order]), ids[order], sizes[order], places[order]
+    packed = [
+        _pack([ascending(low[p].astype(np.uint64)), ids[p].astype("<i8").tobytes(), planes(sizes[p], 1), planes(places[p], 1)])
+        for p in parts
+    ]
+    return _sent(found, packed)
 
 
 def _low(grams: np.ndarray) -> np.ndarray:
@@ -193,11 +229,10 @@ def _send_counted(buckets: int):
                 grams = shingles(text.as_py())
                 sizes.append(len(grams))
                 ids.append(set_id(grams) if len(grams) else None)
-                held.append(grams[: 2 * prefix_length(len(grams))])
+                held.append(grams)
                 n += len(held[-1])
                 if n >= FLUSH:
-                    every = np.concatenate(held)
-                    yield _bucketed(every, buckets, [_low(every)])
+                    yield _counted(np.concatenate(held), buckets)
                     held, n = [], 0
             described = pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64())], schema=DESCRIBED)
             if len(sizes):
@@ -206,8 +241,7 @@ def _send_counted(buckets: int):
                     [pa.array([-1 - part], pa.int64()), pa.array([_packed_rows(described)], pa.binary())], ["bucket", "packed"]
                 )
         if n:
-            every = np.concatenate(held)
-            yield _bucketed(every, buckets, [_low(every)])
+            yield _counted(np.concatenate(held), buckets)
 
     return send
 
@@ -220,9 +254,16 @@ def _count(table: pa.Table) -> pa.Table:
     if bucket < 0:
         none = pa.nulls(table.num_rows, pa.int64())
         return pa.table({"code": none, "n": none, "described": table["packed"].cast(pa.binary())})
-    low = np.sort(np.frombuffer(b"".join(table["packed"].to_pylist()), dtype="<u4"))
+    low, n = [], []
+    for packed in table["packed"]:
+        hashes, counts = _unpack(packed.as_py(), 2)
+        low.append(from_ascending(hashes))
+        n.append(counts_of(counts, len(low[-1])))
+    low, n = np.concatenate(low), np.concatenate(n)
+    order = np.argsort(low, kind="stable")  # parts ascend already
+    low, n = low[order], n[order]
     starts = np.flatnonzero(np.r_[True, low[1:] != low[:-1]])
-    counts = np.diff(np.r_[starts, len(low)])
+    counts = np.add.reduceat(n, starts)
     often = counts >= FREQUENT
     codes = (np.int64(bucket) << 32) | low[starts[often]].astype(np.int64)
     return pa.table(
@@ -293,11 +334,10 @@ def _send_prefixes(buckets: int, shared):
         grams_held, ids_held, sizes_held, n, seen = [], [], [], 0, set()
 
         def flush() -> pa.RecordBatch:
-            every = np.concatenate(grams_held)
             lengths = [len(g) for g in grams_held]
-            ids = np.repeat(np.array(ids_held, dtype="<i8"), lengths)
-            sizes = np.repeat(np.array(sizes_held, dtype="<u4"), lengths)
-            return _bucketed(every, buckets, [_low(every), ids, sizes])
+            places = np.concatenate([np.arange(n) for n in lengths])
+            ids, sizes = (np.repeat(np.array(x), lengths) for x in (ids_held, sizes_held))
+            return _listed(np.concatenate(grams_held), ids, sizes, places, buckets)
 
         for batch in batches:
             for text in batch.column(0):
@@ -322,53 +362,92 @@ def _send_prefixes(buckets: int, shared):
     return send
 
 
-def _list_rows(ids: np.ndarray, sizes: np.ndarray):
-    """Members by size, then id; blocks of a long list are paired where sizes fit."""
-    order = np.lexsort((ids, sizes))
-    ids, sizes = ids[order], sizes[order]
-    if len(ids) <= 2 * BLOCK:
-        yield ids, sizes
-        return
-    blocks = [slice(at, at + BLOCK) for at in range(0, len(ids), BLOCK)]
-    for i, first in enumerate(blocks):
-        for second in blocks[i + 1 :]:
-            if not _sizes_fit(sizes[first][-1], sizes[second][0]):
-                break
-            yield np.r_[ids[first], ids[second]], np.r_[sizes[first], sizes[second]]
-        if i == len(blocks) - 1 or not _sizes_fit(sizes[first][-1], sizes[blocks[i + 1]][0]):
-            yield ids[first], sizes[first]
+#: A membership: the set, its size, and whether it can be the smaller one of a pair in this list.
+MEMBER = np.dtype([("id", "<i8"), ("n", "<u4"), ("short", "<u4")])
+
+
+def largest_partner(n: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """The largest size of a set that can be similar if the first n-gram in common lies here.
+
+    What is left, n - place, has to be the overlap at least: part * (n + m) <= (part + whole) * (n - place).
+    """
+    part, whole = SIMILAR
+    return ((part + whole) * (n - place)) // part - n
+
+
+def possible_members(n: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Which members of a list, by ascending size, can be one of a similar pair that meets here first.
+
+    A pair's smaller set is in reach of the larger one, and the other way round.
+    """
+    part, whole = SIMILAR
+    short = most >= n
+    sizes = n[short]
+    least = -(-n * part // whole)
+    smaller = np.searchsorted(sizes, np.minimum(n, most), side="right") - np.searchsorted(sizes, least)
+    larger = np.searchsorted(n, np.minimum(most, n * whole // part), side="right") - np.searchsorted(n, n)
+    # Both count the set itself.
+    return (smaller > short) | (short & (larger > 1))
+
+
+MADE = "list_id long, members binary, key long, part int, low long, high long, any_short boolean"
 
 
 def _make_lists(table: pa.Table) -> pa.Table:
-    """Lists of a bucket with two different sets or more, each membership once."""
+    """Lists of a bucket with two different sets or more that could be similar; long ones in blocks of ascending size."""
     import xxhash
 
-    low, ids, sizes = [], [], []
-    for packed in table["packed"].to_pylist():
-        n = len(packed) // 16
-        low.append(np.frombuffer(packed, dtype="<u4", count=n))
-        ids.append(np.frombuffer(packed, dtype="<i8", count=n, offset=4 * n))
-        sizes.append(np.frombuffer(packed, dtype="<u4", count=n, offset=12 * n))
-    low, ids, sizes = np.concatenate(low), np.concatenate(ids), np.concatenate(sizes)
-    order = np.lexsort((ids, low))
-    low, ids, sizes = low[order], ids[order], sizes[order]
+    columns = [[], [], [], []]
+    for packed in table["packed"]:
+        low, ids, sizes, places = _unpack(packed.as_py(), 4)
+        for column, values in zip(columns, (from_ascending(low), np.frombuffer(ids, "<i8"), from_planes(sizes), from_planes(places))):
+            column.append(values)
+    low, ids, sizes, places = (np.concatenate(c) for c in columns)
+    sizes, places = sizes.astype(np.int64), places.astype(np.int64)
+    order = np.lexsort((ids, sizes, low))
+    low, ids, sizes, places = low[order], ids[order], sizes[order], places[order]
     new = np.r_[True, (low[1:] != low[:-1]) | (ids[1:] != ids[:-1])]
-    low, ids, sizes = low[new], ids[new], sizes[new]
+    low, ids, sizes, places = low[new], ids[new], sizes[new], places[new]
+    most = largest_partner(sizes, places)
     starts = np.flatnonzero(np.r_[True, low[1:] != low[:-1]])
     ends = np.r_[starts[1:], len(low)]
-    found: dict[int, bytes] = {}
+    found: dict[int, tuple] = {}
     several = ends - starts > 1
     for s, e in zip(starts[several].tolist(), ends[several].tolist()):
-        for members, lengths in _list_rows(ids[s:e], sizes[s:e]):
-            if len(members) > 1 and _sizes_fit(lengths[:-1].astype(np.int64), lengths[1:].astype(np.int64)).any():
-                packed = members.astype("<i8").tobytes() + lengths.astype("<u4").tobytes()
-                found[xxhash.xxh3_64_intdigest(packed) - 2**63] = packed
-    return pa.table({"list_id": pa.array(list(found), pa.int64()), "members": pa.array(list(found.values()), pa.binary())})
-
-
-def _unpacked(members: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n = len(members) // 12
-    return np.frombuffer(members, "<i8", n), np.frombuffer(members, "<u4", n, 8 * n).astype(np.int64)
+        kept = s + np.flatnonzero(possible_members(sizes[s:e], most[s:e]))
+        if len(kept) < 2:
+            continue
+        members = np.empty(len(kept), MEMBER)
+        members["id"], members["n"], members["short"] = ids[kept], sizes[kept], most[kept] >= sizes[kept]
+        whole = members.tobytes()
+        key = xxhash.xxh3_64_intdigest(whole) - 2**63
+        if len(members) <= 2 * BLOCK:
+            found[key] = (whole, None, None, None, None, None)
+            continue
+        for part, at in enumerate(range(0, len(members), BLOCK)):
+            block = members[at : at + BLOCK]
+            number = xxhash.xxh3_64_intdigest(block.tobytes(), seed=part) - 2**63
+            found[number] = (block.tobytes(), key, part, int(block["n"][0]), int(block["n"][-1]), bool(block["short"].any()))
+    values = [list(found), *([v[k] for v in found.values()] for k in range(6))]
+    types = [pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()]
+    return pa.table([pa.array(v, t) for v, t in zip(values, types)], names=[c.split()[0] for c in MADE.split(", ")])
+
+
+def _lists(made: DataFrame) -> DataFrame:
+    """list_id, members: whole lists, and for each long one its blocks, alone and two by two where sizes fit."""
+    once = store(made.dropDuplicates(["list_id"]), "made")
+    whole = once.filter("part is null").select("list_id", "members")
+    blocks = once.filter("part is not null")
+    first, second = (blocks.select("key", *[F.col(c).alias(f"{c}_{k}") for c in ("part", "members", "low", "high", "any_short")]) for k in "ab")
+    part, of = SIMILAR
+    met = first.join(second, "key").filter("part_a <= part_b and any_short_a").filter(F.col("low_b") * part <= F.col("high_a") * of)
+    alone = F.col("part_a") == F.col("part_b")
+    members = F.when(alone, F.col("members_a")).otherwise(F.concat("members_a", "members_b"))
+    return whole.unionByName(met.select(F.xxhash64("key", "part_a", "part_b").alias("list_id"), members.alias("members")))
+
+
+def _unpacked(members: bytes) -> np.ndarray:
+    return np.frombuffer(members, MEMBER)
 
 
 def _pairs_table(a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
@@ -378,21 +457,37 @@ def _pairs_table(a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
 
 
 def _with_one_member(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each member with the smallest one that can be the smaller of a pair, as far as sizes fit; then the next such one."""
+    part, whole = SIMILAR
     for batch in batches:
         a, b = [], []
         for members in batch.column(0):
-            ids, sizes = _unpacked(members.as_py())
-            one = int(ids.argmin())
-            fit = _sizes_fit(sizes, sizes[one])
-            fit[one] = False
-            b.append(ids[fit])
-            a.append(np.full(len(b[-1]), ids[one]))
+            rows = _unpacked(members.as_py())
+            ids, sizes = rows["id"], rows["n"].astype(np.int64)
+            short = np.flatnonzero(rows["short"])
+            at = 0
+            while True:
+                at = np.searchsorted(short, at)
+                if at == len(short):
+                    break
+                one = short[at]
+                end = int(np.searchsorted(sizes, sizes[one] * whole // part, side="right"))
+                b.append(ids[one + 1 : end])
+                a.append(np.full(len(b[-1]), ids[one]))
+                at = end
         yield _pairs_table(a, b)
 
 
+def _columns(table: pa.Table) -> tuple[np.ndarray, ...]:
+    """Sets of a list by size: id, size, whether it can be the smaller one, its component."""
+    columns = [np.array(table[c].to_pylist(), dtype=np.int64) for c in ("set_id", "n", "short", "root")]
+    order = np.lexsort((columns[0], columns[1]))
+    return tuple(c[order] for c in columns)
+
+
 def _with_largest(table: pa.Table) -> pa.Table:
     """Pairs of each member outside a list's largest component with a few members of that one."""
-    ids, sizes, roots = (np.array(table[c].to_pylist(), dtype=np.int64) for c in ("set_id", "n", "root"))
+    ids, sizes, short, roots = _columns(table)
     found, counts = np.unique(roots, return_counts=True)
     inside = roots == found[counts.argmax()]
     others, largest = np.flatnonzero(~inside), np.flatnonzero(inside)
@@ -400,35 +495,32 @@ def _with_largest(table: pa.Table) -> pa.Table:
     a, b = [], []
     for k in range(min(TRIES, len(largest))):
         partner = largest[(first.astype(np.int64) + k * (1 + len(largest) // TRIES)) % len(largest)]
-        fit = _sizes_fit(sizes[others], sizes[partner])
-        a.append(ids[others][fit])
-        b.append(ids[partner][fit])
+        possible = _sizes_fit(sizes[others], sizes[partner]) & (short[np.minimum(others, partner)] == 1)
+        a.append(ids[others][possible])
+        b.append(ids[partner][possible])
     return pa.Table.from_batches([_pairs_table(a, b)])
 
 
 def _unconnected(table: pa.Table) -> pa.Table:
-    """All pairs of a list whose members are of different components."""
-    ids, sizes, roots = (np.array(table[c].to_pylist(), dtype=np.int64) for c in ("set_id", "n", "root"))
+    """All possible pairs of a list whose members are of different components."""
+    part, whole = SIMILAR
+    ids, sizes, short, roots = _columns(table)
     a, b = [], []
-    for k in range(len(ids) - 1):
-        later = slice(k + 1, None)
-        open_pairs = (roots[later] != roots[k]) & _sizes_fit(sizes[later], sizes[k])
-        b.append(ids[later][open_pairs])
+    for k in np.flatnonzero(short).tolist():
+        end = int(np.searchsorted(sizes, sizes[k] * whole // part, side="right"))
+        later = slice(k + 1, end)
+        b.append(ids[later][roots[later] != roots[k]])
         a.append(np.full(len(b[-1]), ids[k]))
     return pa.Table.from_batches([_pairs_table(a, b)])
 
 
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        lists, ids, sizes = [], [], []
         for list_id, members in zip(batch.column(0).to_pylist(), batch.column(1)):
-            one, two = _unpacked(members.as_py())
-            lists.append(np.full(len(one), list_id))
-            ids.append(one)
-            sizes.append(two)
-        if lists:
+            rows = _unpacked(members.as_py())
+            columns = [np.full(len(rows), list_id), rows["id"], rows["n"], rows["short"]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(x), pa.int64()) for x in (lists, ids, sizes)], ["list_id", "set_id", "n"]
+                [pa.array(c.astype(np.int64), pa.int64()) for c in columns], ["list_id", "set_id", "n", "short"]
             )
 
 
@@ -486,7 +578,7 @@ def _grams_of_needed(shared):
                 if len(grams):
                     kept.append(int(ids[k]))
                     sets.append(set_id(grams))
-                    packed.append(grams.astype(">u8").tobytes())
+                    packed.append(grams.astype("<u8").tobytes())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(kept, pa.int64()), pa.array(sets, pa.int64()), pa.array(packed, pa.binary())], ["doc_id", "b", "grams"]
             )
@@ -494,45 +586,81 @@ def _grams_of_needed(shared):
     return send
 
 
-def trie_matches(x: np.ndarray, others: list[bytes]) -> list[int]:
-    """Which of the sets (big-endian, ascending) are similar to x.
+def global_places(grams: np.ndarray, buckets: int, codes: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+    """A number per n-gram that puts them in the global order, the most frequent first."""
+    rare = (grams >> np.uint64(1)) | np.uint64(2**63)
+    if not len(codes):
+        return rare
+    code = _code(grams, buckets)
+    found = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
+    return np.where(codes[found] == code, (len(codes) - ranks[found]).astype(np.uint64), rare)
+
 
-    In order of their bytes, sets with a common beginning follow each other: a path of the trie. ``overlap[d]``
-    is the overlap with x after d n-grams of the path; a set starts where it leaves the one before.
+def trie_matches(x: np.ndarray, others: list[np.ndarray], place_of) -> list[int]:
+    """Which of the sets are similar to x.
+
+    Sets are put in the global order and sorted, so that those with a common beginning follow each other: a path of
+    the trie. ``overlap[d]`` is the overlap with x after d n-grams of the path; a set starts where it leaves the one
+    before. A set ends where what is left of it and of x cannot reach the overlap it needs; where that fails for
+    the least overlap that any set of fitting size needs, all sets below are left out.
     """
-    found, before, overlap = [], np.empty(0, np.uint64), np.zeros(1, dtype=np.int64)
-    walked = 0  # n-grams of the path that have been looked up
-    for k in sorted(range(len(others)), key=others.__getitem__):
-        y = np.frombuffer(others[k], dtype=">u8").astype(np.uint64)
+    part, whole = SIMILAR
+    members = np.sort(x)
+    places_of_x = np.sort(place_of(x))
+    ordered, keys = [], []
+    for y in others:
+        places = place_of(y)
+        order = np.lexsort((y, places))
+        ordered.append(y[order])
+        keys.append(places[order])
+    least = least_overlap(len(x), -(-len(x) * part // whole))
+    found, overlap = [], np.zeros(1, dtype=np.int64)
+    before, walked, closed = np.empty(0, np.uint64), 0, -1
+    for k in sorted(range(len(ordered)), key=lambda k: (keys[k].astype(">u8").tobytes(), ordered[k].astype(">u8").tobytes())):
+        y = ordered[k]
         n = min(len(before), len(y), walked)
         differ = np.flatnonzero(before[:n] != y[:n])
         depth = int(differ[0]) if len(differ) else n
+        if 0 <= closed <= depth:
+            continue  # below a node that no set can pass
+        closed = -1
         need = least_overlap(len(x), len(y))
         parts, shared = [overlap[: depth + 1]], int(overlap[depth])
         while True:
-            left = len(x) - (int(np.searchsorted(x, y[depth - 1], side="right")) if depth else 0)
+            # Of x, what comes after the path or stands with its end.
+            left = len(x) - (int(np.searchsorted(places_of_x, keys[k][depth - 1])) if depth else 0)
+            if shared + left < least:
+                closed = depth
+                break
             if depth == len(y) or shared + min(len(y) - depth, left) < need:
                 break
-            part = y[depth : depth + 128]
-            at = np.minimum(np.searchsorted(x, part), len(x) - 1)
-            parts.append(shared + np.cumsum(x[at] == part))
-            shared, depth = int(parts[-1][-1]), depth + len(part)
+            step = y[depth : depth + 128]
+            at = np.minimum(np.searchsorted(members, step), len(members) - 1)
+            parts.append(shared + np.cumsum(members[at] == step))
+            shared, depth = int(parts[-1][-1]), depth + len(step)
         before, overlap, walked = y, np.concatenate(parts), depth
         if depth == len(y) and shared >= need:
             found.append(k)
     return found
 
 
-def _verify(table: pa.Table) -> pa.Table:
-    a, b, grams = table["a"].to_pylist(), table["b"].to_pylist(), table["grams"].to_pylist()
-    own = next(k for k in range(len(a)) if a[k] == b[k])
-    x = np.frombuffer(grams[own], dtype=">u8").astype(np.uint64)
-    rest = [k for k in range(len(a)) if a[k] != b[k]]
-    found = [rest[k] for k in trie_matches(x, [grams[k] for k in rest])]
-    return pa.table({"a": pa.array([a[k] for k in found], pa.int64()), "b": pa.array([b[k] for k in found], pa.int64())})
+def _verify(buckets: int, shared):
+    def verify(table: pa.Table) -> pa.Table:
+        a, b = table["a"].to_pylist(), table["b"].to_pylist()
+        sets = [np.frombuffer(g.as_py(), dtype="<u8") for g in table["grams"]]
+        own = next(k for k in range(len(a)) if a[k] == b[k])
+        rest = [k for k in range(len(a)) if a[k] != b[k]]
+
+        def place_of(grams: np.ndarray) -> np.ndarray:
+            return global_places(grams, buckets, *shared.value)
+
+        found = [rest[k] for k in trie_matches(sets[own], [sets[k] for k in rest], place_of)]
+        return pa.table({"a": pa.array([a[k] for k in found], pa.int64()), "b": pa.array([b[k] for k in found], pa.int64())})
+
+    return verify
 
 
-def _verified(pairs: DataFrame, needed: DataFrame, grams: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, needed: DataFrame, grams: DataFrame, verify) -> DataFrame:
     """The pairs (a, b) whose sets are similar. A set with many partners meets them in several pieces.
 
     ``needed`` has the document that stands for a set, ``grams`` the n-grams by document, and of some more.
@@ -543,7 +671,7 @@ def _verified(pairs: DataFrame, needed: DataFrame, grams: DataFrame) -> DataFram
     own = counts.select("a", F.col("a").alias("b"), F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"))
     asked = dealt.unionByName(own.withColumn("piece", F.col("piece").cast("long")))
     asked = asked.join(needed.select(F.col("set_id").alias("b"), "doc_id"), "b").join(grams, ["doc_id", "b"])
-    return store(asked.groupBy("a", "piece").applyInArrow(_verify, "a long, b long"), "links")
+    return store(asked.groupBy("a", "piece").applyInArrow(verify, "a long, b long"), "links")
 
 
 def _linked_sets(texts: DataFrame, sets: DataFrame, counted: DataFrame, buckets: int) -> DataFrame:
@@ -551,9 +679,9 @@ def _linked_sets(texts: DataFrame, sets: DataFrame, counted: DataFrame, buckets:
     spark = texts.sparkSession
     shared = spark.sparkContext.broadcast(frequent_grams(counted))  # MOST_FREQUENT numbers at most
     sent = texts.select("text").mapInArrow(_send_prefixes(buckets, shared), "bucket long, packed binary")
-    lists = sent.groupBy("bucket").applyInArrow(_make_lists, "list_id long, members binary")
-    lists = store(lists.dropDuplicates(["list_id"]), "lists")
-    members = store(lists.mapInArrow(_members, "list_id long, set_id long, n long"), "members")
+    lists = store(_lists(sent.groupBy("bucket").applyInArrow(_make_lists, MADE)), "lists")
+    members = store(lists.mapInArrow(_members, "list_id long, set_id long, n long, short long"), "members")
+    verify = _verify(buckets, shared)
 
     first_doc = sets.filter("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
     needed = store(first_doc.join(members.select("set_id").distinct(), "set_id"), "needed")
@@ -564,18 +692,18 @@ def _linked_sets(texts: DataFrame, sets: DataFrame, counted: DataFrame, buckets:
     grams = store(grams, "grams")
 
     stars = store(lists.select("members").mapInArrow(_with_one_member, "a long, b long").distinct(), "stars")
-    links = _verified(stars, needed, grams)
+    links = _verified(stars, needed, grams, verify)
     tested, roots = stars, store(components(links), "roots")
     for choose in (_with_largest, _unconnected):
         rooted = members.join(roots, members["set_id"] == roots["node"], "left")
-        rooted = store(rooted.select("list_id", "set_id", "n", F.coalesce("component", "set_id").alias("root")), "rooted")
+        rooted = store(rooted.select("list_id", "set_id", "n", "short", F.coalesce("component", "set_id").alias("root")), "rooted")
         open_lists = rooted.groupBy("list_id").agg(F.min("root").alias("low"), F.max("root").alias("high"))
         open_lists = open_lists.filter("low < high").select("list_id")
         rest = rooted.join(open_lists, "list_id").groupBy("list_id").applyInArrow(choose, "a long, b long")
         rest = store(rest.distinct().join(tested, ["a", "b"], "left_anti"), "rest")
         if not rest.isEmpty():
             tested = tested.unionByName(rest)
-            links = links.unionByName(_verified(rest, needed, grams))
+            links = links.unionByName(_verified(rest, needed, grams, verify))
             roots = store(components(links), "roots")
     return roots
 

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 
 from playthrough.llm import language_model as lm
+from playthrough.llm import packed
 
 BEGIN, END = object(), object()
 
@@ -127,12 +128,12 @@ def test_pieces_of_a_long_text():
 
 def test_counts_survive_packing():
     counts = np.array([0, 1, 254, 255, 256, 2**40])
-    assert lm._counts(lm._bytes(counts), 6).tolist() == counts.tolist()
+    assert packed.counts_of(packed.packed_counts(counts), 6).tolist() == counts.tolist()
     for values in ([], [0], [2**63, 2**64 - 1], [0, 1, 2, 2**40], list(range(0, 70000, 7))):
         values = np.array(values, dtype=np.uint64)
-        assert lm._from_ascending(lm._ascending(values)).tolist() == values.tolist()
+        assert packed.from_ascending(packed.ascending(values)).tolist() == values.tolist()
         for plain in (0, 2):
-            assert lm._from_planes(lm._planes(values, plain)).tolist() == values.tolist()
+            assert packed.from_planes(packed.planes(values, plain)).tolist() == values.tolist()
 
 
 def test_weights_of_a_class_add_up(spark):

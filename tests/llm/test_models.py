@@ -179,25 +179,57 @@ def test_any_order_of_ngrams_gives_the_same_links():
     assert len(ngram_join.in_order(x, 64, codes, ranks, len(x))) == len(x)
 
 
-def test_trie_equals_set_intersections():
+@pytest.mark.parametrize("frequent", [0, 0.3])
+def test_trie_equals_set_intersections(frequent):
     rng = np.random.default_rng(8)
     base = np.unique(rng.integers(0, 2**62, 300).astype(np.uint64))
     sets = [base]
     for _ in range(60):
-        kept = base[rng.random(len(base)) < rng.choice([0.6, 0.8, 0.95, 1.0])]
+        kept = base[rng.random(len(base)) < rng.choice([0.2, 0.6, 0.8, 0.95, 1.0])]
         sets.append(np.unique(np.r_[kept, rng.integers(0, 2**62, rng.integers(0, 60)).astype(np.uint64)]))
-    found = ngram_join.trie_matches(base, [s.astype(">u8").tobytes() for s in sets])
+    codes = np.sort(ngram_join._code(base[rng.random(len(base)) < frequent], 64))
+    ranks = rng.permutation(len(codes))
+    found = ngram_join.trie_matches(base, sets, lambda g: ngram_join.global_places(g, 64, codes, ranks))
     want = [k for k, s in enumerate(sets) if (c := len(np.intersect1d(base, s))) * 4 >= 3 * (len(base) + len(s) - c)]
     assert sorted(found) == want
 
 
-def test_long_lists_keep_every_pair(monkeypatch):
-    monkeypatch.setattr(ngram_join, "BLOCK", 8)
-    sizes = np.sort(np.random.default_rng(1).integers(20, 60, 50)).astype("<u4")
-    ids = np.arange(50, dtype="<i8")
-    met = {(min(a, b), max(a, b)) for m, _ in ngram_join._list_rows(ids, sizes) for a in m.tolist() for b in m.tolist() if a != b}
-    n = sizes.astype(int)
-    assert all((i, j) in met for i in range(50) for j in range(i + 1, 50) if ngram_join._sizes_fit(n[i], n[j]))
+def test_similar_sets_can_meet_at_their_first_common_ngram():
+    """For sets of any size and overlap, the positions of the first n-gram in common allow the pair if it is similar."""
+    rng = np.random.default_rng(3)
+    similar = 0
+    for _ in range(4000):
+        n = int(rng.integers(1, 40))
+        universe = rng.permutation(80)
+        x = np.sort(universe[:n])
+        y = np.sort(np.r_[x[rng.random(n) < 0.93], universe[n : n + rng.integers(0, 6)]])
+        common = np.intersect1d(x, y)
+        if not len(y) or 4 * len(common) < 3 * (len(x) + len(y) - len(common)):
+            continue
+        similar += 1
+        sizes, places = np.array([len(x), len(y)]), np.array([np.flatnonzero(s == common[0])[0] for s in (x, y)])
+        order = np.argsort(sizes, kind="stable")
+        most = ngram_join.largest_partner(sizes, places)
+        assert ngram_join.possible_members(sizes[order], most[order]).all() and most[order[0]] >= sizes[order[0]]
+        assert all(p < ngram_join.prefix_length(s) for p, s in zip(places, sizes))
+    assert similar > 1000
+
+
+def test_long_lists_keep_every_pair(docs_of, monkeypatch):
+    """Blocks of a few members, on texts that share much: the same components as by brute force."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 3)
+    monkeypatch.setattr(ngram_join, "TRIES", 1)
+    rng = random.Random(12)
+    base = [f"b{i}" for i in range(80)]
+    texts = {}
+    for i in range(60):
+        words = list(base)
+        for _ in range(rng.randrange(3, 9)):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(9)}"
+        texts[i] = " ".join(words[: len(words) - rng.randrange(6)])
+    got = {r.doc_id: r.component_id for r in ngram_join.near_duplicates(docs_of(list(texts.items()))).collect()}
+    _, sets = _brute_components(texts)
+    assert got == {i: sets.root(i) for i in texts} and len(set(got.values())) > 3
 
 
 def test_ngram_join_of_nothing(docs_of):
