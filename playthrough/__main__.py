@@ -38,6 +38,7 @@ def parser() -> argparse.ArgumentParser:
     add_tls(stream)
     stream.add_argument("--clean", action="store_true", help="quarantine invalid events too")
     stream.add_argument("--remember-days", type=int, help="look for repeated ids in so many days only, see the module")
+    stream.add_argument("--stream", default="", help="name of this stream among those that write to the table")
     stream.add_argument("--backlog", action="store_true", help="stop after what is there now")
     publish = job.add_parser("publish", help="send a file of JSON lines to a Kafka topic")
     for name in ["lines", "servers", "topic"]:
@@ -87,6 +88,9 @@ def main(argv: list[str] | None = None) -> None:
         case "score":
             jobs.score(spark, a.model, a.out, a.query)
         case "ingest":
+            for key, value in ingest.STATE_STORE.items():
+                if spark.conf.get(key, None) is None:
+                    spark.conf.set(key, value)
             ingest.ingest(
                 source(spark, a),
                 table=a.table,
@@ -95,6 +99,7 @@ def main(argv: list[str] | None = None) -> None:
                 trigger=ingest.BACKLOG if a.backlog else ingest.LIVE,
                 clean=a.clean,
                 remember_days=a.remember_days,
+                stream=a.stream,
             ).awaitTermination()
         case "publish":
             options = {"kafka.bootstrap.servers": a.servers, "topic": a.topic, **tls(a)}

@@ -1,16 +1,30 @@
-"""Most frequent genre in a user's last 30 days; of equally frequent ones the smallest name."""
+"""Most frequent genre in a user's last 30 days; of equally frequent ones the smallest name.
+
+Two ways give the same rows. With few genres, each has a sliding counter, a column of the frame that is windowed
+anyway. With more, or an unknown number, the preference is followed through time: an event raises its genre's count
+just after it and lowers it again when the 30 days are over. Only at these moments can a user's preference change, so
+one walk over them in order of time, with the counts in a heap, finds all changes, and each event takes the latest
+change before it. That work grows with the events, whatever the number of genres.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import heapq
+from itertools import chain, groupby
+from operator import itemgetter
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playthrough.functions.scalar import HISTORY_MS
 from playthrough.operators.history import keyed_history
-from playthrough.operators.keysplits import KeySplits, find_splits, join_dimension
+from playthrough.operators.keysplits import CHUNK, KeySplits, before_chunk
 from playthrough.sources.checkpoint import stored
+from playthrough.sources.code import ship_code
 
-MAX_COUNTERS = 100
+#: Genres that are counted in columns, at most.
+MAX_COUNTERS = 24
 
 
 def counters(genres: list[str]) -> dict[str, Column]:
@@ -44,30 +58,90 @@ def with_genre_preference(
         found = keyed_history(events, ["user_id"], recent=counters(genres), span=HISTORY_MS, splits=splits)
         preference = most_frequent(genres).alias("user_genre_preference")
         return found.select(*events.columns, preference)
-    return _from_long_counts(events, splits)
+    return _from_changes(events, splits)
+
+
+def _from_changes(events: DataFrame, splits: KeySplits | None) -> DataFrame:
+    """Changes are rows among the events, in front of those of their moment; an event takes the last one before it."""
+    events = stored(events)  # read twice below, once three columns of it
+    changes = preference_changes(events, splits)
+    marks = changes.select(
+        F.lit("").alias("event_id"), F.col("at").alias("event_ts"), "user_id", F.struct("preferred").alias("_change")
+    )
+    rows = events.withColumn("_is_event", F.lit(True)).unionByName(marks, allowMissingColumns=True)
+    found = keyed_history(rows, ["user_id"], lags={"_latest": F.col("_change")}, splits=splits)
+    found = found.filter("_is_event")
+    return found.select(*events.columns, F.col("_latest.preferred").alias("user_genre_preference"))
 
 
-def _from_long_counts(events: DataFrame, splits: KeySplits | None) -> DataFrame:
-    """For any number of genres: a row per event and genre its user has ever watched.
+def preference_changes(events: DataFrame, splits: KeySplits | None = None) -> DataFrame:
+    """user_id, at, preferred: the genre preferred from a moment on, null for none, at every moment it changes.
 
-    Every such row counts the user's recent events of that genre; the event keeps the best one.
+    Counts that change at the same moment are added up before they are sent. A hot user's moments are walked in chunks
+    of time, each from the counts that the earlier ones leave.
     """
-    events = stored(events)  # read three times below, mostly a few columns of it
-    narrow = events.select("event_id", "event_ts", "user_id", F.col("genre").alias("_own"))
-    watched = events.select("user_id", "genre").dropna().distinct()
-    by_user = watched.groupBy("user_id").agg(F.collect_set("genre").alias("_genres"))
-    rows = join_dimension(narrow, by_user, "user_id", splits).select(
-        "event_id", "event_ts", "user_id", "_own", F.explode("_genres").alias("genre")
-    )
-    own = F.when(F.col("genre") == F.col("_own"), 1).otherwise(0)
-    hot = None
-    if splits is not None and splits.any_hot:
-        hot = find_splits(rows, ["user_id", "genre"], reach=HISTORY_MS, chunk_rows=splits.chunk_rows)
-    counted = keyed_history(rows, ["user_id", "genre"], recent={"_count": own}, span=HISTORY_MS, splits=hot)
-    best = (
-        counted.filter(F.col("_count") > 0)
-        .groupBy("event_id")
-        .agg(F.min(F.struct(-F.col("_count"), F.col("genre").alias("name"))).alias("_best"))
-        .select("event_id", F.col("_best")["name"].alias("user_genre_preference"))
+    ship_code(events.sparkSession)
+    from_then, no_more = F.col("event_ts") + 1, F.col("event_ts") + HISTORY_MS + 1
+    steps = F.array(F.struct(from_then.alias("at"), F.lit(1).alias("step")), F.struct(no_more.alias("at"), F.lit(-1).alias("step")))
+    moments = events.filter(F.col("genre").isNotNull() & F.col("event_ts").isNotNull()).select("user_id", "genre", F.inline(steps))
+    moments = moments.groupBy("user_id", "genre", "at").agg(F.sum("step").alias("step")).filter(F.col("step") != 0)
+    if splits is None or not splits.any_hot:
+        return moments.withColumn(CHUNK, F.lit(0)).groupBy("user_id", CHUNK).applyInArrow(_walk, CHANGES)
+    moments = stored(splits.assign(moments, F.col("at"), F.lit("")).select("user_id", CHUNK, "genre", "at", "step"))
+    return moments.unionByName(_left_over(moments)).groupBy("user_id", CHUNK).applyInArrow(_walk, CHANGES)
+
+
+def _left_over(moments: DataFrame) -> DataFrame:
+    """Counts at the start of each later chunk of a user, as steps at no moment."""
+    chunks = moments.groupBy("user_id", CHUNK, "genre").agg(F.sum("step").alias("step"))
+    of_user = moments.groupBy("user_id").agg(F.max(CHUNK).alias("_last")).filter(F.col("_last") > 0)
+    up_to = before_chunk(["user_id", "genre"])
+    running = chunks.join(of_user, "user_id").withColumn("_count", F.col("step") + F.coalesce(F.sum("step").over(up_to), F.lit(0)))
+    following = F.lead(CHUNK).over(Window.partitionBy("user_id", "genre").orderBy(CHUNK))
+    running = running.withColumn("_until", F.coalesce(following, F.col("_last"))).filter(
+        (F.col("_count") > 0) & (F.col("_until") > F.col(CHUNK))
     )
-    return events.join(best, "event_id", "left")
+    # The count holds from the next chunk to the one where it changes, that one's start included.
+    later = F.explode(F.sequence(F.col(CHUNK) + 1, F.col("_until")))
+    return running.select("user_id", later.alias(CHUNK), "genre", F.lit(None).cast("bigint").alias("at"), F.col("_count").alias("step"))
+
+
+#: Rows that are taken out of Arrow at once.
+AT_ONCE = 65_536
+CHANGES = "user_id string, at bigint, preferred string"
+
+
+def _walk(table: pa.Table) -> pa.Table:
+    """The changes of one user, or of one chunk of a hot user."""
+    counts: dict[str, int] = {}
+    heap: list[tuple[int, str]] = []
+    found_at, found = [], []
+
+    def best() -> str | None:
+        # Entries of counts that have changed since are dropped when they come up.
+        while heap and counts[heap[0][1]] != -heap[0][0]:
+            heapq.heappop(heap)
+        return heap[0][1] if heap else None
+
+    def step(genre: str, by: int) -> None:
+        counts[genre] = counts.get(genre, 0) + by
+        if counts[genre] > 0:
+            heapq.heappush(heap, (-counts[genre], genre))
+
+    ats = table["at"]
+    for genre, by in zip(*(table.filter(ats.is_null())[c].to_pylist() for c in ("genre", "step"))):
+        step(genre, by)
+    preferred = best()
+    later = table.filter(ats.is_valid()).sort_by("at")
+    parts = (zip(*(b[c].to_pylist() for c in ("at", "genre", "step"))) for b in later.to_batches(AT_ONCE))
+    rows = chain.from_iterable(parts)
+    for at, moment in groupby(rows, key=itemgetter(0)):
+        for _, genre, by in moment:
+            step(genre, by)
+        now = best()
+        if now != preferred:
+            found_at.append(at)
+            found.append(now)
+            preferred = now
+    user = pa.array([table["user_id"][0].as_py()] * len(found), pa.string())
+    return pa.table({"user_id": user, "at": pa.array(found_at, pa.int64()), "preferred": pa.array(found, pa.string())})

@@ -272,6 +272,35 @@ odds AS (
          count(*) FILTER (has_played_before = 0 AND is_completion = 0)::DOUBLE AS d
   FROM features)"""
 
+def _newton(c: float, rounds: int = 12) -> str:
+    """Two features and an intercept, a step of Newton's method per round; the 3 x 3 system by Cramer's rule."""
+    steps = ["""
+gappy AS (
+  SELECT event_id, has_played_before::DOUBLE AS x1, is_completion AS y,
+         CASE WHEN CAST(event_id AS BIGINT) % 7 <> 0 THEN playback_position_ratio END AS x2 FROM features),
+rows_of AS MATERIALIZED (
+  SELECT event_id, x1, coalesce(x2, avg(x2) OVER ()) AS x2, y,
+         count(*) OVER () / (2.0 * count(*) OVER (PARTITION BY y)) AS w FROM gappy),
+b0 AS (SELECT 0::DOUBLE AS w1, 0::DOUBLE AS w2, 0::DOUBLE AS w3)"""]
+    for k in range(rounds):
+        steps.append(f"""
+sums{k} AS MATERIALIZED (
+  SELECT sum(w * (p - y) * x1) + any_value(w1) / {c} AS g1, sum(w * (p - y) * x2) + any_value(w2) / {c} AS g2,
+         sum(w * (p - y)) AS g3, sum(q * x1 * x1) + 1 / {c} AS a, sum(q * x1 * x2) AS b, sum(q * x1) AS c,
+         sum(q * x2 * x2) + 1 / {c} AS d, sum(q * x2) AS e, sum(q) AS f, any_value(w1) AS w1, any_value(w2) AS w2, any_value(w3) AS w3
+  FROM (SELECT *, w * p * (1 - p) AS q FROM (
+    SELECT *, 1 / (1 + exp(-(w1 * x1 + w2 * x2 + w3))) AS p FROM rows_of, b{k}))),
+b{k + 1} AS MATERIALIZED (
+  SELECT w1 - (g1 * (d * f - e * e) - b * (g2 * f - e * g3) + c * (g2 * e - d * g3)) / det AS w1,
+         w2 - (a * (g2 * f - e * g3) - g1 * (b * f - e * c) + c * (b * g3 - g2 * c)) / det AS w2,
+         w3 - (a * (d * g3 - g2 * e) - b * (b * g3 - g2 * c) + g1 * (b * e - d * c)) / det AS w3
+  FROM (SELECT *, a * (d * f - e * e) - b * (b * f - e * c) + c * (b * e - d * c) AS det FROM sums{k}))""")
+    return ",".join([*steps, f"""
+optimum AS (SELECT * FROM b{rounds})"""])
+
+
+_PENALISED = _newton(0.001)
+
 # A fixed score in [0, 1] per event, to check the metrics without a model.
 _SCORED_BODY = """
 scored AS (
@@ -464,4 +493,36 @@ UNION ALL SELECT NULL, 0.0, 0.0""",
         "SELECT CASE WHEN playback_position < 0 THEN 'not_json' ELSE 'missing_key' END AS problem, "
         "count(*) AS n_messages FROM raw WHERE playback_position < 0 OR device IS NULL GROUP BY 1",
     ),
+    "model_gradient": _query(
+        [*_FEATURES, _TRAIN],
+        f"""SELECT DISTINCT feature, 0.0::DOUBLE AS slope FROM (
+  SELECT unnest({list(NUMERIC)}) AS feature
+  UNION ALL
+  SELECT concat(name, '_', category) FROM train UNPIVOT (category FOR name IN ({', '.join(CATEGORICAL)})))""",
+    ),
+    "penalised_regression": _query(
+        [*_FEATURES, _PENALISED],
+        "SELECT unnest(['has_played_before', 'playback_position_ratio', '(intercept)']) AS feature, "
+        "round(unnest([w1, w2, w3]), 6) AS coefficient FROM optimum",
+    ),
+    "penalised_predictions": _query(
+        [*_FEATURES, _PENALISED],
+        "SELECT event_id, round(1 / (1 + exp(-(w1 * x1 + w2 * x2 + w3))), 6) AS predicted_completion_probability "
+        "FROM rows_of, optimum",
+    ),
+    "history_in_parts": _query(
+        [*_SESSION_STACK, _COMPLETION, _RECENT, _ACTIVITY, _ENGAGEMENT, _VIEW_RATIO, _PLAYED, _TIMING],
+        "SELECT event_id, user_activity_level, user_content_engagement, average_viewing_duration_ratio, "
+        "has_played_before, time_since_last_event FROM activity LEFT JOIN engagement USING (event_id) "
+        "JOIN view_ratio USING (event_id) JOIN played USING (event_id) JOIN timing USING (event_id)",
+    ),
+    "inserted_by_key": _query([_RAW, _CLEAN], "SELECT * FROM clean"),
+    "loaded_from_the_catalog": "SELECT c_mktsegment AS plan_tier, count(*) AS n_users FROM customer GROUP BY 1",
+    "stored_time_ranges": _query(
+        _EV_STACK, "SELECT count(*) AS n_rows, 0::BIGINT AS n_overlaps, true AS in_many_files FROM ev"
+    ),
+    "cleaning_counts": _query(
+        [_RAW, _CHECKED.format(source="raw")],
+        "SELECT count(*) AS rows_read, count(*) FILTER (reject_reason IS NULL) AS rows_valid FROM checked",
+    ),
 }

@@ -40,7 +40,7 @@ def clean(spark: SparkSession, keep_rejected: bool = False) -> dict[str, int]:
     ``keep_rejected`` stores the other rows, each with its reason. Returns how many rows were read and
     how many of them were valid.
     """
-    store.create_table(spark, CLEANED, schemas.CLEANED_EVENTS)
+    store.create_table(spark, CLEANED, schemas.CLEANED_EVENTS, bucket_by="event_id")
     raw = spark.table(RAW).select(*schemas.EVENT_COLUMNS)
     if keep_rejected:
         store.save_table(cleaning.rejected_events(raw), REJECTED)
@@ -86,8 +86,13 @@ def history_tables(
 
 
 def features(
-    spark: SparkSession, as_of: datetime.date | None = None, intermediates: bool = False, replace: bool = True
+    spark: SparkSession,
+    as_of: datetime.date | None = None,
+    intermediates: bool = False,
+    replace: bool = True,
+    ranges: int | None = None,
 ) -> None:
+    """``ranges`` of time are stored, each a file; as many as a shuffle has partitions by default."""
     enriched = spark.table(ENRICHED)
     hot = feature_table.find_hot_keys(enriched)
     genre_list = genres.genre_names(enriched)
@@ -100,7 +105,9 @@ def features(
         for name, table in history_tables(enriched, genre_list, hot).items():
             store.save_table(table, name, replace)
     final = feature_table.completion_prediction_features(enriched, genre_list, as_of, hot)
-    store.save_table(store.by_time(final), FEATURES, replace)
+    # The features have the events' moments, and those are stored.
+    bounds = store.time_bounds(enriched, ranges or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    store.save_table(store.by_time(final, bounds), FEATURES, replace)
 
 
 def train(spark: SparkSession, model_path: str, test_size: float = 0.2) -> model.Evaluation:

@@ -6,16 +6,19 @@ import datetime
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from playthrough import schemas
 from playthrough.functions import metrics, scalar
-from playthrough.operators import cleaning, enrich, features, genres, ordering, sessions, tables
+from playthrough.operators import cleaning, enrich, features, genres, increments, ordering, sessions, tables
 from playthrough.operators.keysplits import CHUNK_ROWS
 from playthrough.oracle import AS_OF
-from playthrough.plans import model
+from playthrough.plans import jobs, model
 from playthrough.sources import messages, testtables
-from playthrough.sources.checkpoint import materialize, shared_folder
+from playthrough.sources import tables as store
+from playthrough.sources.checkpoint import materialize, shared_folder, stored
+from playthrough.sources.commits import CommittedTable
 from playthrough.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +50,11 @@ class Inputs:
             cleaning.clean_events(self.raw), self.users, self.content, self.hot.user, self.hot.content
         )
 
+    def stored_with_genres(self, **changed: Column) -> tuple[DataFrame, list[str] | None]:
+        """The enriched events as a stored table, as the job has them, some columns changed; and their genres."""
+        enriched = stored(self.enriched.withColumns(changed) if changed else self.enriched)
+        return enriched, genres.genre_names(enriched)
+
 
 @query
 def clean_events(spark, sf_dir):
@@ -121,7 +129,8 @@ def user_engagement(spark, sf_dir):
 @query
 def user_genre_preference(spark, sf_dir):
     i = Inputs(spark, sf_dir)
-    return tables.user_genre_preference(i.enriched, genres.genre_names(i.enriched), i.hot.user)
+    enriched, names = i.stored_with_genres()
+    return tables.user_genre_preference(enriched, names, i.hot.user)
 
 
 @query
@@ -143,8 +152,8 @@ def user_genre_preference_changed_titles(spark, sf_dir):
     """Some events kept a genre that no title has any more."""
     i = Inputs(spark, sf_dir)
     renamed = F.when(F.col("event_id").cast("bigint") % 3 == 0, "renamed").otherwise(F.col("genre"))
-    enriched = i.enriched.withColumn("genre", renamed)
-    return tables.user_genre_preference(enriched, genres.genre_names(enriched), i.hot.user)
+    enriched, names = i.stored_with_genres(genre=renamed)
+    return tables.user_genre_preference(enriched, names, i.hot.user)
 
 
 @query
@@ -183,6 +192,42 @@ def content_popularity(spark, sf_dir):
     return tables.content_popularity(i.enriched, i.hot.content, i.hot.user_content)
 
 
+def _carried_histories():
+    user = {"user_activity_level": tables.one(), **tables.engagement_sums()}
+    return [
+        increments.History(("user_id",), {}, user, {}, scalar.HISTORY_MS),
+        increments.History(("content_id",), tables.stop_sums(), {}, {}),
+        increments.History(("user_id", "content_id"), {"_earlier": tables.one()}, {}, {"_prev": F.col("event_ts")}),
+    ]
+
+
+@query
+def history_in_parts(spark, sf_dir):
+    """Four runs over the events of a part of the time each, with what the runs before have left, read from files."""
+    events = stored(Inputs(spark, sf_dir).enriched)
+    histories = _carried_histories()
+    carried = [None] * len(histories)
+    bounds, parts = [None, *INGEST_BATCH_STARTS, None], None
+    for first, end in zip(bounds, bounds[1:]):
+        new = events if first is None else events.filter(F.col("event_ts") >= first)
+        new = new if end is None else new.filter(F.col("event_ts") < end)
+        rows = new
+        for history, before in zip(histories, carried):
+            rows = increments.history_since(rows, history, before)
+        parts = rows if parts is None else parts.unionByName(rows)
+        if end is not None:
+            made = [increments.carry(new, end, h, before) for h, before in zip(histories, carried)]
+            carried = [c.save(_new_folder(spark, "carry")) for c in made]
+    return parts.select(
+        "event_id",
+        F.col("user_activity_level").cast("bigint").alias("user_activity_level"),
+        F.when(F.col("user_activity_level") > 0, tables.engagement()).alias("user_content_engagement"),
+        tables.stop_ratio().alias("average_viewing_duration_ratio"),
+        F.when(F.col("_earlier") > 0, 1).otherwise(0).alias("has_played_before"),
+        (F.col("event_ts") - F.coalesce("_prev", F.lit(0))).alias("time_since_last_event"),
+    )
+
+
 @query
 def user_genre_recency(spark, sf_dir):
     return tables.user_genre_recency(Inputs(spark, sf_dir).enriched)
@@ -210,7 +255,8 @@ def calendar_fields(spark, sf_dir):
 @query
 def completion_prediction_features(spark, sf_dir):
     i = Inputs(spark, sf_dir)
-    return features.completion_prediction_features(i.enriched, genres.genre_names(i.enriched), AS_OF_DATE, i.hot)
+    enriched, names = i.stored_with_genres()
+    return features.completion_prediction_features(enriched, names, AS_OF_DATE, i.hot)
 
 
 @query
@@ -218,22 +264,24 @@ def completion_prediction_features_unknown_years(spark, sf_dir):
     """A title without a release year: its events count as history, but are no rows of the table."""
     i = Inputs(spark, sf_dir)
     known = F.when(F.col("content_id") != "3", F.col("release_year"))
-    enriched = i.enriched.withColumn("release_year", known)
-    return features.completion_prediction_features(enriched, genres.genre_names(enriched), AS_OF_DATE, i.hot)
+    enriched, names = i.stored_with_genres(release_year=known)
+    return features.completion_prediction_features(enriched, names, AS_OF_DATE, i.hot)
 
 
 @query
 def completion_prediction_features_hot_keys(spark, sf_dir):
     """The same with chunks of so few rows that users and titles are hot and get cut."""
     i = Inputs(spark, sf_dir, chunk_rows=50)
-    return features.completion_prediction_features(i.enriched, genres.genre_names(i.enriched), AS_OF_DATE, i.hot)
+    enriched, names = i.stored_with_genres()
+    return features.completion_prediction_features(enriched, names, AS_OF_DATE, i.hot)
 
 
 @query
 def completion_prediction_features_hot_pairs(spark, sf_dir):
     """With chunks so small that pairs of user and title are cut as well."""
     i = Inputs(spark, sf_dir, chunk_rows=10)
-    return features.completion_prediction_features(i.enriched, genres.genre_names(i.enriched), AS_OF_DATE, i.hot)
+    enriched, names = i.stored_with_genres()
+    return features.completion_prediction_features(enriched, names, AS_OF_DATE, i.hot)
 
 
 def _scored(spark, sf_dir):
@@ -322,19 +370,18 @@ def _ingested(spark, sf_dir, remember_days=None):
 
 @query
 def streaming_ingest(spark, sf_dir):
-    return spark.read.parquet(_ingested(spark, sf_dir) + "/events").drop("batch_id", "arrival_day")
+    return ingest.stored_events(spark, _ingested(spark, sf_dir) + "/events").drop("arrival_day")
 
 
 @query
 def streaming_ingest_remembered(spark, sf_dir):
     """Ids are looked up among those that arrived since yesterday only."""
-    stored = spark.read.parquet(_ingested(spark, sf_dir, remember_days=1) + "/events")
-    return stored.drop("batch_id", "arrival_day")
+    return ingest.stored_events(spark, _ingested(spark, sf_dir, remember_days=1) + "/events").drop("arrival_day")
 
 
 @query
 def streaming_quarantine(spark, sf_dir):
-    found = spark.read.parquet(_ingested(spark, sf_dir) + "/quarantine")
+    found = CommittedTable(spark, _ingested(spark, sf_dir) + "/quarantine").read()
     return found.groupBy("problem").agg(F.count(F.lit(1)).alias("n_messages"))
 
 
@@ -352,9 +399,9 @@ def one_hot_totals(spark, sf_dir):
 @query
 def predicted_completion(spark, sf_dir):
     """Train on the oldest four fifths of the features, score all of them."""
-    stored = _stored_features(spark, sf_dir)
-    train, _ = ordering.chronological_split(model.labelled(stored))
-    return model.score(model.fit(train), stored)
+    rows = _stored_features(spark, sf_dir)
+    train, _ = ordering.chronological_split(model.labelled(rows))
+    return model.score(model.fit(train), rows)
 
 
 @query
@@ -426,3 +473,113 @@ def coefficient_names(spark, sf_dir):
     """Order and names of all coefficients: numbers in table order, then categories by name."""
     train, _ = model.split(_stored_features(spark, sf_dir))
     return model.coefficients(spark, model.fit(train, max_iter=1)).select("position", "feature")
+
+
+@query
+def model_gradient(spark, sf_dir):
+    """How far each coefficient is from the optimum: the loss's slope, as a share of what the feature adds up to.
+
+    Made from the features and the coefficients alone. The loss is convex, so no other coefficients have slope 0.
+    """
+    train, _ = model.split(_stored_features(spark, sf_dir))
+    fitted = model.fit(train, tol=1e-13)
+    numeric, categorical = model.model_inputs(fitted)
+    means = fitted.stages[0].surrogateDF.first()
+    weighted, _ = model.balanced(model.apply(fitted, train))
+    error = F.col("class_weight") * (F.col(model.PROBABILITY) - F.col("label"))
+    sums = []
+    for r in model.coefficients(spark, fitted).collect():  # a row per feature
+        name = r["feature"]
+        if name in numeric:
+            value = F.coalesce(F.col(name).cast("double"), F.lit(means[name]))
+        else:
+            column = next(c for c in categorical if name.startswith(f"{c}_"))
+            value = F.when(F.col(column) == name.removeprefix(f"{column}_"), 1.0).otherwise(0.0)
+        slope = F.sum(error * value) + r["coefficient"]
+        sums.append(F.abs(slope / F.sum(F.col("class_weight") * F.abs(value))).alias(name))
+    return weighted.agg(*sums).unpivot([], [*weighted.agg(*sums).columns], "feature", "slope").select(
+        "feature", F.round("slope", 6).alias("slope")
+    )
+
+
+PENALISED = ["has_played_before", "playback_position_ratio"]
+
+
+def _penalised(spark, sf_dir):
+    """Two numbers, one with gaps, with class weights and a penalty that is felt."""
+    rows = materialize(completion_prediction_features(spark, sf_dir).select("event_id", *PENALISED, "is_completion"))
+    gaps = F.when(F.col("event_id").cast("bigint") % 7 != 0, F.col(PENALISED[1])).alias(PENALISED[1])
+    rows = rows.select("event_id", PENALISED[0], gaps, "is_completion")
+    return rows, model.fit(model.labelled(rows), c=0.001, tol=1e-14)
+
+
+@query
+def penalised_regression(spark, sf_dir):
+    _, fitted = _penalised(spark, sf_dir)
+    weights = model.coefficients(spark, fitted).select("feature", "coefficient")
+    intercept = spark.createDataFrame([("(intercept)", float(fitted.stages[-1].intercept))], weights.schema)
+    return weights.unionByName(intercept).select("feature", F.round("coefficient", 6).alias("coefficient"))
+
+
+@query
+def penalised_predictions(spark, sf_dir):
+    """The same model's predictions, saved and read again."""
+    rows, fitted = _penalised(spark, sf_dir)
+    path = _new_folder(spark, "predictions")
+    store.save_predictions(model.score(fitted, rows), path)
+    found = spark.read.parquet(path)
+    return found.select("event_id", F.round(model.PROBABILITY, 6).alias(model.PROBABILITY))
+
+
+def _new_table(spark, schema, **options):
+    """A table of the catalog in a folder of its own."""
+    name = f"playthrough_{uuid.uuid4().hex}"
+    store.create_table(spark, name, schema, location=_new_folder(spark, "table"), **options)
+    return name
+
+
+@query
+def inserted_by_key(spark, sf_dir):
+    """Cleaned events, appended to a bucketed table of the catalog in three overlapping batches."""
+    name = _new_table(spark, schemas.CLEANED_EVENTS, bucket_by="event_id", buckets=8)
+    events = cleaning.clean_events(testtables.raw_events(spark, sf_dir))
+    for until in (INGEST_BATCH_STARTS[1], INGEST_BATCH_STARTS[2], None):
+        store.append_new(events if until is None else events.filter(F.col("event_ts") < until), name)
+    return spark.table(name)
+
+
+@query
+def loaded_from_the_catalog(spark, sf_dir):
+    """A stored result that is kept when it should not be replaced, read by a query."""
+    name = f"playthrough_{uuid.uuid4().hex}"
+    i = Inputs(spark, sf_dir)
+    store.save_table(i.users.select("user_id", "plan_tier"), name)
+    store.save_table(i.users.select("user_id", F.lit("none").alias("plan_tier")), name, replace=False)
+    found = stored(store.load(spark, f"SELECT plan_tier, count(*) AS n_users FROM {name} GROUP BY plan_tier"))
+    spark.sql(f"DROP TABLE {name}")
+    return found
+
+
+@query
+def stored_time_ranges(spark, sf_dir):
+    """Files of a table stored by time: how many rows, and how many files begin before the one before them ends."""
+    enriched = stored(Inputs(spark, sf_dir).enriched)
+    path = _new_folder(spark, "by-time")
+    store.by_time(enriched, store.time_bounds(enriched, 12)).write.parquet(path)
+    files = spark.read.parquet(path).groupBy(F.input_file_name().alias("file")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("event_ts").alias("low"), F.max("event_ts").alias("high")
+    )
+    before = F.max("high").over(Window.orderBy("low", "high").rowsBetween(Window.unboundedPreceding, -1))  # a row per file
+    return files.withColumn("overlap", F.col("low") < before).agg(
+        F.sum("n").alias("n_rows"), F.count_if("overlap").alias("n_overlaps"), (F.count(F.lit(1)) > 6).alias("in_many_files")
+    )
+
+
+@query
+def cleaning_counts(spark, sf_dir):
+    """Rows read and kept, counted while the job's result is written."""
+    raw, read = jobs.counted(testtables.raw_events(spark, sf_dir), f"read_{uuid.uuid4().hex}")
+    valid, kept = jobs.counted(cleaning.valid_events(raw), f"valid_{uuid.uuid4().hex}")
+    valid.write.parquet(_new_folder(spark, "valid"))
+    (n_read,), (n_valid,) = read.get.values(), kept.get.values()
+    return spark.createDataFrame([(n_read, n_valid)], "rows_read bigint, rows_valid bigint")

@@ -181,3 +181,32 @@ def test_the_plan_shuffles_twice(spark, tmp_path):
     assert plan.count("Sort [") == 4
     assert "Join" not in plan
     assert "email" not in plan[plan.index("ReadSchema") :]
+
+
+@pytest.mark.parametrize("chunk_rows", [10**6, 40])
+def test_preference_by_changes_equals_counting(spark, chunk_rows):
+    """Ties, gaps of exactly thirty days, genres that come and go; with users cut into chunks and without."""
+    import random
+
+    from playthrough.functions.scalar import HISTORY_MS
+    from playthrough.operators.genres import with_genre_preference
+    from playthrough.operators.keysplits import find_splits
+
+    rng = random.Random(4)
+    names = [None, *[f"g{k}" for k in range(40)]]
+    rows = []
+    for i in range(700):
+        user = "u0" if rng.random() < 0.6 else f"u{rng.randrange(1, 9)}"
+        ts = rng.choice([0, HISTORY_MS // 2]) + HISTORY_MS // 6 * rng.randrange(12) + rng.choice([0, 0, 1])
+        rows.append((f"e{i}", ts, user, rng.choice(names[:4]) if rng.random() < 0.5 else rng.choice(names)))
+    events = spark.createDataFrame(rows, "event_id string, event_ts bigint, user_id string, genre string").repartition(5)
+    splits = find_splits(events, ["user_id"], reach=HISTORY_MS, chunk_rows=chunk_rows)
+    assert splits.any_hot == (chunk_rows == 40)
+    got = {r["event_id"]: r["user_genre_preference"] for r in with_genre_preference(events, None, splits).collect()}
+    assert len(got) == 700
+    for i, ts, user, _ in rows:
+        counts = {}
+        for _, t, u, g in rows:
+            if u == user and g is not None and ts - HISTORY_MS <= t < ts:
+                counts[g] = counts.get(g, 0) + 1
+        assert got[i] == (min(counts, key=lambda g: (-counts[g], g)) if counts else None), (i, ts, user)

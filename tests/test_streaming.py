@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from playthrough.schemas import EVENT_COLUMNS
 from playthrough.sources import messages
+from playthrough.sources.commits import CommittedTable
 from playthrough.streaming import ingest as stream
 
 GOOD = {
@@ -145,6 +146,66 @@ def test_ingest_with_remembered_days(spark, tmp_path):
     assert spark.read.parquet(f.quarantine).count() == 2
 
 
+def test_many_batches_read_nothing_that_is_stored(spark, tmp_path, monkeypatch):
+    """Twenty batches, each with an old id again: the ids are in the state, and the folders stay few."""
+    read = []
+    whole = CommittedTable.read
+
+    def counting(self, folders=None):
+        found = whole(self, folders)
+        read.append(0 if found is None else found.count())
+        return found
+
+    monkeypatch.setattr(CommittedTable, "read", counting)
+    f = Folders(tmp_path)
+    for k in range(20):
+        f.add(f"{k:02d}", line(event_id=f"e{k}", event_ts=k), line(event_id=f"e{k // 2}", event_ts=100), "broken")
+    f.run(spark)
+    # A batch without a new id, if its file came late, does not even ask.
+    assert 15 <= len(read) <= 20 and sum(read) == 0
+    monkeypatch.undo()
+    table = CommittedTable(spark, f.table)
+    assert sorted(r["event_id"] for r in stream.stored_events(spark, f.table).collect()) == sorted(f"e{k}" for k in range(20))
+    assert len(table.folders()) <= 8 + 20 // 8 and CommittedTable(spark, f.quarantine).read().count() == 20
+
+
+def test_what_other_streams_have_stored_is_looked_up(spark, tmp_path):
+    f, g = Folders(tmp_path), None
+    f.add("a", line(event_id="a", event_ts=1), line(event_id="b", event_ts=1))
+    f.run(spark)
+    g = Folders.__new__(Folders)
+    g.source, g.table, g.quarantine, g.checkpoint = tmp_path / "in2", f.table, f.quarantine, str(tmp_path / "ck2")
+    g.source.mkdir()
+    g.add("a", line(event_id="a", event_ts=2), line(event_id="c", event_ts=2))
+    g.run(spark, stream="second")
+    assert f.stored(spark) == [("a", 1), ("b", 1), ("c", 2)]
+
+
+def test_of_an_id_in_one_batch_the_oldest_event_stays(spark, tmp_path):
+    f = Folders(tmp_path)
+    f.add("a", *[line(event_id="x", event_ts=t, device=f"d{t}") for t in (5, 3, 9)], line(event_id="y", event_ts=None))
+    f.run(spark)
+    f.add("b", line(event_id="x", event_ts=1), line(event_id="y", event_ts=1))
+    f.run(spark)
+    rows = {r["event_id"]: (r["event_ts"], r["device"]) for r in stream.stored_events(spark, f.table).collect()}
+    assert rows == {"x": (3, "d3"), "y": (None, "tv")}
+
+
+def test_state_on_disk(spark, tmp_path):
+    for key, value in stream.STATE_STORE.items():
+        spark.conf.set(key, value)
+    try:
+        f = Folders(tmp_path)
+        f.add("a", line(event_id="a", event_ts=1))
+        f.run(spark)
+        f.add("b", line(event_id="a", event_ts=2), line(event_id="b", event_ts=2))
+        f.run(spark)
+        assert f.stored(spark) == [("a", 1), ("b", 2)]
+    finally:
+        for key in stream.STATE_STORE:
+            spark.conf.unset(key)
+
+
 def test_publish_keeps_lines(spark, tmp_path):
     source, sink = tmp_path / "lines.json", str(tmp_path / "topic")
     source.write_text(line(event_id="a") + "\n" + line(event_id="b") + "\n")

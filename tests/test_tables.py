@@ -1,9 +1,11 @@
 """Stored tables."""
 
 import pytest
+from pyspark.sql import functions as F
 from frames import T0, enriched, random_events
 
 from playthrough import schemas
+from playthrough.schemas import CLEANED_EVENTS, EVENT_COLUMNS
 from playthrough.sources import tables
 
 
@@ -86,3 +88,48 @@ def test_database_scan_is_split_by_time(spark):
     reader = tables.jdbc_reader(spark, "jdbc:none:", "events", lower_ms=0, upper_ms=9, partitions=3, user="me")
     with pytest.raises(Exception, match="(?i)driver|jdbc"):  # no driver here
         reader.load()
+
+
+def test_files_by_given_bounds(spark, tmp_path):
+    """A moment with a third of the rows fills several ranges; every file is a range of time."""
+    events = enriched(spark, random_events(9, 600))
+    bounds = tables.time_bounds(events, 12)
+    assert len(bounds) == 11 and bounds == sorted(bounds) and len(set(bounds)) < 11
+    path = str(tmp_path / "t")
+    tables.by_time(events, bounds).write.parquet(path)
+    files = spark.read.parquet(path).groupBy(F.input_file_name()).agg(F.min("event_ts").alias("a"), F.max("event_ts").alias("b"), F.count("*").alias("n"))
+    files = sorted((r["a"], r["b"], r["n"]) for r in files.collect())
+    assert sum(n for *_, n in files) == 600 and len(files) > 6 and max(n for *_, n in files) < 200
+    assert all(after[0] >= before[1] for before, after in zip(files, files[1:]))
+
+
+def test_bounds_of_nothing(spark):
+    none = enriched(spark, random_events(9, 5)).limit(0)
+    assert tables.time_bounds(none, 4) == [] and tables.time_bounds(none, 1) == []
+    assert tables.by_time(none, []).count() == 0
+    assert tables.by_time(enriched(spark, random_events(9, 50)), []).count() == 50
+
+
+def test_only_the_batch_is_shuffled_to_a_bucketed_table(spark, tmp_path):
+    name = "bucketed_events"
+    tables.create_table(spark, name, CLEANED_EVENTS, bucket_by="event_id", buckets=4, location=str(tmp_path / "b"))
+    try:
+        assert tables.bucket_count(spark, name, "event_id") == 4 and tables.bucket_count(spark, name, "user_id") is None
+        batch = enriched(spark, random_events(3, 200)).select(*EVENT_COLUMNS)
+        tables.append_new(batch.filter("event_ts % 3 = 0"), name)
+        with_join = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+        before = {k: spark.conf.get(k) for k in with_join}
+        for k, v in with_join.items():
+            spark.conf.set(k, v)
+        try:
+            plan = tables.new_rows(batch, name)._jdf.queryExecution().executedPlan().toString()
+        finally:
+            for k, v in before.items():
+                spark.conf.set(k, v)
+        batch_side, target_side = plan[: plan.rindex("Sort [")], plan[plan.rindex("Sort [") :]
+        assert "SortMergeJoin" in plan and "Bucketed: true" in target_side, plan
+        assert "Exchange" not in target_side and "Exchange" in batch_side, plan
+        tables.append_new(batch.union(batch), name)
+        assert spark.table(name).count() == spark.table(name).select("event_id").distinct().count() == 200
+    finally:
+        spark.sql(f"DROP TABLE {name}")
