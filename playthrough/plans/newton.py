@@ -27,6 +27,8 @@ FIRST_LEVEL = 64
 ROWS_AT_ONCE = 2048
 #: Times a step is halved that does not lower the loss.
 HALVINGS = 30
+#: A gain below this share of the loss is near the optimum; there, steps that are taken without a look at the loss.
+NEAR, POLISHED = 1e-7, 2
 #: Directions of less curvature than this, relative to the largest, are flat: the coefficients stay as they are.
 FLAT = 1e-14
 
@@ -135,14 +137,21 @@ def fit(design: DataFrame, c: float = 1.0, max_iter: int = 100, tol: float = 1e-
         loss = sums[0] + 0.5 * (penalty * at) @ at
         return loss, sums[1 : 1 + n] + penalty * at, gram + np.diag(penalty)
 
-    weights, passes, converged = np.zeros(n), 1, False
+    weights, passes, converged, polished = np.zeros(n), 1, False, 0
     loss, gradient, gram = measured(weights)
     while passes <= max_iter:
         step = _solved(gram, gradient)
-        if step @ gradient <= tol * max(abs(loss), 1e-300):
+        gain = step @ gradient
+        if gain <= tol * max(abs(loss), 1e-300) or polished == POLISHED:
             # Too little left for another pass; the step itself is still an improvement to second order.
             weights, converged = weights - step, True
             break
+        if gain <= NEAR * max(abs(loss), 1e-300):
+            # So near that each step squares the distance, and that the loss may not show it.
+            weights, polished = weights - step, polished + 1
+            loss, gradient, gram = measured(weights)
+            passes += 1
+            continue
         for _ in range(HALVINGS):
             tried = measured(weights - step)
             passes += 1
