@@ -160,7 +160,7 @@ def near_duplicates(embeddings: DataFrame, least_cosine: float = LEAST_COSINE) -
 
     Equal vectors are compared once and count with their number. Vectors that are null, empty, zero, or hold a null
     or a number that is not finite link with nothing; so do vectors of different lengths with each other. Rows that
-    repeat an id count as vectors of their own for others. Other columns, labels too, are ignored; an empty table gives an empty result.
+    repeat an id are vectors of their own. Other columns, labels too, are ignored; an empty table gives an empty result.
     """
     spark = embeddings.sparkSession
     ship_code(spark)
@@ -171,10 +171,11 @@ def near_duplicates(embeddings: DataFrame, least_cosine: float = LEAST_COSINE) -
     usable = F.coalesce(finite & F.exists("embedding", lambda v: v != 0) & F.col("vec_id").isNotNull(), F.lit(False))
     rows = store(rows.withColumn("usable", usable), "vectors")
     classes = rows.filter("usable").groupBy("embedding").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("copies"))
-    classes = store(classes, "classes")
+    # Numbers of their own, as two different vectors may have the same id.
+    classes = store(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
     per_half, share = codes_for(classes.count())
 
-    source = classes.select("first", "copies", "embedding")
+    source = classes.select("class", "copies", "embedding")
     numbers = source.mapInArrow(_decode(per_half, share, dtype, True), "direction long")
     crowded = numbers.groupBy("direction").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > BLOCK)
     crowded = store(crowded.select("direction", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "crowded")
@@ -189,16 +190,20 @@ def near_duplicates(embeddings: DataFrame, least_cosine: float = LEAST_COSINE) -
     links = found.groupBy("vec_id").agg(F.sum("links").alias("links"))
     edges = found.select(F.col("vec_id").alias("a"), F.col("root").alias("b"))
     roots = components(edges).withColumnRenamed("node", "of_root")
-    per_class = classes.join(links, classes["first"] == links["vec_id"], "left").drop("vec_id")
-    per_class = per_class.join(roots, per_class["first"] == roots["of_root"], "left")
+    per_class = classes.join(links, classes["class"] == links["vec_id"], "left").drop("vec_id")
+    per_class = per_class.join(roots, per_class["class"] == roots["of_root"], "left")
     per_class = store(
         per_class.select(
             F.col("embedding").alias("of"),
+            "first",
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            F.coalesce("component", "first").alias("component_id"),
+            F.coalesce("component", "class").alias("component"),
         ),
         "per-class",
     )
+    # A component of classes becomes one of vectors: known by the smallest id of any vector in it.
+    smallest = store(per_class.groupBy("component").agg(F.min("first").alias("component_id")), "smallest")
+    per_class = per_class.join(smallest, "component")
     linked = rows.filter("usable").join(per_class, F.col("embedding") == F.col("of")).select("vec_id", "n_links", "component_id")
     alone = rows.filter("not usable").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     every = linked.unionByName(alone)

@@ -283,5 +283,23 @@ def test_tied_directions_do_not_add_up():
     assert len(cap_filters.passed_directions(np.ones(1), cap_filters._codebooks(1, per_half), share)) == cap_filters.PASSED
 
 
+def test_vectors_that_share_an_id_have_links_of_their_own(spark):
+    near = [0.99, 0.1, 0.0, 0.0]
+    rows = [(1, [1.0, 0.0, 0.0, 0.0]), (1, [0.0, 1.0, 0.0, 0.0]), (2, near), (3, [0.1, 0.99, 0.0, 0.0]), (3, near), (0, [0.0, 0.0, 1.0, 0.0])]
+    rows += [(7, [0.0, 0.0, 0.0, 1.0]), (7, [0.0, 0.0, 0.1, 0.99])]
+    got = cap_filters.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    x = np.array([np.float32(e) for _, e in rows], dtype=np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    close = x @ x.T >= 0.95
+    sets = Sets(range(len(rows)))
+    for a, b in zip(*np.nonzero(close)):
+        sets.join(int(a), int(b))
+    smallest = {}
+    for k, (i, _) in enumerate(rows):
+        smallest[sets.root(k)] = min(i, smallest.get(sets.root(k), i))
+    want = sorted((i, int(close[k].sum()) - 1, smallest[sets.root(k)]) for k, (i, _) in enumerate(rows))
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == want
+
+
 def test_embeddings_of_nothing(spark):
     assert cap_filters.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
