@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playthrough.llm.common import store, text_or_empty
-from playthrough.llm.spans import count_of, labelled, overlaps, with_spans, written
+from playthrough.llm.spans import apart, count_of, labelled, with_spans, written
 
 #: Fixed patterns. Possessive where nothing could be given back; an address can begin where the one before ended.
 PATTERNS = {
@@ -39,6 +39,8 @@ LEAST_SCORE = 0.8
 LEAST_SUPPORT = 3
 #: Context words with more characters are kept as a digest.
 LONGEST_WORD = 40
+#: Patterns that are sent to every task, at most; with more, the words are shuffled.
+FEW_PATTERNS = 100_000
 #: Bits of the lower bound on a pattern's ordinary words, in masks of 64.
 MASKS = 4
 
@@ -81,10 +83,9 @@ def scan(docs: DataFrame) -> DataFrame:
     for kind, check in CHECKS.items():
         found = found.withColumn(kind, F.filter(kind, lambda s: check(s["hit"])))
     fixed = F.concat(*PATTERNS)
-    free = F.filter("candidate", lambda s: ~overlaps(s, F.col("fixed")))
-    found = found.withColumn("fixed", fixed).withColumn("candidate", free)
-    beside = F.filter("piece", lambda s: ~overlaps(s, F.concat("fixed", "candidate")))
-    found = found.withColumn("candidate", F.concat("candidate", beside))
+    found = apart(found.withColumn("fixed", fixed), "candidate", F.col("fixed"))
+    found = apart(found, "piece", F.concat("fixed", "candidate"))
+    found = found.withColumn("candidate", F.concat("candidate", "piece"))
     return found.select("doc_id", *PATTERNS, "candidate")
 
 
@@ -152,7 +153,9 @@ def ordinary_words(docs: DataFrame, graph: DataFrame) -> DataFrame:
     bound = store(bound.join(instances, "pattern"), "bounds")
     possible = F.col("n") >= LEAST_SCORE * (F.col("n") + F.col("least"))
     open_ = bound.filter(possible).select("pattern")
-    words = edges.join(F.broadcast(open_), "pattern").groupBy("pattern").agg(F.countDistinct("word").alias("others"))
+    if open_.count() <= FEW_PATTERNS:
+        open_ = F.broadcast(open_)
+    words = edges.join(open_, "pattern").groupBy("pattern").agg(F.countDistinct("word").alias("others"))
     return store(words.unionByName(bound.filter(~possible).select("pattern", F.col("least").alias("others"))), "others")
 
 

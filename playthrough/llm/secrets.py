@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playthrough.llm.common import store, text_or_empty
-from playthrough.llm.spans import count_of, labelled, overlaps, with_spans, written
+from playthrough.llm.spans import apart, count_of, labelled, with_spans, written
 
 _VALUE = "[A-Za-z0-9+/_.=-]"
 #: Fixed patterns. Runs too short to count cannot match; an assignment is checked afterwards, since what it
@@ -33,7 +33,8 @@ ENCODINGS = (
     ("^[A-Z2-7]+=*$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
     ("^[0-9a-z]+$", "0123456789abcdefghijklmnopqrstuvwxyz"),
     ("^[0-9A-Z]+$", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
-    ("_|-", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
+    ("^[^+/]*[_-][^+/]*$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
+    ("[_-]", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_+/"),
     ("", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
 )
 FALSE_DISCOVERY_RATE = 0.05
@@ -119,11 +120,8 @@ def find_secrets(docs: DataFrame, rate: float = FALSE_DISCOVERY_RATE) -> DataFra
         F.filter("assign", lambda s: F.char_length(value(s["hit"], PATTERNS["assign"], 1)) >= LEAST_ASSIGNED),
     )
     found = found.withColumn("base", labelled(list(PATTERNS)))
-    mixed = F.filter(
-        "candidate",
-        lambda s: s["hit"].rlike("[0-9]") & s["hit"].rlike("[A-Za-z]") & ~overlaps(s, F.col("base")),
-    )
-    found = found.withColumn("candidate", mixed)
+    mixed = F.filter("candidate", lambda s: s["hit"].rlike("[0-9]") & s["hit"].rlike("[A-Za-z]"))
+    found = apart(found.withColumn("candidate", mixed), "candidate", F.col("base"))
 
     def tested(s: Column) -> Column:
         p = F.greatest(randomness_p(s["hit"]), F.lit(1e-30))

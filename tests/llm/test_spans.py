@@ -3,10 +3,12 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
-from playthrough.llm import pii, secrets
+from playthrough.llm import pii, secrets, spans
 
 SECRETS = [
     ("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m[2]) >= 6),
@@ -116,6 +118,33 @@ def test_ordinary_words_count_in_a_context(docs_of):
         assert got[50] == want
 
 
+def test_spans_apart_from_others(spark):
+    rng = random.Random(1)
+    rows = []
+    for i in range(200):
+        ends = sorted(rng.sample(range(60), 2 * rng.randrange(8)))
+        own = list(zip(ends[::2], ends[1::2]))
+        others = [(a, a + rng.randrange(0, 9)) for a in (rng.randrange(60) for _ in range(rng.randrange(6)))]
+        rows.append((i, own, others))
+    kind = "array<struct<start:bigint,end:bigint>>"
+    df = spark.createDataFrame(rows, f"i int, own {kind}, others {kind}")
+    got = {r.i: [tuple(s) for s in r.own] for r in spans.apart(df, "own", F.col("others")).collect()}
+    for i, own, others in rows:
+        assert got[i] == [s for s in own if not any(a < s[1] and s[0] < b for a, b in others)]
+
+
+@pytest.mark.parametrize("find, part", [(secrets.find_secrets, "a 0123456789abcdef01234567 b "), (pii.find_personal_data, "a 1.2.3.4 b ")])
+def test_time_follows_the_length_of_a_text(docs_of, find, part):
+    """Two megabytes of matches in one text."""
+    seconds, n = [], 2_000_000 // len(part)
+    for times in (100, n // 2, n):
+        began = time.perf_counter()
+        (row,) = find(docs_of([(1, part * times)])).select(F.size("base").alias("n"), F.element_at("base", -1)["end"].alias("end")).collect()
+        seconds.append(time.perf_counter() - began)
+        assert (row.n, row.end) == (times, len(part) * times - 3)
+    assert seconds[2] < 20 + seconds[0] and seconds[2] - seconds[0] < 4 * max(seconds[1] - seconds[0], 1)
+
+
 def test_spans_of_nothing(docs_of):
     assert secrets.digest(secrets.find_secrets(docs_of([]))).count() == 0
     assert pii.digest(pii.find_personal_data(docs_of([]))).count() == 0
