@@ -49,6 +49,8 @@ FLUSH = 3_000_000
 BLOCK = 2048
 #: Members of a list's largest component that each other member is compared with, before all pairs are.
 TRIES = 8
+#: Times that this is done, with other members each time.
+TURNS = 2
 #: Sets compared with one set in one piece.
 PARTNERS = 256
 #: Bits of the map of documents that are needed, at most.
@@ -485,20 +487,23 @@ def _columns(table: pa.Table) -> tuple[np.ndarray, ...]:
     return tuple(c[order] for c in columns)
 
 
-def _with_largest(table: pa.Table) -> pa.Table:
-    """Pairs of each member outside a list's largest component with a few members of that one."""
-    ids, sizes, short, roots = _columns(table)
-    found, counts = np.unique(roots, return_counts=True)
-    inside = roots == found[counts.argmax()]
-    others, largest = np.flatnonzero(~inside), np.flatnonzero(inside)
-    first = _mixed(ids[others].astype(np.uint64)) % np.uint64(len(largest))
-    a, b = [], []
-    for k in range(min(TRIES, len(largest))):
-        partner = largest[(first.astype(np.int64) + k * (1 + len(largest) // TRIES)) % len(largest)]
-        possible = _sizes_fit(sizes[others], sizes[partner]) & (short[np.minimum(others, partner)] == 1)
-        a.append(ids[others][possible])
-        b.append(ids[partner][possible])
-    return pa.Table.from_batches([_pairs_table(a, b)])
+def _with_largest(turn: int):
+    def pairs(table: pa.Table) -> pa.Table:
+        """Pairs of each member outside a list's largest component with a few members of that one, others each turn."""
+        ids, sizes, short, roots = _columns(table)
+        found, counts = np.unique(roots, return_counts=True)
+        inside = roots == found[counts.argmax()]
+        others, largest = np.flatnonzero(~inside), np.flatnonzero(inside)
+        first = (_mixed(ids[others].astype(np.uint64) + np.uint64(turn)) % np.uint64(len(largest))).astype(np.int64)
+        a, b = [], []
+        for k in range(min(TRIES, len(largest))):
+            partner = largest[(first + k * (1 + len(largest) // TRIES)) % len(largest)]
+            possible = _sizes_fit(sizes[others], sizes[partner]) & (short[np.minimum(others, partner)] == 1)
+            a.append(ids[others][possible])
+            b.append(ids[partner][possible])
+        return pa.Table.from_batches([_pairs_table(a, b)])
+
+    return pairs
 
 
 def _unconnected(table: pa.Table) -> pa.Table:
@@ -694,7 +699,7 @@ def _linked_sets(texts: DataFrame, sets: DataFrame, counted: DataFrame, buckets:
     stars = store(lists.select("members").mapInArrow(_with_one_member, "a long, b long").distinct(), "stars")
     links = _verified(stars, needed, grams, verify)
     tested, roots = stars, store(components(links), "roots")
-    for choose in (_with_largest, _unconnected):
+    for choose in (*map(_with_largest, range(TURNS)), _unconnected):
         rooted = members.join(roots, members["set_id"] == roots["node"], "left")
         rooted = store(rooted.select("list_id", "set_id", "n", "short", F.coalesce("component", "set_id").alias("root")), "rooted")
         open_lists = rooted.groupBy("list_id").agg(F.min("root").alias("low"), F.max("root").alias("high"))
