@@ -19,6 +19,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_parser("create-inputs", help="create the empty input tables")
     clean = job.add_parser("clean", help="add valid raw events to the cleaned ones")
     clean.add_argument("--keep-rejected", action="store_true", help="store rejected rows with their reason")
+    clean.add_argument("--oldest", type=int, help="look at so many of the oldest events that no such run has come to")
     job.add_parser("enrich", help="join the cleaned events with users and content")
     features = job.add_parser("features", help="build the feature table")
     features.add_argument("--as-of", type=datetime.date.fromisoformat, help="day content ages count to; today")
@@ -75,7 +76,7 @@ def main(argv: list[str] | None = None) -> None:
         case "create-inputs":
             jobs.create_inputs(spark)
         case "clean":
-            print(jobs.clean(spark, a.keep_rejected))
+            print(jobs.clean_oldest(spark, a.oldest) if a.oldest else jobs.clean(spark, a.keep_rejected))
         case "enrich":
             jobs.enrich_events(spark)
         case "features":

@@ -64,6 +64,29 @@ def chronological_cut(df: DataFrame, test_size: float = 0.2, sort_at_most: int |
     return row_at(df, ["event_ts", "event_id"], int(n * (1 - test_size)), n, sort_at_most)
 
 
+def next_oldest(
+    df: DataFrame, after: Row | None, k: int, order: Sequence[str] = ("event_ts", "event_id"), sort_at_most: int | None = None
+) -> tuple[DataFrame, Row | None]:
+    """The rows of the ``k`` oldest keys from ``after`` on, and the key that the next call goes on from; None at the end.
+
+    Rows of one key stay together. Rows with a null in the key have no place and are left out. Counting between pivots
+    finds the cut, so no task holds the rows, as a top-k would have it.
+    """
+    order = list(order)
+    here = F.struct(*order)
+
+    def bound(row: Row) -> Column:
+        return F.struct(*[F.lit(row[c]).cast(df.schema[c].dataType).alias(c) for c in order])
+
+    rows = df.dropna(subset=order)
+    if after is not None:
+        rows = rows.filter(here >= bound(after))
+    keys = materialize(rows.select(*order).distinct())
+    n = keys.count()
+    cut = row_at(keys, order, k, n, sort_at_most) if n > k else None
+    return (rows if cut is None else rows.filter(here < bound(cut))), cut
+
+
 def running_sums(
     df: DataFrame, order: str, sums: Mapping[str, str], totals: Mapping[str, str], ahead: Mapping[str, str]
 ) -> DataFrame:

@@ -517,6 +517,7 @@ UNION ALL SELECT NULL, 0.0, 0.0""",
         "JOIN view_ratio USING (event_id) JOIN played USING (event_id) JOIN timing USING (event_id)",
     ),
     "inserted_by_key": _query([_RAW, _CLEAN], "SELECT * FROM clean"),
+    "cleaned_in_runs": _query([_RAW, _CLEAN], "SELECT * FROM clean"),
     "loaded_from_the_catalog": "SELECT c_mktsegment AS plan_tier, count(*) AS n_users FROM customer GROUP BY 1",
     "stored_time_ranges": _query(
         _EV_STACK, "SELECT count(*) AS n_rows, 0::BIGINT AS n_overlaps, true AS in_many_files FROM ev"

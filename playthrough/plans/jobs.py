@@ -10,15 +10,16 @@ import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from playthrough import schemas
-from playthrough.operators import cleaning, enrich, genres, sessions, tables
+from playthrough.operators import cleaning, enrich, genres, ordering, sessions, tables
 from playthrough.operators import features as feature_table
 from playthrough.plans import model
 from playthrough.sources import tables as store
 
 RAW, CLEANED, USERS, CONTENT = "events_table", "cleaned_events", "users_dim", "content_dim"
-REJECTED = "rejected_events"
+REJECTED, CUT = "rejected_events", "cleaned_until"
 ENRICHED, FEATURES = "enriched_table", "completion_prediction_features"
 
 
@@ -50,6 +51,26 @@ def clean(spark: SparkSession, keep_rejected: bool = False) -> dict[str, int]:
     return {**read.get, **kept.get}
 
 
+def clean_oldest(spark: SparkSession, max_keys: int) -> dict[str, int]:
+    """Like ``clean``, for the oldest events that no run has come to yet.
+
+    Where the next run goes on is stored, so repeated runs come to every event once. The cut is stored after the
+    events: a run that is broken off is done again, and what it has added is not added twice. What arrives with a time
+    before the cut is left to ``clean``.
+    """
+    store.create_table(spark, CLEANED, schemas.CLEANED_EVENTS, bucket_by="event_id")
+    store.create_table(spark, CUT, T.StructType([schemas.EVENTS["event_ts"], schemas.EVENTS["event_id"]]))
+    raw = spark.table(RAW).select(*schemas.EVENT_COLUMNS)
+    last = spark.table(CUT).orderBy(F.desc("event_ts"), F.desc("event_id")).first()  # a row per run
+    batch, cut = ordering.next_oldest(raw, last, max_keys)
+    batch, read = counted(batch, "rows_read")
+    valid, kept = counted(cleaning.valid_events(batch), "rows_valid")
+    store.append_new(valid, CLEANED)
+    if cut is not None:
+        spark.createDataFrame([tuple(cut)], spark.table(CUT).schema).write.insertInto(CUT)
+    return {**read.get, **kept.get}
+
+
 def enrich_events(spark: SparkSession, replace: bool = True) -> None:
     events = spark.table(CLEANED)
     hot = feature_table.find_hot_keys(events)

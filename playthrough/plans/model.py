@@ -12,6 +12,7 @@ import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import (
+    FeatureHasher,
     Imputer,
     ImputerModel,
     OneHotEncoder,
@@ -82,15 +83,24 @@ def one_hot_totals(df: DataFrame, categorical: list[str]) -> DataFrame:
     return df.sparkSession.createDataFrame(data, "feature string, n_rows bigint")
 
 
-def feature_stages(numeric: list[str], categorical: list[str]) -> list:
+HASHED = "_hashed"
+
+
+def feature_stages(numeric: list[str], categorical: list[str], hashed: int | None = None) -> list:
     """Impute means, one-hot all categories, everything in one vector.
 
-    A category that is null or unknown gives zeros in all its columns.
+    A category that is null or unknown gives zeros in all its columns. The list of known categories is fitted and
+    kept by the driver. With ``hashed`` there is no such list: every category of any column has one of so many
+    places by its hash, which it may share with others.
     """
     filled = [f"{name}__filled" for name in numeric]
     stages = [Imputer(strategy="mean", inputCols=numeric, outputCols=filled)] if numeric else []
-    stages += one_hot_stages(categorical)
-    assembled = filled + [one_hot_column(name) for name in categorical]
+    if hashed is not None and categorical:
+        stages.append(FeatureHasher(inputCols=categorical, categoricalCols=categorical, outputCol=HASHED, numFeatures=hashed))
+        assembled = [*filled, HASHED]
+    else:
+        stages += one_hot_stages(categorical)
+        assembled = filled + [one_hot_column(name) for name in categorical]
     return [*stages, VectorAssembler(inputCols=assembled, outputCol="features")]
 
 
@@ -121,13 +131,14 @@ def regression(rows: DataFrame, n_rows: int, c: float = 1.0, max_iter: int = 100
     matrix of their products is too large, MLlib's gradient method takes up to ``max_iter``. There losses are
     averaged, and balanced weights add up to the number of rows.
     """
-    design = stored(rows.select(vector_to_array("features").alias("x"), "label", F.col("class_weight").alias("weight")))
-    try:
-        if len(design.select("x").first()["x"]) <= newton.MOST_FEATURES:
+    if rows.select("features").first()["features"].size <= newton.MOST_FEATURES:
+        design = rows.select(vector_to_array("features").alias("x"), "label", F.col("class_weight").alias("weight"))
+        design = stored(design)
+        try:
             found = newton.fit(design, c, max_iter, tol)
-            return with_coefficients(rows.sparkSession, found.coefficients, found.intercept)
-    finally:
-        remove(design)
+        finally:
+            remove(design)
+        return with_coefficients(rows.sparkSession, found.coefficients, found.intercept)
     by_gradient = LogisticRegression(
         labelCol="label", weightCol="class_weight", regParam=1.0 / (c * n_rows), elasticNetParam=0.0, standardization=False,
         maxIter=max_iter, tol=tol,
@@ -148,17 +159,19 @@ def balanced(rows: DataFrame) -> tuple[DataFrame, int]:
     return rows.withColumn("class_weight", column), sum(r["n_rows"] for r in weights.values())
 
 
-def fit(train: DataFrame, impute_from: DataFrame | None = None, **options: float) -> PipelineModel:
+def fit(
+    train: DataFrame, impute_from: DataFrame | None = None, hashed: int | None = None, **options: float
+) -> PipelineModel:
     """Fit on labelled rows; ``options`` are ``c``, ``max_iter`` and ``tol`` of ``regression``.
 
     Means are fitted on the training rows. ``impute_from`` fits them on other rows instead, for
-    instance on training and test rows together.
+    instance on training and test rows together. ``hashed`` is that of ``feature_stages``.
     """
     numeric, categorical = split_by_type(train.drop("label").schema)
     usable = set(without_empty(train, numeric + categorical))
     numeric, categorical = ([c for c in cols if c in usable] for cols in (numeric, categorical))
     rows, n = balanced(typed(train, numeric))
-    stages = feature_stages(numeric, categorical)
+    stages = feature_stages(numeric, categorical, hashed)
     if impute_from is not None and numeric:
         stages = [stages[0].fit(typed(impute_from, numeric)), *stages[1:]]
     prepared = Pipeline(stages=stages).fit(rows)
@@ -192,7 +205,7 @@ def model_inputs(model: PipelineModel) -> tuple[list[str], list[str]]:
     for stage in model.stages:
         if isinstance(stage, ImputerModel):
             numeric = list(stage.getInputCols())
-        elif isinstance(stage, StringIndexerModel):
+        elif isinstance(stage, (StringIndexerModel, FeatureHasher)):
             categorical = list(stage.getInputCols())
     return numeric, categorical
 
@@ -232,6 +245,8 @@ def coefficients(spark: SparkSession, model: PipelineModel) -> DataFrame:
     for stage in model.stages:
         if isinstance(stage, StringIndexerModel):
             names += one_hot_names(stage)
+        elif isinstance(stage, FeatureHasher):
+            names += [f"hashed_{k}" for k in range(stage.getNumFeatures())]
     data = [(i, n, float(w)) for i, (n, w) in enumerate(zip(names, regression.coefficients.toArray(), strict=True))]
     return spark.createDataFrame(data, "position int, feature string, coefficient double")
 

@@ -548,6 +548,19 @@ def inserted_by_key(spark, sf_dir):
     return spark.table(name)
 
 
+@query
+def cleaned_in_runs(spark, sf_dir):
+    """Cleaning in three runs, each over the oldest events that are left, and found by counting between pivots."""
+    name = _new_table(spark, schemas.CLEANED_EVENTS, bucket_by="event_id", buckets=8)
+    raw = materialize(testtables.raw_events(spark, sf_dir))
+    n, cut = -(-raw.count() // 3), None
+    while True:
+        batch, cut = ordering.next_oldest(raw, cut, n, sort_at_most=1000)
+        store.append_new(cleaning.valid_events(batch), name)
+        if cut is None:
+            return spark.table(name)
+
+
 @query
 def loaded_from_the_catalog(spark, sf_dir):
     """A stored result that is kept when it should not be replaced, read by a query."""

@@ -67,6 +67,18 @@ def test_batch_run(spark, database):
     assert spark.read.parquet(out).count() == spark.table(jobs.ENRICHED).count()
 
 
+def test_cleaning_in_runs_over_the_oldest(spark, database):
+    """Runs until nothing is left give what one run gives; a further run reads the last events again and adds none."""
+    spark.sql(f"DROP TABLE {jobs.CLEANED}")
+    n = spark.table(jobs.RAW).select("event_ts", "event_id").distinct().count()
+    for _ in range(3):
+        main(["clean", "--oldest", str(n // 3 + 1)])
+    assert stored(spark, jobs.CLEANED) == expected("clean_events")
+    assert spark.table(jobs.CUT).count() == 2
+    assert jobs.clean_oldest(spark, n)["rows_read"] <= n // 3 + 1
+    assert stored(spark, jobs.CLEANED) == expected("clean_events")
+
+
 def test_an_existing_table_can_be_kept(spark, database):
     before = stored(spark, jobs.ENRICHED)
     spark.sql(f"INSERT INTO {jobs.CLEANED} SELECT 'new', event_ts, user_id, content_id, event_type, "

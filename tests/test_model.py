@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 from frames import enriched, random_events
+from pyspark.sql import functions as F
 
 from playthrough.operators import features
 from playthrough.plans import model
@@ -95,6 +96,26 @@ def test_align_fills_missing_columns_with_zero(spark, fitted):
     assert model.score(fitted, aligned).first() == model.score(fitted, zeros).first()
 
 
+def test_hashed_categories_need_no_list(spark, table, tmp_path, monkeypatch):
+    """With a place for each category, the same predictions; with as many categories as rows, no list of them anywhere."""
+    from pyspark.ml.feature import StringIndexerModel
+
+    train = model.labelled(table)
+    by_list, by_hash = model.fit(train), model.fit(train, hashed=64)
+    assert not any(isinstance(s, StringIndexerModel) for s in by_hash.stages)
+    a, b = (dict(model.score(m, table).collect()) for m in (by_list, by_hash))
+    assert all(a[k] == pytest.approx(b[k], abs=1e-6) for k in a)
+    path = str(tmp_path / "model")
+    model.save(by_hash, path)
+    assert dict(model.score(model.load(path), table).collect()) == b
+    names = [r["feature"] for r in model.coefficients(spark, by_hash).collect()]
+    assert names[:3] == ["a", "b", "hashed_0"] and len(names) == 2 + 64 and model.model_inputs(by_hash)[1] == ["kind"]
+
+    many = train.withColumn("kind", F.col("event_id"))
+    wide = model.fit(many, hashed=2**18, max_iter=3)
+    assert wide.stages[-1].numFeatures == 2 + 2**18 and model.score(wide, many).count() == 600
+
+
 def test_whole_run_on_features(spark):
     import datetime
 

@@ -60,3 +60,20 @@ def test_running_sums_over_several_ranges(spark):
         total += row[1]
         want[row[0]] = (total, all_b, after[1], after[2])
     assert got == want
+
+
+def test_runs_over_the_oldest_keys_come_to_every_row_once(spark):
+    import random
+
+    rng = random.Random(6)
+    rows = [(rng.choice([None, *range(40)]), rng.choice([None, *"abcdefgh"]), k) for k in range(500)]
+    df = spark.createDataFrame(rows, "event_ts bigint, event_id string, k int").repartition(4).cache()
+    placed = [r for r in rows if r[0] is not None and r[1] is not None]
+    keys = sorted({r[:2] for r in placed})
+    cut, seen = None, []
+    for run in range(0, len(keys), 60):
+        batch, cut = ordering.next_oldest(df, cut, 60, sort_at_most=30)
+        seen.append(sorted(tuple(r) for r in batch.collect()))
+        assert {r[:2] for r in seen[-1]} == set(keys[run : run + 60])
+        assert (cut is None) == (run + 60 >= len(keys))
+    assert sorted(sum(seen, [])) == sorted(placed)
