@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-import zipfile
 from collections.abc import Sequence
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from playthrough.sources.checkpoint import shared_folder
+from playthrough.sources.checkpoint import remove, shared_folder  # noqa: F401
+from playthrough.sources.code import ship_code  # noqa: F401
 
 #: Rows of a group that one task numbers, at most.
 ROWS_PER_BUCKET = 1_000_000
@@ -36,20 +34,6 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def ship_code(spark: SparkSession) -> None:
-    """Let Python workers import this package, wherever they run; Spark sends it from the driver once per session."""
-    sc = spark.sparkContext
-    if getattr(sc, "_ships_playthrough", False):
-        return
-    package = Path(__file__).resolve().parents[1]
-    target = Path(tempfile.mkdtemp(prefix="playthrough-code-")) / "playthrough.zip"
-    with zipfile.ZipFile(target, "w") as archive:
-        for source in sorted(package.rglob("*.py")):
-            archive.write(source, source.relative_to(package.parent))
-    sc.addPyFile(str(target))
-    sc._ships_playthrough = True
-
-
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
@@ -91,13 +75,3 @@ def running(df: DataFrame, groups: Sequence[str], amount: Column, bucket: Column
 def long_array(values: Sequence[int]) -> Column:
     """A small array of numbers as a literal."""
     return F.array(*[F.lit(int(v)).cast("long") for v in values])
-
-
-def remove(df: DataFrame) -> None:
-    """Delete the files that a stored table is read from, once nothing reads it any more."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    folders = {file.rsplit("/", 1)[0] for file in df.inputFiles()}
-    for folder in folders:
-        path = context._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
