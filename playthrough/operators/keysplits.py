@@ -24,7 +24,7 @@ from playthrough.sources.checkpoint import stored
 CHUNK_ROWS = 4_000_000  # rows a single task should window over
 SAMPLES_PER_CHUNK = 8
 THINNED_TO = 50  # candidates per sample
-BLOCK = 64  # chunk starts are looked up in two steps: block, then start within the block
+BLOCK = 64  # chunk starts that are looked up in one step
 
 CHUNK, SUB, HOT, LAST_TS = "_chunk", "_sub", "_hot", "_last_ts"
 
@@ -33,13 +33,16 @@ CHUNK, SUB, HOT, LAST_TS = "_chunk", "_sub", "_hot", "_last_ts"
 class KeySplits:
     """Chunk starts of the hot keys; ``table`` is None when no key is hot.
 
-    The table has one row per hot key, and a key is hot with more than a chunk's rows. It is stored, so
-    that the planner knows its size: it broadcasts a small one and shuffles one of very many hot keys.
+    The table has one row per hot key, and a key is hot with more than a chunk's rows. Starts are looked up as in a
+    tree: a key's row holds at most ``BLOCK`` of them, each the first of a node of ``nodes[0]``, whose rows hold at
+    most ``BLOCK`` as well, down to the last level, which has all. No row grows with the number of a key's chunks.
+    All are stored, so that the planner knows their size: it broadcasts small ones and shuffles large ones.
     """
 
     keys: tuple[str, ...]
     table: DataFrame | None = None
     chunk_rows: int = CHUNK_ROWS
+    nodes: tuple[DataFrame, ...] = ()
 
     @property
     def any_hot(self) -> bool:
@@ -49,19 +52,19 @@ class KeySplits:
         """Add the chunk and sub-chunk of every row; 0 and 0 for keys that are not hot."""
         if self.table is None:
             raise ValueError("no hot keys: use plain windows")
-        block = F.size(F.filter("_block_starts", lambda s: s <= at))
-        in_block = F.size(F.filter(F.get("_blocks", block - 1), lambda s: s <= at))
-        subs = F.try_element_at("_id_starts", at)
-        return (
-            df.join(self.table, list(self.keys), "left")
-            .withColumn(HOT, F.col("_blocks").isNotNull())
-            .withColumn(CHUNK, F.when(F.col(HOT) & (block > 0), (block - 1) * BLOCK + in_block).otherwise(0))
-            .withColumn(
-                SUB,
-                F.when(F.col(HOT) & subs.isNotNull(), F.size(F.filter(subs, lambda s: s <= row_id))).otherwise(0),
-            )
-            .drop("_block_starts", "_blocks", "_id_starts", "_salts")
-        )
+        row_id = F.coalesce(row_id, F.lit(""))
+        here = F.size(F.filter("_blocks", lambda s: (s["ts"] < at) | ((s["ts"] == at) & (s["id"] <= row_id))))
+        rows = df.join(self.table, list(self.keys), "left").withColumn(HOT, F.col(LAST_TS).isNotNull())
+        rows = rows.withColumn("_place", F.when(here > 0, here - 1))
+        for k, level in enumerate(self.nodes, 1):
+            rows = rows.drop("_blocks", "_node").withColumnRenamed("_place", "_node")
+            rows = rows.join(level, [*self.keys, "_node"], "left").withColumn("_place", F.when(here > 0, here - 1))
+            if k < len(self.nodes):
+                rows = rows.withColumn("_place", F.col("_node") * BLOCK + F.col("_place"))
+        start = F.get("_blocks", F.col("_place"))
+        return rows.withColumns(
+            {CHUNK: F.coalesce(start[CHUNK], F.lit(0)), SUB: F.coalesce(start[SUB], F.lit(0))}
+        ).drop("_blocks", "_id_starts", "_salts", "_place", "_node")
 
     def cluster(self, df: DataFrame) -> DataFrame:
         """Shuffle by key and chunk.
@@ -97,7 +100,7 @@ def find_splits(
     frame: such rows also act at ``event_ts + reach``, so both times are balanced.
 
     One count, one partially aggregated count per key and, only if a key is hot, one pass over the
-    rows of hot keys.
+    rows of hot keys and a few small tables of their starts.
     """
     keys = tuple(keys)
     n = rows.count() if n_rows is None else n_rows
@@ -127,39 +130,60 @@ def find_splits(
             F.first("_points").alias("_points"),
         )
     )
-    # One array per hot key, of a few points per chunk.
-    per_key = sample.groupBy(*keys).agg(
-        F.sort_array(F.collect_list("_point")).alias("_sorted"),
-        F.first(LAST_TS).alias(LAST_TS),
-        F.first("_points").alias("_points"),
+    per_key = Window.partitionBy(*keys)
+    places = sample.withColumn("_i", F.row_number().over(per_key.orderBy("_point.ts", "_point.id")) - 1)
+    places = stored(places.filter(F.col("_i") % SAMPLES_PER_CHUNK == 0).drop("_slot"))
+    hot = places.filter(F.col("_i") == 0).select(
+        *keys, LAST_TS, (F.col("_points") / SAMPLES_PER_CHUNK).cast("int").alias("_salts")
     )
-    cuts = per_key.select(
+    starts = stored(_starts(places.filter(F.col("_i") > 0).select(*keys, "_point.*"), keys))
+    most = starts.agg(F.max("_rank")).first()[0]
+    levels = []
+    width = 1
+    while True:
+        first = _nodes(starts, keys, width)
+        if most is None or most < width * BLOCK:
+            break
+        levels.insert(0, stored(first))
+        width *= BLOCK
+    moments = starts.groupBy(*keys).agg(F.count_if(F.col(SUB) > 0).alias("_id_starts"))
+    table = stored(hot.join(first.drop("_node"), list(keys), "left").join(moments, list(keys), "left"))
+    return KeySplits(keys) if table.isEmpty() else KeySplits(keys, table, chunk_rows, tuple(levels))
+
+
+def _starts(cuts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Starts of chunks and sub-chunks from the cuts of all keys, numbered in order.
+
+    A chunk starts at a moment, and a moment with two cuts or more is a chunk, with a sub-chunk from each id on.
+    """
+    moments = cuts.groupBy(*keys, "ts").agg(F.count(F.lit(1)).alias("_n"), F.collect_set("id").alias("_ids"))
+    start = lambda ts, id, opens: F.struct(ts.alias("ts"), id.alias("id"), F.lit(opens).alias("_opens"))
+    ts, begin = F.col("ts"), F.lit("")
+    inside = F.transform("_ids", lambda id: start(ts, id, 0))
+    heavy = F.concat(F.array(start(ts, begin, 1), start(ts + 1, begin, 1)), inside)
+    rows = moments.select(*keys, F.inline(F.when(F.col("_n") > 1, heavy).otherwise(F.array(start(ts, begin, 1)))))
+    rows = rows.groupBy(*keys, "ts", "id").agg(F.max("_opens").alias("_opens"))
+    in_order = Window.partitionBy(*keys).orderBy("ts", "id")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_rank", F.row_number().over(in_order) - 1)
+    opened = F.max(F.when(F.col("_opens") == 1, F.col("_rank"))).over(so_far)
+    return rows.select(
         *keys,
-        LAST_TS,
-        (F.col("_points") / SAMPLES_PER_CHUNK).cast("int").alias("_salts"),
-        F.filter("_sorted", lambda _, i: (i > 0) & (i % SAMPLES_PER_CHUNK == 0)).alias("_cuts"),
-    )
-    table = stored(_with_layout(cuts).select(*keys, LAST_TS, "_salts", "_block_starts", "_blocks", "_id_starts"))
-    return KeySplits(keys) if table.isEmpty() else KeySplits(keys, table, chunk_rows)
-
-
-def _with_layout(keys: DataFrame) -> DataFrame:
-    """Chunk starts in blocks, and for timestamps hit by two cuts or more the id starts."""
-    times = F.transform("_cuts", lambda c: c["ts"])
-    at_once = lambda ts: F.filter("_cuts", lambda c: c["ts"] == ts)
-    ids_at = lambda ts: F.array_sort(F.array_distinct(F.transform(at_once(ts), lambda c: c["id"])))
-    keys = keys.withColumn("_times", F.array_distinct(times))
-    keys = keys.withColumn("_heavy", F.filter("_times", lambda ts: F.size(at_once(ts)) > 1))
-    ends = F.transform("_heavy", lambda ts: ts + 1)
-    keys = keys.withColumn("_starts", F.array_sort(F.array_distinct(F.concat("_times", ends))))
-    firsts = F.sequence(F.lit(1), F.greatest(F.size("_starts"), F.lit(1)), F.lit(BLOCK))
-    keys = keys.withColumn("_blocks", F.transform(firsts, lambda at: F.slice("_starts", at, BLOCK)))
-    keys = keys.withColumn("_blocks", F.filter("_blocks", lambda b: F.size(b) > 0))
-    return keys.withColumn("_block_starts", F.transform("_blocks", lambda b: b[0])).withColumn(
-        "_id_starts", F.map_from_arrays("_heavy", F.transform("_heavy", ids_at))
+        "ts",
+        "id",
+        "_rank",
+        F.sum("_opens").over(so_far).cast("int").alias(CHUNK),
+        (F.col("_rank") - opened).alias(SUB),
     )
 
 
+def _nodes(starts: DataFrame, keys: Sequence[str], width: int) -> DataFrame:
+    """Every ``width``-th start of a key, by ``BLOCK`` of these in a row."""
+    node = F.floor(F.col("_rank") / (width * BLOCK)).cast("int").alias("_node")
+    blocks = F.sort_array(F.collect_list(F.struct("ts", "id", CHUNK, SUB))).alias("_blocks")
+    return starts.filter(F.col("_rank") % width == 0).groupBy(*keys, node).agg(blocks)
+
+
 def before_chunk(keys: Sequence[str]) -> Window:
     """Earlier chunks of the same key (sub-chunks of one chunk share a timestamp)."""
     return Window.partitionBy(*keys).orderBy(CHUNK).rangeBetween(Window.unboundedPreceding, -1)

@@ -114,9 +114,11 @@ def with_session_facts(sessions: DataFrame, splits: ks.KeySplits | None = None)
     pair = Window.partitionBy(*USER_CONTENT, *([ks.CHUNK, ks.SUB] if hot else []))
     out = out.withColumn("pair_sessions", F.sum(ends_session()).over(pair))
     if hot:
-        # One row per hot pair.
-        counts = rows.filter(ks.HOT).groupBy(*USER_CONTENT).agg(F.countDistinct("session_start_ts").alias("_counted"))
-        out = out.join(F.broadcast(counts), list(USER_CONTENT), "left")
+        # One row per chunk and sub-chunk of a hot pair: no hint, and the rows of a pair stay spread.
+        hot_rows, chunk = rows.filter(ks.HOT), [*USER_CONTENT, ks.CHUNK, ks.SUB]
+        counts = hot_rows.groupBy(*USER_CONTENT).agg(F.countDistinct("session_start_ts").alias("_counted"))
+        counts = hot_rows.select(*chunk).distinct().join(counts, list(USER_CONTENT))
+        out = out.join(counts, chunk, "left")
         out = out.withColumn("pair_sessions", F.coalesce("_counted", "pair_sessions"))
     return out.select(*sessions.columns, *FACTS)
 
@@ -124,31 +126,36 @@ def with_session_facts(sessions: DataFrame, splits: ks.KeySplits | None = None)
 def _with_split_sessions(out: DataFrame, rows: DataFrame, pause: Column, end: Column) -> DataFrame:
     """Replace the facts of sessions that lie in several chunks of a hot key.
 
-    A session holds events at its start timestamp and at most one later event, the next one. It
-    is split only if its start is the last timestamp of some chunk, so there are no more such
-    sessions than chunks.
+    A session holds events at its start timestamp and at most one later event, the next one. What its rows in a
+    chunk add up to is one row, and so are its facts for each chunk: the rows of a session stay spread.
     """
     hot_rows = rows.filter(ks.HOT)
-    edges = (
-        hot_rows.groupBy(*USER_CONTENT, ks.CHUNK, ks.SUB)
-        .agg(F.max("event_ts").alias("session_start_ts"))
-        .select(*SESSION)
-        .distinct()
-    )
     at_start = F.col("event_ts") == F.col("session_start_ts")
+    part = [*SESSION, ks.CHUNK, ks.SUB]
+    parts = hot_rows.groupBy(*part).agg(
+        end.alias("p_end"),
+        F.max(_completed()).alias("p_completed"),
+        F.max(_near_end()).alias("p_near_end"),
+        F.collect_set("event_type").alias("p_types"),
+        F.sum(F.when(at_start, pause).otherwise(0)).alias("p_pauses_at_start"),
+        F.sum(pause).alias("p_pauses"),
+    )
     split = (
-        hot_rows.join(F.broadcast(edges), list(SESSION))
-        .groupBy(*SESSION)
+        parts.groupBy(*SESSION)
         .agg(
-            end.alias("s_end"),
-            F.max(_completed()).alias("s_is_completed_event"),
-            F.max(_near_end()).alias("s_stopped_near_end"),
-            F.countDistinct("event_type").alias("s_num_unique_events"),
-            F.sum(F.when(at_start, pause).otherwise(0)).alias("s_pauses_at_start"),
-            F.sum(pause).alias("s_pauses"),
+            F.collect_list(F.struct(ks.CHUNK, ks.SUB)).alias("s_parts"),
+            F.max("p_end").alias("s_end"),
+            F.max("p_completed").alias("s_is_completed_event"),
+            F.max("p_near_end").alias("s_stopped_near_end"),
+            F.size(F.array_distinct(F.flatten(F.collect_list("p_types")))).cast("bigint").alias("s_num_unique_events"),
+            F.sum("p_pauses_at_start").alias("s_pauses_at_start"),
+            F.sum("p_pauses").alias("s_pauses"),
         )
+        .filter(F.size("s_parts") > 1)
+        .select("*", F.inline("s_parts"))
+        .drop("s_parts")
     )
-    joined = out.join(F.broadcast(split), list(SESSION), "left")
+    joined = out.join(split, part, "left")
     is_split = F.col("s_end").isNotNull()
     pauses = F.when(at_start, F.col("s_pauses_at_start")).otherwise(F.col("s_pauses"))
     replaced = {

@@ -117,3 +117,28 @@ def test_small_input_is_not_cut(case):
     df, _ = case
     assert find_hot_keys(df) == NO_HOT_KEYS
     assert find_splits(df, ["user_id"]) == KeySplits(("user_id",))
+
+
+def test_no_row_of_cuts_grows_with_the_chunks(spark):
+    """A key of very many chunks, some of them cut by id: rows of at most a block, and the places that plain loops give."""
+    n, per_moment = 6000, 30
+    rows = spark.range(n).selectExpr("'u' user_id", f"id div {per_moment} event_ts", "lpad(id, 5, '0') event_id")
+    splits = find_splits(rows, ["user_id"], chunk_rows=4)
+    starts = [r["_blocks"] for r in splits.nodes[-1].collect()]
+    assert sum(map(len, starts)) > 10 * keysplits.BLOCK
+    assert all(len(r["_blocks"]) <= keysplits.BLOCK for t in (splits.table, *splits.nodes) for r in t.collect())
+    in_order = sorted((tuple(s) for block in starts for s in block), key=lambda s: s[:2])
+    found = splits.assign(rows, F.col("event_ts"), F.col("event_id")).collect()
+    assert len(found) == n
+    for r in found:
+        before = [s for s in in_order if s[:2] <= (r["event_ts"], r["event_id"])]
+        assert (r["_chunk"], r["_sub"]) == (before[-1][2:] if before else (0, 0))
+
+
+def test_tables_of_hot_pairs_carry_no_broadcast_hint(case):
+    df, hot = case
+    marked = sessions.session_identification(df, hot.user_content)
+    facts = sessions.with_session_facts(marked, hot.user_content)
+    same(facts, sessions.with_session_facts(marked))
+    plan = facts._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint (strategy=broadcast)" not in plan
