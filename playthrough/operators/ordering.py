@@ -31,8 +31,8 @@ def row_at(
         slot = F.pmod(F.xxhash64(*order), F.lit(PIVOTS))
         picked = thin.groupBy(slot.alias("_slot")).agg(F.max_by(here, F.xxhash64(F.lit(n), *order)).alias("_p"))
         pivots = sorted(tuple(r["_p"]) for r in picked.collect())  # PIVOTS rows
-        bounds = F.array(*[F.struct(*[F.lit(v).alias(c) for c, v in zip(order, p)]) for p in pivots])
-        interval = F.size(F.filter(bounds, lambda p: p <= here))
+        points = [F.struct(*[F.lit(v).alias(c) for c, v in zip(order, p)]) for p in pivots]
+        interval = _interval(points, here)
         counts = dict(rows.groupBy(interval.alias("_i")).count().collect())  # PIVOTS + 1 rows
         i = 0
         while k >= counts.get(i, 0) and i < PIVOTS:
@@ -40,11 +40,25 @@ def row_at(
             i += 1
         if counts.get(i, 0) == n:
             raise ValueError(f"values of {list(order)} are not unique")
-        rows, n = rows.filter(interval == i), counts.get(i, 0)
+        # Two plain comparisons: the scans that follow look at all rows again, and compare no row with all pivots.
+        if i > 0:
+            rows = rows.filter(points[i - 1] <= here)
+        if i < len(points):
+            rows = rows.filter(here < points[i])
+        n = counts.get(i, 0)
     found = rows.orderBy(*order).offset(k).limit(1).collect()
     return found[0] if found else None
 
 
+def _interval(points: Sequence[Column], here: Column, first: int = 0) -> Column:
+    """How many of the ascending points are at most ``here``, found by halving."""
+    if not points:
+        return F.lit(first)
+    middle = len(points) // 2
+    below = _interval(points[:middle], here, first)
+    return F.when(here < points[middle], below).otherwise(_interval(points[middle + 1 :], here, first + middle + 1))
+
+
 def is_before(row: Row | None, order: Sequence[str]) -> Column:
     """Whether a row lies before ``row``; all do when it is None."""
     if row is None:

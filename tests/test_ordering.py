@@ -4,6 +4,7 @@ import random
 
 import pytest
 from frames import enriched, random_events
+from pyspark.sql import functions as F
 
 from playthrough.operators import ordering
 
@@ -77,3 +78,10 @@ def test_runs_over_the_oldest_keys_come_to_every_row_once(spark):
         assert {r[:2] for r in seen[-1]} == set(keys[run : run + 60])
         assert (cut is None) == (run + 60 >= len(keys))
     assert sorted(sum(seen, [])) == sorted(placed)
+
+
+def test_intervals_between_pivots_by_halving(spark):
+    for n in (0, 1, 2, 7, 64):
+        points = [F.struct(F.lit(3 * k + 1).cast("bigint").alias("id")) for k in range(n)]
+        found = spark.range(3 * n + 3).select("id", ordering._interval(points, F.struct("id")).alias("i")).collect()
+        assert all(r["i"] == sum(3 * k + 1 <= r["id"] for k in range(n)) for r in found)
