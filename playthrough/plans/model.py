@@ -23,7 +23,7 @@ from pyspark.ml.feature import (
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Matrices, Vectors
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +34,8 @@ from playthrough.sources.checkpoint import materialize, remove, shared_folder, s
 
 NOT_FEATURES = ["event_id", "event_ts", "is_completion", "user_genre_preference"]
 PROBABILITY = "predicted_completion_probability"
+#: Features that are written as one expression each, at most; beyond, MLlib's vectors are used.
+PLAIN_FEATURES = 400
 
 
 def split_by_type(schema: T.StructType) -> tuple[list[str], list[str]]:
@@ -132,13 +134,7 @@ def regression(rows: DataFrame, n_rows: int, c: float = 1.0, max_iter: int = 100
     averaged, and balanced weights add up to the number of rows.
     """
     if rows.select("features").first()["features"].size <= newton.MOST_FEATURES:
-        design = rows.select(vector_to_array("features").alias("x"), "label", F.col("class_weight").alias("weight"))
-        design = stored(design)
-        try:
-            found = newton.fit(design, c, max_iter, tol)
-        finally:
-            remove(design)
-        return with_coefficients(rows.sparkSession, found.coefficients, found.intercept)
+        return by_newton(rows, vector_to_array("features"), c, max_iter, tol)
     by_gradient = LogisticRegression(
         labelCol="label", weightCol="class_weight", regParam=1.0 / (c * n_rows), elasticNetParam=0.0, standardization=False,
         maxIter=max_iter, tol=tol,
@@ -146,6 +142,36 @@ def regression(rows: DataFrame, n_rows: int, c: float = 1.0, max_iter: int = 100
     return by_gradient.fit(rows)
 
 
+def by_newton(rows: DataFrame, x: Column, c: float = 1.0, max_iter: int = 100, tol: float = 1e-9) -> LogisticRegressionModel:
+    """``regression`` by Newton's method, of features in an array."""
+    design = stored(rows.select(x.alias("x"), "label", F.col("class_weight").alias("weight")))
+    try:
+        found = newton.fit(design, c, max_iter, tol)
+    finally:
+        remove(design)
+    return with_coefficients(rows.sparkSession, found.coefficients, found.intercept)
+
+
+def plain_features(stages: list) -> list[Column] | None:
+    """What the fitted stages put in the vector, as column expressions; None for hashed or very many features.
+
+    The stages' own functions take rows apart and put them together again, one after the other.
+    """
+    columns = []
+    for stage in stages:
+        if isinstance(stage, ImputerModel):
+            means = stage.surrogateDF.first()
+            for name in stage.getInputCols():
+                value = F.col(name).cast("double")
+                columns.append(F.when(value.isNull() | F.isnan(value), means[name]).otherwise(value))
+        elif isinstance(stage, StringIndexerModel):
+            for name, labels in zip(stage.getInputCols(), stage.labelsArray):
+                columns += [F.when(F.col(name).cast("string") == label, 1.0).otherwise(0.0) for label in labels]
+        elif isinstance(stage, FeatureHasher):
+            return None
+    return columns if 0 < len(columns) <= PLAIN_FEATURES else None
+
+
 def labelled(features: DataFrame) -> DataFrame:
     return features.withColumn("label", F.col("is_completion").cast("double"))
 
@@ -175,7 +201,11 @@ def fit(
     if impute_from is not None and numeric:
         stages = [stages[0].fit(typed(impute_from, numeric)), *stages[1:]]
     prepared = Pipeline(stages=stages).fit(rows)
-    fitted = regression(prepared.transform(rows), n, **options)
+    plain = plain_features(prepared.stages)
+    if plain is None:
+        fitted = regression(prepared.transform(rows), n, **options)
+    else:
+        fitted = by_newton(rows, F.array(*plain), **options)
     return stored_copy(PipelineModel([*prepared.stages, fitted]), train.sparkSession)
 
 
@@ -212,6 +242,15 @@ def model_inputs(model: PipelineModel) -> tuple[list[str], list[str]]:
 
 def apply(model: PipelineModel, features: DataFrame) -> DataFrame:
     """Rows with ``prediction`` (0 or 1) and the probability of completion."""
+    plain = plain_features(model.stages[:-1])
+    if plain is not None:
+        regression = model.stages[-1]
+        terms = [F.lit(regression.intercept), *[x * float(w) for x, w in zip(plain, regression.coefficients.toArray(), strict=True)]]
+        while len(terms) > 1:  # in pairs, for a shallow expression
+            terms = [a + b for a, b in zip(terms[::2], terms[1::2])] + (terms[-1:] if len(terms) % 2 else [])
+        rows = features.withColumn(PROBABILITY, 1 - 1 / (1 + F.exp(terms[0])))
+        prediction = F.when(F.col(PROBABILITY) > regression.getThreshold(), 1).otherwise(0).alias("prediction")
+        return rows.select(*features.columns, prediction, PROBABILITY)
     numeric, _ = model_inputs(model)
     scored = model.transform(typed(features, numeric))
     probability = F.get(vector_to_array("probability"), F.lit(1))

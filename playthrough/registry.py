@@ -17,7 +17,7 @@ from playthrough.oracle import AS_OF
 from playthrough.plans import jobs, model
 from playthrough.sources import messages, testtables
 from playthrough.sources import tables as store
-from playthrough.sources.checkpoint import materialize, shared_folder, stored
+from playthrough.sources.checkpoint import materialize, shared_folder, spread, stored
 from playthrough.sources.commits import CommittedTable
 from playthrough.streaming import ingest
 
@@ -330,7 +330,7 @@ def class_weights(spark, sf_dir):
 @query
 def chronological_split(spark, sf_dir):
     """Which events are for training, which for testing."""
-    events = materialize(Inputs(spark, sf_dir).enriched.select("event_id", "event_ts"))
+    events = stored(Inputs(spark, sf_dir).enriched.select("event_id", "event_ts"))
     # So few sorted in one place that the cut is found by counting between pivots, as with many rows.
     cut = ordering.chronological_cut(events, sort_at_most=1000)
     before = ordering.is_before(cut, ["event_ts", "event_id"])
@@ -385,8 +385,10 @@ def streaming_quarantine(spark, sf_dir):
     return found.groupBy("problem").agg(F.count(F.lit(1)).alias("n_messages"))
 
 
-def _stored_features(spark, sf_dir):
-    return materialize(completion_prediction_features(spark, sf_dir))
+def _stored_features(spark, sf_dir, *columns):
+    """The feature table, or some columns of it, in files of like size: it is made by title, of which there may be few."""
+    table = completion_prediction_features(spark, sf_dir)
+    return stored(spread(table.select(*columns) if columns else table, "event_id"))
 
 
 @query
@@ -434,8 +436,7 @@ def imputed_means(spark, sf_dir):
 
 def _one_feature(spark, sf_dir):
     """Features of one 0/1 number, where the optimum without a penalty is known in closed form."""
-    rows = completion_prediction_features(spark, sf_dir).select("event_id", "has_played_before", "is_completion")
-    rows = materialize(rows)
+    rows = _stored_features(spark, sf_dir, "event_id", "has_played_before", "is_completion")
     return rows, model.fit(model.labelled(rows), c=1e12, max_iter=200, tol=1e-12)
 
 
@@ -460,9 +461,8 @@ def one_feature_predictions(spark, sf_dir):
 @query
 def aligned_for_model(spark, sf_dir):
     """Enriched events as the input of a model that knows three features, one of which they lack."""
-    table = completion_prediction_features(spark, sf_dir)
-    known = table.select("event_id", "user_activity_level", "playback_position_ratio", "device", "is_completion")
-    fitted = model.fit(model.labelled(materialize(known)), max_iter=1)
+    columns = ["event_id", "user_activity_level", "playback_position_ratio", "device", "is_completion"]
+    fitted = model.fit(model.labelled(_stored_features(spark, sf_dir, *columns)), max_iter=1)
     ratio = scalar.position_ratio(F.col("playback_position"), F.col("runtime"))
     enriched = Inputs(spark, sf_dir).enriched.withColumn("playback_position_ratio", ratio)
     return model.align(enriched, fitted)
@@ -507,7 +507,7 @@ PENALISED = ["has_played_before", "playback_position_ratio"]
 
 def _penalised(spark, sf_dir):
     """Two numbers, one with gaps, with class weights and a penalty that is felt."""
-    rows = materialize(completion_prediction_features(spark, sf_dir).select("event_id", *PENALISED, "is_completion"))
+    rows = _stored_features(spark, sf_dir, "event_id", *PENALISED, "is_completion")
     gaps = F.when(F.col("event_id").cast("bigint") % 7 != 0, F.col(PENALISED[1])).alias(PENALISED[1])
     rows = rows.select("event_id", PENALISED[0], gaps, "is_completion")
     return rows, model.fit(model.labelled(rows), c=0.001, tol=1e-14)

@@ -43,6 +43,14 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows dealt evenly over the tasks by columns of many values, wherever the work before has put them.
+
+    What follows a window by few keys would otherwise run in one task per key.
+    """
+    return df.repartition(*columns)
+
+
 def remove(df: DataFrame) -> None:
     """Delete the files of a stored table that nothing reads any more."""
     context = df.sparkSession.sparkContext

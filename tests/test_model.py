@@ -131,3 +131,35 @@ def test_whole_run_on_features(spark):
     assert not set(model.NOT_FEATURES) & set(numeric + categorical)
     aligned = model.align(df, fitted)
     assert model.score(fitted, aligned).count() == 400
+
+
+def test_plain_features_score_as_the_vectors_do(table, fitted):
+    """The expressions that replace MLlib's vectors hold their values, for gaps, unknown and null categories too."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.functions import vector_to_array
+
+    odd = table.withColumn("kind", F.when(F.col("event_ts") % 5 == 0, "new").otherwise(F.col("kind")))
+    odd = odd.withColumn("a", F.when(F.col("event_ts") % 7 == 0, float("nan")).otherwise(F.col("a")))
+    vectors = PipelineModel(fitted.stages[:-1]).transform(model.typed(odd, ["a", "b"]))
+    plain = model.plain_features(fitted.stages[:-1])
+    got = vectors.select(F.array(*plain).alias("plain"), vector_to_array("features").alias("x")).collect()
+    assert all(r["plain"] == r["x"] for r in got)
+    by_mllib = fitted.transform(model.typed(odd, ["a", "b"])).select("event_id", vector_to_array("probability")[1], "prediction")
+    want = {r[0]: (r[1], r[2]) for r in by_mllib.collect()}
+    for r in model.apply(fitted, odd).collect():
+        probability, prediction = want[r["event_id"]]
+        assert r[model.PROBABILITY] == pytest.approx(probability, abs=1e-12) and r["prediction"] == prediction
+
+
+def test_stored_features_are_spread(spark, monkeypatch):
+    """A table made in one task per title is stored after a shuffle by event, in columns."""
+    from playthrough import registry
+
+    made = spark.range(0, 4000, 1, 1).selectExpr("cast(id as string) event_id", "id")
+    monkeypatch.setattr(registry, "completion_prediction_features", lambda *_: made)
+    dealt = []
+    monkeypatch.setattr(registry, "spread", lambda df, *by: dealt.append(by) or df.repartition(*by))
+    found = registry._stored_features(spark, "")
+    assert dealt == [("event_id",)]
+    assert found.count() == 4000 and found.select(F.max("id")).first()[0] == 3999
+    assert "FileScan" in found._jdf.queryExecution().executedPlan().toString()
