@@ -18,6 +18,7 @@ from playthrough.operators import genres, sessions, tables
 from playthrough.operators.history import keyed_history
 from playthrough.operators.keysplits import CHUNK_ROWS, KeySplits, find_splits
 from playthrough.schemas import FEATURE_COLUMNS
+from playthrough.sources.checkpoint import stored
 
 
 @dataclass(frozen=True)
@@ -35,12 +36,13 @@ def find_hot_keys(
 ) -> HotKeys:
     """Hot users, titles and pairs of raw, cleaned or enriched events.
 
-    Best called on a stored table, where it costs a scan of the key columns; below ``chunk_rows``
-    events in all it is a count, or nothing if ``n_rows``, their number or more, is known.
+    Below ``chunk_rows`` events in all it is a count, or nothing if ``n_rows``, their number or more, is known.
+    Above, the columns that are looked at are stored: making the events once costs less than once for each look.
     """
     n = events.count() if n_rows is None else n_rows
     if n <= chunk_rows:
         return NO_HOT_KEYS
+    events = stored(events.select("user_id", "content_id", "event_ts", "event_id"))
     sizes = {"chunk_rows": chunk_rows, "n_rows": n}
     user = find_splits(events, ["user_id"], reach=scalar.HISTORY_MS, **sizes)
     content = find_splits(events, ["content_id"], **sizes)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from playthrough.operators import keysplits as ks
 from playthrough.sources.checkpoint import stored
 
-AT, EXPIRY = "_at", "_expiry"
+AT, EXPIRY, PAYLOAD = "_at", "_expiry", "_payload"
 
 
 def keyed_history(
@@ -78,29 +78,31 @@ def _chunked(df, keys, prior, recent, span, lags, totals, splits):
     payload = [c for c in df.columns if c not in (*keys, "event_ts", "event_id")]
     groups = {"p": prior, "r": recent, "l": lags, "t": totals}
     values = {(g, name): f"_{g}{i}" for g, found in groups.items() for i, name in enumerate(found)}
-    rows = df.withColumns({values[g, name]: value for g, found in groups.items() for name, value in found.items()})
+    found_here = [value.alias(values[g, name]) for g, found in groups.items() for name, value in found.items()]
+    # In one column, which sorts, windows and joins copy as a whole.
+    packed = [F.struct(*payload).alias(PAYLOAD)] if payload else []
+    rows = df.select(*keys, "event_ts", "event_id", *packed, *found_here)
 
     if recent:
         last = splits.table.select(*splits.keys, ks.LAST_TS)
         stays = F.lit(False)
         leaves_in_time = F.col("event_ts") + span < F.col(ks.LAST_TS)  # null for keys that are not hot
+        counts_once = [*([PAYLOAD] if payload else []), *[c for (g, _), c in values.items() if g != "r"]]
         rows = (
             rows.join(last, list(splits.keys), "left")
             .withColumn(EXPIRY, F.explode(F.when(leaves_in_time, F.array(stays, ~stays)).otherwise(F.array(stays))))
             .drop(ks.LAST_TS)
-            .withColumns({c: F.when(~F.col(EXPIRY), F.col(c)) for c in payload})
+            .withColumns({c: F.when(~F.col(EXPIRY), F.col(c)) for c in counts_once})
+            .withColumns({c: F.when(F.col(EXPIRY), -F.col(c)).otherwise(F.col(c)) for (g, _), c in values.items() if g == "r"})
             .withColumn(AT, F.col("event_ts") + F.when(F.col(EXPIRY), span).otherwise(0))
         )
     else:
         rows = rows.withColumns({EXPIRY: F.lit(False), AT: F.col("event_ts")})
     # Read twice below, by the carry-over, which takes a few columns only, and by the windows.
-    rows = stored(splits.assign(rows, F.col(AT), F.col("event_id")).drop(ks.LAST_TS))
+    rows = stored(splits.assign(rows.drop("event_ts"), F.col(AT), F.col("event_id")).drop(ks.LAST_TS))
 
-    expiry = F.col(EXPIRY)
-    once = {c: F.when(~expiry, F.col(c)) for (g, _), c in values.items() if g in "pt"}
-    signed = {c: F.when(expiry, -F.col(c)).otherwise(F.col(c)) for (g, _), c in values.items() if g == "r"}
-    sums = {**once, **signed}
-    latest = {c: F.when(~expiry, F.col(c)) for (g, _), c in values.items() if g == "l"}
+    sums = {c: F.col(c) for (g, _), c in values.items() if g != "l"}
+    latest = {c: F.col(c) for (g, _), c in values.items() if g == "l"}
 
     # One row per chunk and sub-chunk of a hot key.
     chunk_key = [*keys, ks.CHUNK, ks.SUB]
@@ -121,18 +123,20 @@ def _chunked(df, keys, prior, recent, span, lags, totals, splits):
     by_time = part.orderBy(AT)
     earlier = by_time.rangeBetween(Window.unboundedPreceding, -1)
     before = part.orderBy(AT, "event_id").rowsBetween(Window.unboundedPreceding, -1)
-    out = splits.cluster(rows).withColumns({f"{c}_w": F.last(v, ignorenulls=True).over(before) for c, v in latest.items()})
+    # coalesce: over a bare column the optimizer would move this window below others, and sort more.
+    lasts = {f"{c}_w": F.last(F.coalesce(v), ignorenulls=True).over(before) for c, v in latest.items()}
+    out = splits.cluster(rows).withColumns(lasts)
     frames = {}
     for (g, _), c in values.items():
         if g == "p":
-            frames[f"{c}_w"] = F.sum(once[c]).over(earlier)
+            frames[f"{c}_w"] = F.sum(c).over(earlier)
         elif g == "r":
             expired = by_time.rangeBetween(Window.unboundedPreceding, -span - 1)
-            gone = F.when(F.col(ks.HOT), 0).otherwise(_or_zero(F.sum(signed[c]).over(expired)))
-            frames[f"{c}_w"] = _or_zero(F.sum(signed[c]).over(earlier)) - gone
+            gone = F.when(F.col(ks.HOT), 0).otherwise(_or_zero(F.sum(c).over(expired)))
+            frames[f"{c}_w"] = _or_zero(F.sum(c).over(earlier)) - gone
     out = out.withColumns(frames)
-    out = out.withColumns({f"{c}_w": F.sum(once[c]).over(part) for (g, _), c in values.items() if g == "t"})
-    out = out.join(carry, chunk_key, "left").filter(~expiry)
+    out = out.withColumns({f"{c}_w": F.sum(c).over(part) for (g, _), c in values.items() if g == "t"})
+    out = out.join(carry, chunk_key, "left").filter(~F.col(EXPIRY))
 
     results = {}
     for (g, name), c in values.items():
@@ -143,4 +147,5 @@ def _chunked(df, keys, prior, recent, span, lags, totals, splits):
             results[name] = _or_zero(F.when(F.col(ks.HOT), carried).otherwise(inside))
         else:
             results[name] = _or_zero(inside) + _or_zero(carried)
-    return out.select(*df.columns, *[value.alias(name) for name, value in results.items()])
+    back = {"event_ts": F.col(AT).alias("event_ts"), **{c: F.col(PAYLOAD)[c].alias(c) for c in payload}}
+    return out.select(*[back.get(c, c) for c in df.columns], *[value.alias(name) for name, value in results.items()])

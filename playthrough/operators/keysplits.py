@@ -70,9 +70,10 @@ class KeySplits:
         """Shuffle by key and chunk.
 
         Said explicitly because an input already hashed by the key alone satisfies a window's
-        distribution, and would leave all chunks of a hot key in one task.
+        distribution, and would leave all chunks of a hot key in one task. The number is said as well: merged to about
+        one task per core, chunks would leave most cores idle behind the last few tasks.
         """
-        return df.repartition(*self.keys, CHUNK, SUB)
+        return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *self.keys, CHUNK, SUB)
 
     def salts(self) -> DataFrame | None:
         """Hot keys with the number of salt values a join should spread them over."""

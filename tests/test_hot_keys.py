@@ -9,6 +9,7 @@ from frames import enriched, random_events
 from playthrough.functions.scalar import HISTORY_MS
 from playthrough.operators import features, keysplits, sessions, tables
 from playthrough.operators.features import NO_HOT_KEYS, find_hot_keys
+from playthrough.operators.history import keyed_history
 from playthrough.operators.keysplits import KeySplits, find_splits, join_dimension
 
 GENRES = ["g0", "g1", "g2"]
@@ -142,3 +143,33 @@ def test_tables_of_hot_pairs_carry_no_broadcast_hint(case):
     same(facts, sessions.with_session_facts(marked))
     plan = facts._jdf.queryExecution().analyzed().toString()
     assert "ResolvedHint (strategy=broadcast)" not in plan
+
+
+def _few_hot_events(spark):
+    return spark.range(300).selectExpr("'u' user_id", "'c' content_id", "id event_ts", "cast(id as string) event_id", "id more")
+
+
+def test_events_are_made_once_to_find_hot_keys(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(event_id):
+        made.add(1)
+        return event_id
+
+    hot = find_hot_keys(_few_hot_events(spark).withColumn("event_id", counted("event_id")), chunk_rows=50, n_rows=300)
+    assert hot.user.any_hot and hot.content.any_hot and hot.user_content.any_hot
+    assert made.value == 300
+
+
+def test_windows_over_chunks_do_not_take_the_other_columns_apart(spark):
+    rows = _few_hot_events(spark).withColumns({f"more{k}": F.col("more") + k for k in range(20)})
+    splits = find_splits(rows, ["user_id"], chunk_rows=50)
+    found = keyed_history(
+        rows, ["user_id"], prior={"n": F.lit(1)}, recent={"r": F.lit(1)}, span=10, lags={"l": F.col("more")}, splits=splits
+    )
+    shuffled = found._jdf.queryExecution().optimizedPlan().collectLeaves().head().output().mkString(",")
+    assert "_payload#" in shuffled and "more" not in shuffled
+    for r in found.collect():
+        t = r["event_ts"]
+        assert (r["more"], r["more7"], r["n"], r["r"], r["l"]) == (t, t + 7, t, min(t, 10), t - 1 if t else None)
