@@ -10,6 +10,7 @@ change before it. That work grows with the events, whatever the number of genres
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 from itertools import chain, groupby
 from operator import itemgetter
 
@@ -86,9 +87,14 @@ def preference_changes(events: DataFrame, splits: KeySplits | None = None) -> Da
     moments = events.filter(F.col("genre").isNotNull() & F.col("event_ts").isNotNull()).select("user_id", "genre", F.inline(steps))
     moments = moments.groupBy("user_id", "genre", "at").agg(F.sum("step").alias("step")).filter(F.col("step") != 0)
     if splits is None or not splits.any_hot:
-        return moments.withColumn(CHUNK, F.lit(0)).groupBy("user_id", CHUNK).applyInArrow(_walk, CHANGES)
-    moments = stored(splits.assign(moments, F.col("at"), F.lit("")).select("user_id", CHUNK, "genre", "at", "step"))
-    return moments.unionByName(_left_over(moments)).groupBy("user_id", CHUNK).applyInArrow(_walk, CHANGES)
+        moments = moments.withColumn(CHUNK, F.lit(0))
+    else:
+        moments = stored(splits.assign(moments, F.col("at"), F.lit("")).select("user_id", CHUNK, "genre", "at", "step"))
+        moments = moments.unionByName(_left_over(moments))
+    # Not a call per group: with many users or chunks that would cost more than the walk.
+    tasks = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    walked = moments.select("user_id", CHUNK, "at", "genre", "step").repartition(tasks, "user_id", CHUNK)
+    return walked.sortWithinPartitions("user_id", CHUNK, "at").mapInArrow(_walk, CHANGES)
 
 
 def _left_over(moments: DataFrame) -> DataFrame:
@@ -106,42 +112,44 @@ def _left_over(moments: DataFrame) -> DataFrame:
     return running.select("user_id", later.alias(CHUNK), "genre", F.lit(None).cast("bigint").alias("at"), F.col("_count").alias("step"))
 
 
-#: Rows that are taken out of Arrow at once.
-AT_ONCE = 65_536
+#: Changes that are handed over at once.
+AT_ONCE = 10_000
 CHANGES = "user_id string, at bigint, preferred string"
 
 
-def _walk(table: pa.Table) -> pa.Table:
-    """The changes of one user, or of one chunk of a hot user."""
+def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The changes of each user, or of each chunk of a hot user; the rows come by user, chunk and moment, nulls first."""
+    found: list[tuple[str, int, str | None]] = []
+    rows = chain.from_iterable(zip(*(b[c].to_pylist() for c in ("user_id", CHUNK, "at", "genre", "step"))) for b in batches)
+    for (user, _), chunk in groupby(rows, key=itemgetter(0, 1)):
+        for at, preferred in _changes(chunk):
+            found.append((user, at, preferred))
+            if len(found) == AT_ONCE:
+                yield _batch(found)
+                found = []
+    if found:
+        yield _batch(found)
+
+
+def _batch(found: list[tuple[str, int, str | None]]) -> pa.RecordBatch:
+    kinds = {"user_id": pa.string(), "at": pa.int64(), "preferred": pa.string()}
+    return pa.RecordBatch.from_pydict({c: pa.array(v, kinds[c]) for c, v in zip(kinds, zip(*found))})
+
+
+def _changes(rows: Iterator[tuple]) -> Iterator[tuple[int, str | None]]:
+    """Steps at no moment are the counts to start from."""
     counts: dict[str, int] = {}
     heap: list[tuple[int, str]] = []
-    found_at, found = [], []
-
-    def best() -> str | None:
+    preferred = None
+    for at, moment in groupby(rows, key=itemgetter(2)):
+        for _, _, _, genre, by in moment:
+            counts[genre] = counts.get(genre, 0) + by
+            if counts[genre] > 0:
+                heapq.heappush(heap, (-counts[genre], genre))
         # Entries of counts that have changed since are dropped when they come up.
         while heap and counts[heap[0][1]] != -heap[0][0]:
             heapq.heappop(heap)
-        return heap[0][1] if heap else None
-
-    def step(genre: str, by: int) -> None:
-        counts[genre] = counts.get(genre, 0) + by
-        if counts[genre] > 0:
-            heapq.heappush(heap, (-counts[genre], genre))
-
-    ats = table["at"]
-    for genre, by in zip(*(table.filter(ats.is_null())[c].to_pylist() for c in ("genre", "step"))):
-        step(genre, by)
-    preferred = best()
-    later = table.filter(ats.is_valid()).sort_by("at")
-    parts = (zip(*(b[c].to_pylist() for c in ("at", "genre", "step"))) for b in later.to_batches(AT_ONCE))
-    rows = chain.from_iterable(parts)
-    for at, moment in groupby(rows, key=itemgetter(0)):
-        for _, genre, by in moment:
-            step(genre, by)
-        now = best()
-        if now != preferred:
-            found_at.append(at)
-            found.append(now)
-            preferred = now
-    user = pa.array([table["user_id"][0].as_py()] * len(found), pa.string())
-    return pa.table({"user_id": user, "at": pa.array(found_at, pa.int64()), "preferred": pa.array(found, pa.string())})
+        now = heap[0][1] if heap else None
+        if now != preferred and at is not None:
+            yield at, now
+        preferred = now
